@@ -1 +1 @@
-"""Placeholder."""
+"""Null-safe column expressions."""
