@@ -1 +1 @@
-"""Placeholder."""
+"""Panels from tables, dated Parquet datasets, matrices and settings."""

@@ -1 +1 @@
-"""Placeholder."""
+"""Empty on purpose: the operators are batch operators; none of them has an event-time or streaming form."""
