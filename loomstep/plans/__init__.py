@@ -1 +1 @@
-"""Placeholder."""
+"""Whole runs: cleaning, staged features, panels, padded ranges."""
