@@ -22,12 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import CACHE_WORDS, bound_batches, materialize, raw_texts
+from loomstep.llm.common import CACHE_WORDS, bound_batches, discard, materialize, raw_texts
 from loomstep.llm.components import components
 
 #: Counters of the table by which shingles are ordered: 2 ** SKETCH_BITS, whatever the input.
 SKETCH_BITS = 20
 _SLICES = 1024
+#: Counters of a set's signature.
+SIGNATURE = 64
+#: Up to so many ids, a filter of documents is broadcast; beyond, it is a join by shuffle.
+BROADCAST_IDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,7 +118,7 @@ def shingle_counters(docs: DataFrame, text_col: str, width: int, bits: int = SKE
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Fraction, counters: np.ndarray) -> DataFrame:
-    """(doc_id, n, s1, s2, g1, g2, prefix): the size and digest of each set, the digest of its prefix, and the prefix."""
+    """(doc_id, n, s1, s2, g1, g2, prefix, signature): size and digest of each set, digest of its prefix, the prefix, how many hashes fall in each class."""
     spark = docs.sparkSession
     bound_batches(spark)
     bits = int(len(counters)).bit_length() - 1
@@ -134,12 +138,15 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
             taken = hashes[order][inside]
             g1, g2 = _digest(taken, k)
             offsets = np.concatenate(([0], np.cumsum(k))).astype(np.int32)
+            held = np.bincount(of * SIGNATURE + (hashes % np.uint64(SIGNATURE)).astype(np.int64), minlength=len(n) * SIGNATURE)
+            each = np.arange(0, len(held) + 1, SIGNATURE, dtype=np.int32)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(taken.view(np.int64))), pa.ListArray.from_arrays(each, pa.array(held.astype(np.int32)))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), *map(pa.array, (s1, s2, g1, g2)), pa.ListArray.from_arrays(offsets, pa.array(taken.view(np.int64)))],
-                names=["doc_id", "n", "s1", "s2", "g1", "g2", "prefix"],
+                [batch.column(0), pa.array(n), *map(pa.array, (s1, s2, g1, g2)), *lists],
+                names=["doc_id", "n", "s1", "s2", "g1", "g2", "prefix", "signature"],
             )
 
-    fields = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, prefix array<long>"
+    fields = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, prefix array<long>, signature array<int>"
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, fields)
 
 
@@ -156,13 +163,29 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "doc_id long, hashes array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar.
+
+    Sets differ in at least as many shingles as their signatures do, so most pairs that only share a shingle
+    by chance go before any set is built; the sets of the others are compared shingle by shingle.
+    """
+    num, den = threshold.numerator, threshold.denominator
+    for name in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("c").alias(name), F.col("n").alias(f"n{name}"), F.col("signature").alias(f"s{name}")), name)
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.abs(x - y)), F.lit(0), lambda t, x: t + x)
+    close = pairs.where(apart * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b").distinct()
+    close = materialize(close, "close")
+    wanted = materialize(close.select(F.col("a").alias("_wanted")).union(close.select("b")).distinct(), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    rows = docs.join(wanted, F.col(id_col).cast("long") == F.col("_wanted"), "left_semi")
+    sets = materialize(set_table(rows, id_col, text_col, width), "sets")
     a = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     b = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
     both = F.size(F.array_intersect("x", "y")).cast("long")
     union = F.size("x") + F.size("y") - both
-    return pairs.join(a, "a").join(b, "b").where(threshold.denominator * both >= threshold.numerator * union).select("a", "b")
+    links = materialize(close.join(a, "a").join(b, "b").where(den * both >= num * union).select("a", "b"), "links")
+    discard(sets)
+    return links
 
 
 def similar_documents(
@@ -185,8 +208,8 @@ def similar_documents(
     full = rows.where("n > 0")
     # A class: documents with equal sets; it goes by its smallest doc_id. A group: classes with one prefix and size.
     digest = ["s1", "s2", "n"]
-    classes = full.groupBy(*digest).agg(F.min(F.struct("doc_id", "g1", "g2", "prefix")).alias("m"))
-    classes = materialize(classes.select(*digest, F.col("m.doc_id").alias("c"), "m.g1", "m.g2", "m.prefix"), "classes")
+    classes = full.groupBy(*digest).agg(F.min(F.struct("doc_id", "g1", "g2", "prefix", "signature")).alias("m"))
+    classes = materialize(classes.select(*digest, F.col("m.doc_id").alias("c"), "m.g1", "m.g2", "m.prefix", "m.signature"), "classes")
     group = ["g1", "g2", "n"]
     groups = classes.groupBy(*group).agg(F.min(F.struct("c", "prefix")).alias("m"), F.count(F.lit(1)).alias("k"))
     groups = materialize(groups.select(*group, F.col("m.c").alias("g"), "k", "m.prefix"), "groups")
@@ -205,10 +228,8 @@ def similar_documents(
     star = lists.alias("x").join(head.alias("y"), ["t", "band"]).where(fit & (F.col("x.g") != F.col("y.g"))).select(*_ends("g"))
     inner = members.where("g != c").select(F.col("g").alias("a"), F.col("c").alias("b"))
     pairs = materialize(star.union(inner).distinct(), "pairs")
-    wanted = lists.select("g").union(members.select("c")).distinct().withColumnRenamed("g", "_wanted")
-    wanted = docs.join(wanted, F.col(id_col).cast("long") == F.col("_wanted"), "left_semi")
-    sets = materialize(set_table(wanted, id_col, text_col, width), "sets")
-    links.append(materialize(_verified(pairs, sets, threshold), "links"))
+    verified = lambda p: _verified(p, classes, docs, id_col, text_col, width, threshold)
+    links.append(verified(pairs))
 
     # What the stars leave: pairs of groups in different components, and pairs of classes within a group.
     found = materialize(components(links[0].union(links[1])), "found")
@@ -230,7 +251,7 @@ def similar_documents(
     inside = single.where("k != main").alias("x").join(single.alias("y"), F.col("x.g") == F.col("y.g")).where(apart)
     more = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(inside.select(*_ends("c")))
     more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links.append(materialize(_verified(more, sets, threshold), "links"))
+    links.append(verified(more))
 
     found = components(links[0].union(links[1]).union(links[2]))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "s1", "s2").distinct()
