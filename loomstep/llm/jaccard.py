@@ -224,7 +224,9 @@ def similar_documents(
     band = F.floor(F.log("n") / F.lit(-math.log(float(threshold))))
     lists = materialize(posted.join(shared, "t").select("t", "g", "n", "i", band.alias("band")), "lists")
     fit = _fit(threshold)
-    head = lists.groupBy("t", "band").agg(F.min(F.struct("g", "n", "i")).alias("h")).select("t", "band", "h.*")
+    # Of a list of near copies, the group with the fewest rarer shingles is nearest to what they are copies of.
+    chosen = F.min_by(F.struct("g", "n", "i"), F.struct("i", F.xxhash64("t", "g")))
+    head = lists.groupBy("t", "band").agg(chosen.alias("h")).select("t", "band", "h.*")
     star = lists.alias("x").join(head.alias("y"), ["t", "band"]).where(fit & (F.col("x.g") != F.col("y.g"))).select(*_ends("g"))
     inner = members.where("g != c").select(F.col("g").alias("a"), F.col("c").alias("b"))
     pairs = materialize(star.union(inner).distinct(), "pairs")
@@ -265,8 +267,12 @@ def _ends(name: str) -> list[Column]:
 
 
 def _fit(threshold: Fraction) -> Column:
-    """Whether sets x and y, which share the shingle at place x.i and y.i, may be similar by their sizes n."""
+    """Whether sets x and y of sizes n may be similar, if the shingle at places x.i and y.i is the first that they share.
+
+    No more shingles than from there on can be shared. Similar sets pass at their first common shingle, which
+    is enough for a pair to be found; later ones may fail.
+    """
     num, den = threshold.numerator, threshold.denominator
     sizes = (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
-    most = F.least("x.i", "y.i") + F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
+    most = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
     return sizes & (most * (num + den) >= (F.col("x.n") + F.col("y.n")) * num)
