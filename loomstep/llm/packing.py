@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -50,12 +51,16 @@ def tokenize_pieces(
         tok = Tokenizer.from_str(model.value)
         known: dict[bytes, bytes] = {}
         for batch in batches:
-            split = [t.split() for t in raw_texts(batch.column(1))]
+            # The model lowers letters itself, but special tokens count only as they are written.
+            split = [(t if b"<|" in t else t.lower()).split() for t in raw_texts(batch.column(1))]
             if len(known) > CACHE_WORDS:
                 known.clear()
-            new = sorted({w for words in split for w in words if w not in known})
-            for w, e in zip(new, tok.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
+            new = {w for words in split for w in words if w not in known}
+            closed = [w for w in new if w[-1:] in _CLOSING and w[-2:-1].isalpha()]
+            new.difference_update(closed)
+            new.update(x for w in closed for x in (w[:-1], w[-1:]) if x not in known)
+            known.update(_encoded(tok, sorted(new)))
+            known.update((w, known[w[:-1]] + known[w[-1:]]) for w in closed)
             rows = []
             for doc_id, words in zip(batch.column(0).to_pylist(), split, strict=True):
                 ids = b"".join(map(known.__getitem__, words)) + end
@@ -71,6 +76,24 @@ def tokenize_pieces(
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, fields)
 
 
+#: Marks that are pre-tokens of their own where one of them ends a word after an ASCII letter.
+_CLOSING = frozenset((b".", b","))
+
+
+def _encoded(tok, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Each word with its ids; the words are encoded as one text, in which a token lies within one word."""
+    if not words:
+        return
+    texts = [w.decode() for w in words]
+    found = tok.encode(" ".join(texts), add_special_tokens=False)
+    raw = np.asarray(found.ids, "<u4").tobytes()
+    starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+    at = 0
+    for w, end in zip(words, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist(), strict=True):
+        yield w, raw[4 * at : 4 * end]
+        at = end
+
+
 @dataclass
 class _Bins:
     """n bins that hold the same lengths; slots: (length, first rank, items a bin, offset in the bin)."""
