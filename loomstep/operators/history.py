@@ -43,21 +43,36 @@ def rolling(c: str, n: int) -> tuple[Column, Column, Column]:
 def ewm(df: DataFrame, columns: list[str], spans: list[int], cast: str = "float") -> DataFrame:
     """Keys and {column}__ewm{span}: y = (1 - a) * y before + a * x with a = 2 / (span + 1), from the run's first value.
 
-    Spark has no such recursion; a run is the unit of work, in batches of Arrow.
+    Nulls leave y as it is. Spark has no such recursion: symbols are dealt out and sorted, and a worker goes
+    through its rows batch by batch, so it holds one batch and the last y of each column, however long a run.
     """
-    names = {(c, s): f"{c}__ewm{s}" for c in columns for s in spans}
+    pairs = [(c, s, f"{c}__ewm{s}") for c in columns for s in spans]
     kind = T.FloatType() if cast == "float" else T.DoubleType()
-    schema = T.StructType([*(df.schema[k] for k in KEYS), *(T.StructField(n, kind) for n in names.values())])
-
-    def run(pdf):
-        pdf = pdf.sort_values([DATE, TIME])
-        out = pdf[list(KEYS)].copy()
-        for (c, s), n in names.items():
-            out[n] = pdf[c].astype("float64").ewm(span=s, adjust=False, ignore_na=True).mean().astype(cast if cast == "float" else "float64")
-        return out.astype({n: "float32" if cast == "float" else "float64" for n in names.values()})
-
-    rows = tick_streaks(df.select(*KEYS, *columns))
-    return rows.groupBy(SYMBOL, "streak").applyInPandas(run, schema)
+    schema = T.StructType([*(df.schema[k] for k in KEYS), *(T.StructField(n, kind) for _, _, n in pairs)])
+
+    def run(batches):
+        import pyarrow as pa
+
+        last: dict[str, float | None] = {}
+        run_of = None
+        for batch in batches:
+            keys = list(zip(batch.column(SYMBOL).to_pylist(), batch.column("streak").to_pylist(), strict=True))
+            made = []
+            for c, s, n in pairs:
+                a, y, at, out = 2 / (s + 1), last.get(n), run_of, []
+                for key, x in zip(keys, batch.column(c).to_pylist(), strict=True):
+                    if key != at:
+                        y, at = None, key
+                    if x is not None:
+                        y = x if y is None else (1 - a) * y + a * x
+                    out.append(y)
+                last[n] = y
+                made.append(pa.array(out, pa.float32() if cast == "float" else pa.float64()))
+            run_of = keys[-1] if keys else run_of
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEYS), *made], names=schema.names)
+
+    rows = tick_streaks(df.select(*KEYS, *columns).repartition(SYMBOL))
+    return rows.sortWithinPartitions(SYMBOL, "streak", DATE, TIME).mapInArrow(run, schema)
 
 
 def cross_section_z(c: str) -> Column:
