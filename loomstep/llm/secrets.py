@@ -75,7 +75,8 @@ def train(base: DataFrame, docs: DataFrame, text_col: str) -> list[float]:
 
     Label 1: the values that the patterns find, and SEEDED generated strings of each usual alphabet, so that
     the model does not depend on which secrets the corpus has. Label 0: the corpus's own words and identifiers,
-    each distinct one counted once for each row that has it up to the square root of that number.
+    each distinct one with the square root of the number of rows that have it; tokens that are to be judged are
+    left out, so that none speaks for itself.
     """
     spark = docs.sparkSession
     value = F.regexp_replace("s.text", r"^[^:=]*[:=][\x20\"']*", "")
@@ -85,7 +86,7 @@ def train(base: DataFrame, docs: DataFrame, text_col: str) -> list[float]:
     made = [digest, F.base64(F.unhex(digest)), F.upper(F.substring(F.base64(F.unhex(digest)), 1, 32))]
     made = row.select(F.explode(F.array(*made)).alias("w")).select("w", F.lit(1.0).alias("n"), F.lit(1).alias("y"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(WORD), F.lit(0)))).alias("w"))
-    words = words.groupBy("w").agg(F.sqrt(F.count(F.lit(1))).alias("n")).where(~F.col("w").rlike("^(AKIA[A-Z0-9]+|[0-9a-f]{32,})$"))
+    words = words.groupBy("w").agg(F.sqrt(F.count(F.lit(1))).alias("n")).where(~(F.col("w").rlike(f"^{TOKEN}$") & F.col("w").rlike("[0-9]")))
     both = secret.unionByName(made).unionByName(words.withColumn("y", F.lit(0)))
     counts = gram_counts(both.withColumn("c", codes(F.col("w"), ALPHABET)), "y", "c", 1, SIZE, "n")
     counts = materialize(counts, "grams")
