@@ -32,10 +32,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document stays as often as the mix takes its words, to the nearest whole number (0, 1 or 2)."""
+    """Each document stays as often as the mix takes its words, to the nearest whole number (0, 1 or 2); rows without an id alike."""
     times = F.round(F.col("taken") / F.nullif(F.col("size"), F.lit(0))).cast("int")
     taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times")).where("_times > 0")
-    rows = docs.join(taken, F.col("doc_id") == F.col("_id"))
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
     return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(docs.columns)
 
 
