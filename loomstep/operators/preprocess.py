@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loomstep import windows
@@ -28,18 +28,46 @@ def rolling_sigma_clip(
     require_columns(df, [*KEYS, bucket, *columns])
     if ddof not in (0, 1):
         raise ValueError("ddof is 0 or 1")
-    before = windows.of_bucket(bucket).rowsBetween(-window, -1)
-    deviation = F.stddev_samp if ddof else F.stddev_pop
+    if window < 1:
+        raise ValueError("window is 1 or more")
     rows = df.repartition(SYMBOL).withColumns({c: sanitize(F.col(c)) for c in columns})
+    rows = _moments_before(rows, columns, windows.of_bucket(bucket), [SYMBOL, bucket], window)
 
     def held(name: str) -> Column:
-        x = F.col(name)
-        n, mean, std = F.count(x).over(before), F.avg(x).over(before), deviation(x).over(before)
+        x, n, mean = (F.col(c) for c in (name, f"_n_{name}", f"_mean_{name}"))
+        std = F.sqrt(F.col(f"_m2_{name}") / F.when(n > ddof, n - ddof))
         return F.when(x.isNotNull() & (n >= max(min_valid, ddof + 1)), clip(x, mean - k * std, mean + k * std)).otherwise(x)
 
     return rows.select(*(held(c).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
+def _moments_before(rows: DataFrame, columns: list[str], order: WindowSpec, keys: list[str], window: int) -> DataFrame:
+    """rows with the number, mean and sum of squared deviations of each column's values in the window rows before.
+
+    Each run is cut into blocks of window rows. The rows before one are the end of the last block, from window
+    rows back, and the start of the own block; both are running aggregates, so a row costs the same however long
+    the window is. The parts' deviations are taken from their own means, hence nothing cancels.
+    """
+    number = F.row_number().over(order) - 1
+    rows = rows.withColumn("_place", number).withColumn("_block", F.floor(F.col("_place") / window))
+    block = Window.partitionBy(*keys, "_block")
+    start = block.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    end = windows.so_far(block.orderBy(F.desc("_place")))
+    run = Window.partitionBy(*keys).orderBy("_place")
+    parts = {"n": F.count, "mean": F.avg, "var": F.var_pop}
+    rows = rows.select("*", *(f(c).over(start).alias(f"_{p}0_{c}") for c in columns for p, f in parts.items()))
+    rows = rows.select("*", *(f(c).over(end).alias(f"_end_{p}_{c}") for c in columns for p, f in parts.items()))
+    rows = rows.select("*", *(F.lag(f"_end_{p}_{c}", window).over(run).alias(f"_{p}1_{c}") for c in columns for p in parts))
+
+    def joint(c: str) -> list[Column]:
+        (n0, mean0, var0), (n1, mean1, var1) = ([F.coalesce(f"_{p}{i}_{c}", F.lit(0)) for p in parts] for i in (0, 1))
+        n, apart = n0 + n1, mean1 - mean0
+        share = n1 / F.when(n > 0, n)
+        return [n.alias(f"_n_{c}"), (mean0 + apart * share).alias(f"_mean_{c}"), (n0 * var0 + n1 * var1 + apart * apart * n0 * share).alias(f"_m2_{c}")]
+
+    return rows.select("*", *(x for c in columns for x in joint(c)))
+
+
 def _carry(df: DataFrame, columns: list[str], over: WindowSpec, at: str, limit: int | None, only: Column | None = None) -> DataFrame:
     """Fills nulls with the last value before, if it lies no more than limit of at back (null: any distance)."""
     seen = windows.so_far(over)

@@ -58,6 +58,25 @@ def test_impute_against_brute_force(spark):
     assert result(got) == value
 
 
+@pytest.mark.parametrize(("window", "ddof", "shift"), [(1, 0, 0.0), (7, 1, 1e6), (20, 0, 0.0), (500, 1, 0.0)])
+def test_clip_against_brute_force(spark, window, ddof, shift):
+    rows = [(*r[:3], r[3] if r[3] is None else shift + (30.0 if i % 17 == 0 else r[3]), r[2] % 2) for i, r in enumerate(sorted(tiny(5)))]
+    least = min(window, 4)
+    want = {}
+    for i, (s, d, t, x, b) in enumerate(rows):
+        past = [o[3] for o in rows[:i] if (o[0], o[4]) == (s, b)][-window:]
+        past = [v for v in past if v is not None]
+        if x is not None and len(past) >= max(least, ddof + 1):
+            mean = math.fsum(past) / len(past)
+            std = math.sqrt(math.fsum((v - mean) ** 2 for v in past) / (len(past) - ddof))
+            x = min(max(x, mean - 2 * std), mean + 2 * std)
+        want[s, d, t] = x
+    df = spark.createDataFrame(rows, SCHEMA + ", time_bucket int")
+    got = preprocess.rolling_sigma_clip(df, ["x"], window=window, k=2.0, ddof=ddof, min_valid=least)
+    assert got.columns == df.columns and result(got) == {k: v if v is None else pytest.approx(v, rel=1e-12, abs=1e-9) for k, v in want.items()}
+    assert preprocess.rolling_sigma_clip(df.limit(0), ["x"]).count() == 0
+
+
 def test_rows_later_change_nothing_before(spark):
     rows = tiny(2)
     late = [r if r[1] < 7 else (*r[:3], 99.0) for r in rows]
