@@ -271,3 +271,9 @@ def test_pipeline(spark, tmp_path):
     assert secret not in "".join(x["text"] for x in spark.read.parquet(str(tmp_path / "secret_scan")).collect())
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert Counter(x["doc_id"] for x in whole if x["piece"] == 0) == Counter(seen[3])
+
+
+def test_pipeline_mixes_rows_without_id(spark):
+    df = docs(spark, ["w " * 20] * 6).withColumn("doc_id", F.when(F.col("doc_id") < 4, F.col("doc_id")))
+    out = Counter(x["doc_id"] for x in corpus_pipeline.source_mix(spark, df, "").collect())
+    assert set(out) == {0, 1, 2, 3, None} and out[None] in (2, 4)
