@@ -26,9 +26,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay; each secret becomes a mark, and n_chars follows the text."""
+    """Documents stay; each secret becomes a mark, and n_chars follows the text (of a null text it stays as it is)."""
     clean = secrets.redact(docs.withColumn("_before", F.length("text")))
-    return clean.withColumn("n_chars", F.col("n_chars") + F.length("text") - F.col("_before")).select(docs.columns)
+    return clean.withColumn("n_chars", F.col("n_chars") + F.coalesce(F.length("text") - F.col("_before"), F.lit(0))).select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
