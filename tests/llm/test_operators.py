@@ -277,3 +277,11 @@ def test_pipeline_mixes_rows_without_id(spark):
     df = docs(spark, ["w " * 20] * 6).withColumn("doc_id", F.when(F.col("doc_id") < 4, F.col("doc_id")))
     out = Counter(x["doc_id"] for x in corpus_pipeline.source_mix(spark, df, "").collect())
     assert set(out) == {0, 1, 2, 3, None} and out[None] in (2, 4)
+
+
+def test_pipeline_counts_characters_of_clean_texts(spark):
+    texts = [None, "", "plain words", "a password=abcdefgh12 b"]
+    df = docs(spark, texts)
+    out = {x["doc_id"]: (x["text"], x["n_chars"]) for x in corpus_pipeline.secret_scan(spark, df, "").collect()}
+    assert out[0] == (None, 0) and out[1] == ("", 0) and out[2] == (texts[2], len(texts[2]))
+    assert "abcdefgh12" not in out[3][0] and out[3][1] == len(out[3][0])
