@@ -33,7 +33,8 @@ def paths(messages: DataFrame, *, best: int | None = None) -> DataFrame:
     length are joined to the paths found so far, so a tree of depth d takes log2(d) rounds of self-joins whose
     rows are no more than those of the result. A path's score is the sum of its nodes' (null: 0); with best,
     a tree keeps that many paths of the highest score, of equal ones those of the smallest leaf. Nodes on or
-    below a cycle have no root and are left out. Repeated (tree, node) rows must have been made unique.
+    below a cycle have no root and are left out, and so are rows of a null tree or node. Repeated (tree, node)
+    rows must have been made unique.
     """
     nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     here = nodes.select("tree", F.col("node").alias("parent"), F.lit(1).alias("there"))
@@ -68,9 +69,11 @@ def format_chats(messages: DataFrame, *, best: int | None = None, learn: str = "
     messages: tree, node, parent, score, role, text; other columns are not read. Null roles and texts are
     empty. formatted: for each turn BEGIN, role, newline, text, END, with control strings escaped and
     a newline in a role as ~1 and ~ as ~0. loss: array of struct(start, length) in code points of formatted, the texts of turns
-    of role learn. Rows with equal (tree, node) count once, the one with the smallest role and text.
+    of role learn. Rows with equal (tree, node) count once, the one with the smallest role and text. A null tree
+    is a tree like any other; rows of a null node are left out. An empty table gives no rows.
     """
-    rows = messages.groupBy("tree", "node").agg(F.min(F.struct("role", "text", "parent", "score")).alias("m")).select("tree", "node", "m.*")
+    rows = messages.groupBy("tree", "node").agg(F.min(F.struct("role", "text", "parent", "score")).alias("m"))
+    rows = rows.select(F.struct("tree").alias("tree"), "node", "m.*")  # a struct that holds null is not null, so joins keep it
     rows = materialize(rows, "messages")
     chosen = paths(rows, best=best)
     role = escape(F.replace(F.replace(F.coalesce("role", F.lit("")), F.lit("~"), F.lit("~0")), F.lit("\n"), F.lit("~1")))
@@ -88,7 +91,7 @@ def format_chats(messages: DataFrame, *, best: int | None = None, learn: str = "
         return F.struct((start + size + len(END)).alias("at"), F.when(t["own"], F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
 
     loss = F.aggregate("turns", begin, add, lambda d: d["spans"])
-    return whole.select("tree", "leaf", "score", F.size("turns").cast("long").alias("n_turns"), formatted.alias("formatted"), loss.alias("loss"))
+    return whole.select("tree.tree", "leaf", "score", F.size("turns").cast("long").alias("n_turns"), formatted.alias("formatted"), loss.alias("loss"))
 
 
 def read_turns(formatted: Column) -> Column:

@@ -199,6 +199,12 @@ def test_chats(spark):
     assert chats.format_chats(m.limit(0)).count() == 0
 
 
+def test_chats_of_a_null_tree(spark):
+    rows = [(None, 1, None, 1.0, "user", "a"), (None, 2, 1, 1.0, "assistant", "b"), (None, None, 1, 1.0, "user", "c")]
+    out = chats.format_chats(spark.createDataFrame(rows, "tree long, node long, parent long, score double, role string, text string"), best=1).collect()
+    assert [(r["tree"], r["leaf"], r["n_turns"]) for r in out] == [(None, 2, 2)]
+
+
 def test_mixing(spark):
     r = random.Random(8)
     rows = [(i, "w " * r.randint(0, 60), r.choice(["a", "a", "a", "b", "é", None]), "clash") for i in range(1500)] + [(None, None, "b", "x"), (3, "w w", "z", "x")]
