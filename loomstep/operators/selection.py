@@ -1,13 +1,16 @@
-"""Boosted trees per fold, importance of features, selection."""
+"""Boosted trees per fold, importance of features, selection, search of parameters, refit."""
 
 from __future__ import annotations
 
+import itertools
+import random
+
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.operators.crossval import assign_folds, weighted_r2
+from loomstep.operators.crossval import assign_folds, fold_summary, weighted_r2
 from loomstep.schema import ordered_unique
 
 
@@ -45,3 +48,30 @@ def top_features(importance: DataFrame, k: int, always: list[str] = (), score: s
 def refit_rounds(best: list[int]) -> int:
     """Rounds of a fit on the whole window from those of the folds."""
     return max(50, int(sum(best) / len(best) * 1.10))
+
+
+def draw_trials(space: dict[str, tuple], trials: int, seed: int = 42) -> list[dict]:
+    """So many different points of the grid that space spans (all of them, if it has no more), in a seeded order."""
+    grid = [dict(zip(space, point, strict=True)) for point in itertools.product(*space.values())]
+    return random.Random(seed).sample(grid, min(trials, len(grid)))
+
+
+def search_parameters(df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str, space: dict[str, tuple], trials: int = 30, seed: int = 42) -> DataFrame:
+    """(trial, a column for each parameter, mean_wr2, std_wr2), the best trial first: a seeded random search over the folds.
+
+    space: values to try for rounds, depth and rate of fit_folds(). Trials run one after the other, each on
+    the whole cluster; only their scores come to the driver.
+    """
+    rows = []
+    for trial, point in enumerate(draw_trials(space, trials, seed)):
+        scores, _ = fit_folds(df, features, folds, y=y, weight=weight, seed=seed, **point)
+        found = fold_summary(scores).first()
+        rows.append((trial, *(float(v) for v in point.values()), found["mean"], found["std"]))
+    fields = ", ".join(["trial int", *(f"{c} double" for c in space), "mean_wr2 double, std_wr2 double"])
+    return df.sparkSession.createDataFrame(rows, fields).orderBy(F.desc("mean_wr2"), "trial")
+
+
+def refit(df: DataFrame, features: list[str], *, y: str, weight: str, best: list[int], depth: int = 5, rate: float = 0.1, seed: int = 42) -> GBTRegressionModel:
+    """A model of the whole window, with refit_rounds(best) rounds."""
+    rows = assemble(df, features).select("features", F.col(y).cast("double").alias("label"), F.col(weight).cast("double").alias("w"))
+    return GBTRegressor(maxIter=refit_rounds(best), maxDepth=depth, stepSize=rate, seed=seed, weightCol="w").fit(rows)

@@ -351,6 +351,12 @@ def _boosted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return selection.fit_folds(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", rounds=3, depth=3)
 
 
+def _searched(spark: SparkSession, d: str) -> DataFrame:
+    rows = event_panel(spark, d)
+    space = {"rounds": (2, 4), "depth": (2, 3), "rate": (0.1, 0.3)}
+    return selection.search_parameters(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", space=space, trials=3)
+
+
 _P, _G = f"WITH p AS ({duck_panel()})", f"WITH p AS ({duck_panel('gappy')})"
 _EACH_NULL = [f"{x}_null_frac" for x in FEATURES]
 _FRAC_SQL = f"SELECT date_id, {', '.join(_r(f'AVG(CAST({x} IS NULL AS DOUBLE))', f'{x}_null_frac') for x in FEATURES)} FROM p GROUP BY date_id"
@@ -477,6 +483,7 @@ SELECT CAST(1 AS INT) AS rank, 'feature_01' AS feature UNION ALL SELECT CAST(ran
     ),
     "gbt_cv": Query(lambda s, d: _boosted(s, d)[0]),
     "gain_share": Query(lambda s, d: _boosted(s, d)[1]),
+    "parameter_search": Query(_searched),
 }
 
 

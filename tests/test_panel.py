@@ -141,3 +141,23 @@ def test_stages_and_cores(spark, tmp_path):
     s = load_settings(str(tmp_path / "s.yaml"))
     assert (s.clip.window, s.clip.k, s.c.lags, s.pad_days) == (9, 3.0, (1, 2), Settings().pad_days)
     assert selection.refit_rounds([100, 60]) == 88
+
+
+def test_parameter_search(spark):
+    space = {"rounds": (1, 2), "depth": (2,)}
+    assert selection.draw_trials(space, 30) == selection.draw_trials(space, 2) and len(selection.draw_trials(space, 30)) == 2
+    assert selection.draw_trials({"depth": tuple(range(50))}, 7, 1) != selection.draw_trials({"depth": tuple(range(50))}, 7, 2)
+    r = random.Random(5)
+    rows = [(d, i, float(d % 3 + i), 1.0 + i % 2, d % 3 + i + r.gauss(0, 0.1)) for d in range(12) for i in range(6)]
+    df = spark.createDataFrame(rows, "date_id int, time_id int, x double, w double, y double")
+    folds = crossval.fold_table(df, 2, 1, 3)
+    found = selection.search_parameters(df, ["x"], folds, y="y", weight="w", space=space).collect()
+    assert [x["mean_wr2"] for x in found] == sorted((x["mean_wr2"] for x in found), reverse=True) and len(found) == 2
+    scores, _ = selection.fit_folds(df, ["x"], folds, y="y", weight="w", rounds=int(found[0]["rounds"]), depth=2)
+    own = [x["wr2"] for x in scores.collect()]
+    assert found[0]["mean_wr2"] == pytest.approx(sum(own) / 2) and found[0]["std_wr2"] == pytest.approx(abs(own[0] - own[1]) / 2)
+
+
+def test_refit(spark):
+    df = spark.createDataFrame([(float(i), 1.0, float(i % 2)) for i in range(20)], "x double, w double, y double")
+    assert selection.refit(df, ["x"], y="y", weight="w", best=[10], depth=1).getNumTrees == 50
