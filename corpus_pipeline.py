@@ -18,7 +18,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of the smallest doc_id; rows without an id are alone and stay."""
+    """One document of each group stays, the one of the smallest doc_id; rows without an id are alone and stay.
+
+    Rows that share a doc_id are one document, even if their texts differ: one of them stays.
+    """
     found = jaccard.similar_documents(docs, width=5, threshold=Fraction(4, 5))
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
