@@ -9,6 +9,7 @@ Classes of equal sets are linked without a comparison. In each group and each li
 prefix shingle, every class is first compared with the smallest one (a star); the classes that this links
 are then one component, and only pairs of different components are compared after that. So a group of
 thousands of near copies costs a star and not all its pairs, while no link between components is lost.
+A group may hold classes of several components; each of these parts is then compared for itself.
 """
 
 from __future__ import annotations
@@ -233,22 +234,23 @@ def similar_documents(
     verified = lambda p: _verified(p, classes, docs, id_col, text_col, width, threshold)
     links.append(verified(pairs))
 
-    # What the stars leave: pairs of groups in different components, and pairs of classes within a group.
+    # What the stars leave: pairs of parts in different components, a part being a group's classes of one component.
     found = materialize(components(links[0].union(links[1])), "found")
     of = lambda name, new: found.select(F.col("node").alias(name), F.col("component").alias(new))
-    label = lists.join(of("g", "k"), "g", "left").withColumn("k", F.coalesce("k", "g"))
+    single = members.join(of("c", "k"), "c", "left").withColumn("k", F.coalesce("k", "c"))
+    single = single.join(of("g", "main"), "g", "left").withColumn("main", F.coalesce("main", "g"))
+    single = materialize(single, "single")
+    label = lists.join(of("g", "own"), "g", "left").join(single.select("g", "k").distinct(), "g", "left")
+    label = label.withColumn("k", F.coalesce("k", "own", "g")).withColumn("part", F.struct("g", "k")).drop("own")
     label = materialize(label, "labels")
     mixed = label.groupBy("t").agg(F.min("k").alias("main"), F.max("k").alias("other")).where("main != other").select("t", "main")
     mixed = materialize(label.join(mixed, "t"), "mixed")
-    apart = (F.col("x.k") != F.col("y.k")) & ((F.col("y.k") == F.col("y.main")) | (F.col("x.g") < F.col("y.g")))
+    apart = (F.col("x.g") != F.col("y.g")) & (F.col("x.k") != F.col("y.k")) & ((F.col("y.k") == F.col("y.main")) | (F.col("x.g") < F.col("y.g")))
     rest = mixed.where("k != main").alias("x").join(mixed.alias("y"), F.col("x.t") == F.col("y.t")).where(fit & apart)
-    rest = materialize(rest.select(*_ends("g")).distinct(), "rest")
-    for name in ("a", "b"):  # groups are expanded to their classes
-        own = members.select(F.col("g").alias(name), "c")
-        rest = rest.join(own, name, "left").withColumn(name, F.coalesce("c", name)).drop("c")
-    single = members.join(of("c", "k"), "c", "left").withColumn("k", F.coalesce("k", "c"))
-    single = single.join(of("g", "main"), "g", "left").withColumn("main", F.coalesce("main", "g"))
-    single = materialize(single, "single")
+    rest = materialize(rest.select(*_ends("part")).distinct(), "rest")
+    for name in ("a", "b"):  # parts are expanded to their classes
+        own = single.select(F.struct("g", "k").alias(name), "c")
+        rest = rest.join(own, name, "left").withColumn(name, F.coalesce("c", f"{name}.g")).drop("c")
     apart = (F.col("x.k") != F.col("y.k")) & ((F.col("y.k") == F.col("y.main")) | (F.col("x.c") < F.col("y.c")))
     inside = single.where("k != main").alias("x").join(single.alias("y"), F.col("x.g") == F.col("y.g")).where(apart)
     more = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(inside.select(*_ends("c")))

@@ -136,6 +136,21 @@ def test_jaccard(spark, width, threshold):
     assert jaccard.similar_documents(docs(spark, [])).count() == 0
 
 
+def test_jaccard_of_a_group_in_several_components(spark):
+    """Two classes of one group (same prefix and size) that link only through a set of another group."""
+    name = lambda kind, n: [f"{kind}{i}" for i in range(n)]
+    rare, common, tails = name("u", 64), name("p", 30), [name("a", 15), name("b", 15)]
+    texts = [rare + common + tails[0], rare + common + tails[1], rare + common]
+    texts += [name(f"x{i}y", 200) + rare[-4:] + common + tails[i % 2] for i in range(20)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    close = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j])]
+    assert close == [(2, 0), (2, 1)]
+    for order in (range(len(texts)), [2, 0, 1, *range(3, len(texts))], [1, 2, 0, *range(3, len(texts))]):
+        df = docs(spark, [" ".join(texts[i]) for i in order])
+        got = {x["doc_id"]: x["component_id"] for x in jaccard.similar_documents(df).collect()}
+        assert got == {i: 0 if order[i] in (0, 1, 2) else i for i in range(len(texts))}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(900, 24))
