@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomstep.llm import jaccard, mixing, packing, quality, secrets
@@ -17,15 +18,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.measure(docs, out="_quality").where(quality.accepted("_quality")).drop("_quality")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A key of each row from all of its columns, so that a task that runs again gives the same; equal rows share it."""
+    return F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of the smallest doc_id; rows without an id are alone and stay.
+    """One row of each group stays, the one of the smallest doc_id (null last); of one doc_id, the one of the smallest key.
 
-    Rows that share a doc_id are one document, even if their texts differ: one of them stays.
+    Rows are told apart by row_key(), so those without an id, or with one that repeats, are judged by their
+    texts like all others. Rows without words are alone and stay, but for equal ones of one id.
     """
-    found = jaccard.similar_documents(docs, width=5, threshold=Fraction(4, 5))
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null"))
+    keyed = docs.withColumn("_row", row_key(docs))
+    wordless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    found = jaccard.similar_documents(keyed.where(~wordless), width=5, threshold=Fraction(4, 5), id_col="_row")
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = keyed.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(F.min(order).alias("m")).select("m._row")
+    kept = keyed.where(~wordless).join(first, "_row", "left_semi").distinct()
+    return kept.select(docs.columns).union(docs.where(wordless))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +46,17 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document stays as often as the mix takes its words, to the nearest whole number (0, 1 or 2); rows without an id alike."""
+    """Each row stays as often as the mix takes its words, to the nearest whole number (0, 1 or 2), whatever its doc_id.
+
+    The mix knows rows by row_key(); what it takes of equal rows is dealt out evenly among them.
+    """
+    keyed = docs.withColumn("_row", row_key(docs))
     times = F.round(F.col("taken") / F.nullif(F.col("size"), F.lit(0))).cast("int")
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times")).where("_times > 0")
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(docs.columns)
+    taken = mixing.mix(keyed, id_col="_row").groupBy(F.col("doc_id").alias("_row")).agg(F.sum(times).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
+    rows = keyed.join(taken.where("_sum > 0"), "_row")
+    place = F.row_number().over(W.partitionBy("_row").orderBy("_row"))
+    rows = rows.withColumn("_times", F.expr("_sum div _rows") + (place <= F.col("_sum") % F.col("_rows")).cast("long"))
+    return rows.where("_times > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

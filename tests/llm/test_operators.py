@@ -300,6 +300,25 @@ def test_pipeline_mixes_rows_without_id(spark):
     assert set(out) == {0, 1, 2, 3, None} and out[None] in (2, 4)
 
 
+def test_pipeline_tells_rows_apart_without_their_ids(spark):
+    r = random.Random(12)
+    a, b, c, d = (" ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(60)) for _ in range(4))
+    rows = [(None, a), (None, a), (None, b), (5, b + " end"), (7, c), (7, d), (7, d), (8, None), (8, None), (None, None), (None, " ")]
+    df = spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in rows], DOC)
+    kept = Counter((x["doc_id"], x["text"]) for x in corpus_pipeline.near_duplicates(spark, df, "").collect())
+    assert kept == Counter([(None, a), (5, b + " end"), (7, c), (7, d), (8, None), (None, None), (None, " ")])
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_pipeline_mixes_each_row_by_its_own_words(spark, same):
+    """A source of null ids gets no more than its target; sources a, b, c have targets by weights 5, 2, 1."""
+    rows = [(None, f"{'w' if same else i} " * 20, "en", "abc"[i % 3], 40) for i in range(90)]
+    df = spark.createDataFrame(rows, DOC)
+    want = {x["source"]: x["target"] for x in mixing.mix(df).collect()}
+    got = Counter(x["source"] for x in corpus_pipeline.source_mix(spark, df, "").collect())
+    assert all(abs(20 * got[s] - t) <= 20 for s, t in want.items())
+
+
 def test_pipeline_counts_characters_of_clean_texts(spark):
     texts = [None, "", "plain words", "a password=abcdefgh12 b"]
     df = docs(spark, texts)
