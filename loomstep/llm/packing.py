@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -14,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import CACHE_WORDS, bound_batches, materialize, raw_texts
+from loomstep.llm.common import bound_batches, materialize, raw_texts
 
 CAPACITY = 4096
 END_ID = 1
-#: Into how many parts the ranks within one length are dealt.
-SALTS = 64
+#: Words whose ids a worker keeps before it starts again, some 200 MB.
+KNOWN_WORDS = 1_000_000
 
 
 def tokenize_pieces(
@@ -35,39 +37,32 @@ def tokenize_pieces(
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and end_id, cut where longer than capacity.
 
     The vocabulary drops ASCII white space and no token spans it, so the ids of a text are those of its
-    words in a row; a worker encodes each distinct word of a batch once. Null text is empty (one piece with
+    words in a row; a worker encodes a word once for as long as its bounded cache of words holds it. Null text is empty (one piece with
     end_id alone), repeated rows give repeated pieces, other columns are not read.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
-        model = spark.sparkContext.broadcast(f.read())
+        model = spark.sparkContext.broadcast({"json": f.read()})
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_str(model.value)
-        known: dict[bytes, bytes] = {}
+        if "words" not in model.value:  # a worker's copy: what it has encoded serves its later tasks as well
+            model.value["words"] = WordIds(model.value["json"])
+        known = model.value["words"]
         for batch in batches:
             # The model lowers letters itself, but special tokens count only as they are written.
             split = [(t if b"<|" in t else t.lower()).split() for t in raw_texts(batch.column(1))]
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            new = {w for words in split for w in words if w not in known}
-            closed = [w for w in new if w[-1:] in _CLOSING and w[-2:-1].isalpha()]
-            new.difference_update(closed)
-            new.update(x for w in closed for x in (w[:-1], w[-1:]) if x not in known)
-            known.update(_encoded(tok, sorted(new)))
-            known.update((w, known[w[:-1]] + known[w[-1:]]) for w in closed)
+            known.learn(set().union(*split).difference(known.of))
             rows = []
             for doc_id, words in zip(batch.column(0).to_pylist(), split, strict=True):
-                ids = b"".join(map(known.__getitem__, words)) + end
+                ids = b"".join(map(known.of.__getitem__, words)) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))
                     rows.append((*row, np.frombuffer(part, "<u4").astype(np.int32)) if with_ids else row)
+            known.shrink()
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             columns = list(zip(*rows, strict=True)) or [[]] * (5 + with_ids)
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)]
@@ -76,8 +71,52 @@ def tokenize_pieces(
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, fields)
 
 
-#: Marks that are pre-tokens of their own where one of them ends a word after an ASCII letter.
-_CLOSING = frozenset((b".", b","))
+#: Lower-case letters of words whose pre-tokens are found here: they have no other form, neither by case nor by composition.
+_LETTERS = "".join(c for c in map(chr, range(0x180)) if c.isalpha() and c.lower() == c)
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_PLAIN = re.compile(f"[{re.escape(_LETTERS + _MARKS)}0-9]+")
+#: The tokenizer's own pre-tokens, over these characters.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{re.escape(_LETTERS)}]+|[0-9]|[{re.escape(_MARKS)}]+")
+#: The characters that stand for bytes in the vocabulary: those that print stand for themselves.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+
+
+class WordIds:
+    """of: the ids of words as bytes. Most words skip the tokenizer's steps before its model: they are lower-case
+    letters, digits and ASCII marks, whose pre-tokens one pattern finds; the model splits each pre-token once.
+    """
+
+    def __init__(self, json: str, most: int = KNOWN_WORDS):
+        from tokenizers import Tokenizer
+
+        self.of: dict[bytes, bytes] = {}
+        self.tok, self.most = Tokenizer.from_str(json), most
+        self.split = self.tok.model.tokenize
+        raw = np.arange(max(self.tok.get_vocab(with_added_tokens=True).values()) + 1, dtype="<u4").tobytes()
+        self.raw = [raw[i : i + 4] for i in range(0, len(raw), 4)]
+
+    def learn(self, new: set[bytes]) -> None:
+        """Encodes words that aren't known yet."""
+        hard = []
+        for w in new:
+            text = w.decode()
+            if b"<|" in w or not _PLAIN.fullmatch(text):
+                hard.append(w)
+            elif len(parts := _PARTS.findall(text)) == 1:
+                self.of[w] = self.ids(text)
+            else:
+                self.of[w] = b"".join([self.of.get(p.encode()) or self.ids(p) for p in parts])
+        self.of.update(_encoded(self.tok, sorted(hard)))
+
+    def ids(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return b"".join([self.raw[t.id] for t in self.split(part)])
+
+    def shrink(self) -> None:
+        if len(self.of) > self.most:
+            self.of.clear()
 
 
 def _encoded(tok, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
@@ -168,12 +207,14 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
 
     The plan needs only how many pieces have each length (capacity numbers at most), so the driver makes it
     whatever the number of pieces. A piece's place follows from its rank within its length; ranks are taken in
-    salted parts of a length, so a length that a third of all pieces share is dealt out. Order and result are
-    those of pieces sorted by (doc_id, piece, ids_crc32), hence reruns agree. No pieces give no rows.
+    salted parts of a length, their number growing as the root of that of the pieces, so a length or an id
+    that a third of all pieces share is dealt out. Order and result are those of pieces sorted by (doc_id,
+    piece, ids_crc32), hence reruns agree. No pieces give no rows.
     """
     order_of = pieces.columns
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))
-    pieces = materialize(pieces.withColumn("_salt", salt), "pieces")
+    pieces = materialize(pieces, "pieces")
+    salts = math.ceil(math.sqrt(pieces.count()) / 8) or 1
+    pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     counts = pieces.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy("length").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
     first = materialize(counts.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))), "counts")

@@ -33,6 +33,22 @@ def test_ids_are_the_tokenizers(spark):
         assert all(r["ids_crc32"] == zlib.crc32(np.asarray(r["ids"], "<u4").tobytes()) for r in parts)
 
 
+def test_words_are_encoded_as_by_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tok, r, words = Tokenizer.from_file(PATH), random.Random(4), set()
+    for _ in range(4000):
+        words.update("".join(r.choice("abzéßñ'sştrevmd.,<|>&0123½²ªµAÉİŉſǆ́\x85\xa0·") for _ in range(r.randint(1, 9))).encode().lower().split())
+    with open(PATH, encoding="utf-8") as f:
+        known = packing.WordIds(f.read(), most=1000)
+    words = sorted(words)
+    for i in range(0, len(words), 500):
+        known.learn(set(words[i : i + 500]).difference(known.of))
+        for w in words[i : i + 500]:
+            assert known.of[w] == np.asarray(tok.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes(), w
+        known.shrink()
+
+
 def best_fit(lengths, capacity):
     gaps = []
     for x in sorted(lengths, reverse=True):
