@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 import numpy as np
@@ -21,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one below /tmp only where it names none."""
+    """The folder that the cluster names in spark.checkpoint.dir; one below /tmp only on a local master that names none."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = "/tmp/checkpoints"
+        if not re.match(r"local(\[(?!.*cluster)|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="loomstep-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
@@ -55,6 +59,25 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")).cast("long")
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, op) -> Column:
+    """The array's running op from the left, op being associative, by steps of doubled length: n log n for n values."""
+
+    def step(done: Column, k: Column) -> Column:
+        d = F.pow(F.lit(2), k).cast("int")
+        return F.transform(done, lambda v, i: F.when(i >= d, op(F.get(done, i - d), v)).otherwise(v))
+
+    def scan(x: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(x))).cast("int") - 1)
+        return F.when(F.size(x) < 2, x).otherwise(F.aggregate(steps, x, step))
+
+    return let(values, scan)
+
+
 def raw_texts(column) -> list[bytes]:
     """The UTF-8 bytes of a string column of an Arrow batch; null is empty."""
     return [b"" if t is None else t for t in column.cast("binary").to_pylist()]

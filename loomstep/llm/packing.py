@@ -230,7 +230,8 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
         (np.asarray(starts, np.int64)[order], np.asarray(slots, np.int64).reshape(-1, 4)[order])
     )
     rank = F.row_number().over(W.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32"))
-    ranked = pieces.join(first.select("length", "_salt", "_first"), ["length", "_salt"]).withColumn("_rank", rank - 1 + F.col("_first"))
+    # The window needs the rows dealt by these keys anyway, so the table of counts is merged and never sent whole.
+    ranked = pieces.join(first.select("length", "_salt", "_first").hint("merge"), ["length", "_salt"]).withColumn("_rank", rank - 1 + F.col("_first"))
     ranked = ranked.drop("_salt", "_first")
     names = [c for c in ranked.columns if c != "_rank"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_rank")

@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.charmodel import codes, gram_counts, log_ratio, log_ratio_table
-from loomstep.llm.common import materialize
+from loomstep.llm.charmodel import codes, gram_counts, held_steps, log_ratio_table, mean_log_ratio, threshold
+from loomstep.llm.common import discard, materialize
 
 #: Host and path, and what happens to URLs that they fit.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: Letters count alike in either case and digits as 0 before this alphabet is applied.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.:-_?=&%#+~"
+#: Letters count alike in either case, digits as 0 and _ as - before this alphabet is applied.
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-?"
 SIZE = len(ALPHABET) + 1
 #: Characters of context at most.
-ORDER = 2
+ORDER = 3
 #: One of so many labelled URLs is held out for the calibration.
 HELD_OUT = 5
-#: Steps of the score among which the threshold is chosen, and the range that they cover.
-STEPS, RANGE = 800, 4.0
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -43,9 +41,22 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
     return out
 
 
+def undecided(url: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
+    """What of a URL no rule can look at: its last host labels and first path segments, as many as the rules' longest have, are left out."""
+    text = F.coalesce(url, F.lit(""))
+    host, path = host_and_path(text)
+    labels = max((len(r.partition("/")[0].split(".")) for r, _ in rules), default=0)
+    segments = max((r.partition("/")[2].count("/") + (not r.endswith("/")) for r, _ in rules), default=0)
+    own = F.regexp_extract(host, rf"^(.*?)(?:(?:^|\.)[^.]*){{0,{labels}}}$", 1)
+    rest = F.regexp_replace(path, rf"^(/[^/]*){{0,{segments}}}", "")
+    scheme = F.substring_index(text, "://", 1)
+    query = F.substring(text, F.length(scheme) + 4 + F.length(host) + F.length(path), F.length(text))
+    return F.when(F.instr(text, F.lit("://")) > 0, F.concat(scheme, F.lit("://"), own, rest, query)).otherwise(text)
+
+
 def url_codes(url: Column) -> Column:
     plain = F.lower(F.coalesce(url, F.lit("")))
-    return codes(F.translate(plain, "123456789", "000000000"), ALPHABET)
+    return codes(F.translate(plain, "123456789_", "000000000-"), ALPHABET)
 
 
 def judge(
@@ -60,8 +71,10 @@ def judge(
     A rule's verdict stands. The others get the models': log-likelihood under the model of accepted URLs less
     that of rejected ones, per character, against a threshold that makes the mean of both error rates smallest
     on held-out labelled URLs (of equal ones the middle). Labels (1 accepted, 0 rejected, null neither) are
-    the rules' verdicts unless label is given; all labelled rows count, each distinct URL once. Null and empty
-    URLs have empty host and path and score 0. Without labels of both kinds the models allow all.
+    the rules' verdicts unless label is given; all labelled rows count, each distinct URL once. Of rules'
+    verdicts the models learn and read only what no rule can look at (see undecided()), or they would learn
+    the rules' own hosts; of given labels they read whole URLs. Null and empty URLs have empty host and path
+    and score 0. Without labels of both kinds the models allow all. An empty table gives no rows.
     Columns of pages named like the new ones are replaced.
     """
     keep = [c for c in pages.columns if c not in ("host", "path", "rule", "score", "verdict")]
@@ -70,35 +83,16 @@ def judge(
     host, path = host_and_path(F.col("_url"))
     rows = rows.withColumn("host", host).withColumn("path", path).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     y = F.col("_y") if label is not None else F.when(F.col("_rule.verdict") == "allow", 1).when(F.col("_rule.verdict") == "block", 0)
+    read = F.col("_url") if label is not None else undecided(F.col("_url"), rules)
     known = rows.select("_url", y.alias("y")).where("y is not null and _url is not null").distinct()
-    known = known.withColumn("c", url_codes(F.col("_url"))).withColumn("out", F.pmod(F.xxhash64("_url"), F.lit(HELD_OUT)) == 0)
+    known = known.withColumn("c", url_codes(read)).withColumn("out", F.pmod(F.xxhash64("_url"), F.lit(HELD_OUT)) == 0)
     known = materialize(known.select("y", "c", "out"), "known")
     counts = materialize(gram_counts(known.where("not out"), "y", "c", ORDER, SIZE), "grams")
     table = log_ratio_table(counts, "y", ORDER, SIZE)
-    score = lambda c: F.coalesce(log_ratio(c, table, ORDER, SIZE) / F.nullif(F.size(c), F.lit(0)), F.lit(0.0))
-    step = F.greatest(F.least(F.round(score(F.col("c")) * (STEPS / RANGE)), F.lit(STEPS)), F.lit(-STEPS)).cast("int")
-    held = known.where("out").select("y", step.alias("step")).groupBy("step").agg(F.count_if(F.col("y") == 1).alias("good"), F.count_if(F.col("y") == 0).alias("bad"))
-    least = _threshold({r["step"]: (r["good"], r["bad"]) for r in held.collect()})
-    own = score(url_codes(F.col("_url")))
+    discard(counts)
+    score = lambda frame, c: frame.withColumn("_t", table.scalar()).withColumn("score", mean_log_ratio(c, F.col("_t"), ORDER, SIZE))
+    least = threshold(held_steps(score(known.where("out"), F.col("c")), "y", F.col("score")))
+    discard(known)
     verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") >= least, "allow").otherwise("block"))
-    out = rows.withColumn("score", own)
+    out = score(rows, url_codes(read))
     return out.select(*(f"`{c}`" for c in keep), "host", "path", F.col("_rule.rule").alias("rule"), "score", verdict.alias("verdict"))
-
-
-def _threshold(held: dict[int, tuple[int, int]]) -> float:
-    """From the counts of accepted and rejected URLs at each step: the score from which on a URL is allowed."""
-    good, bad = (sum(x[i] for x in held.values()) for i in (0, 1))
-    if not good or not bad:
-        return float("-inf")
-    best: tuple[float, list[float]] = (2.0, [])
-    missed, passed = 0, bad
-    for step in range(-STEPS, STEPS + 2):
-        error = missed / good + passed / bad
-        cut = (step - 0.5) * RANGE / STEPS
-        if error < best[0]:
-            best = (error, [cut])
-        elif error == best[0]:
-            best[1].append(cut)
-        g, b = held.get(step, (0, 0))
-        missed, passed = missed + g, passed - b
-    return best[1][len(best[1]) // 2]
