@@ -64,7 +64,7 @@ def assign_folds(df: DataFrame, folds: DataFrame) -> DataFrame:
 def weighted_r2(df: DataFrame, y: str, prediction: str, weight: str | None = None, by: list[str] | None = None, centred: bool = True) -> DataFrame:
     """wr2 = 1 - sum w (y - p)^2 / sum w (y - mean)^2; null weight: 1; centred: mean is the weighted one, else 0.
 
-    One aggregation, around the first moment; sums are taken before the shuffle.
+    Two passes, as the deviations are taken around the first one's mean, and with by a join to the means; both aggregate before the shuffle.
     """
     w = F.coalesce(F.col(weight), F.lit(1.0)) if weight else F.lit(1.0)
     mean = F.sum(w * F.col(y)) / F.greatest(F.sum(w), F.lit(1e-12))

@@ -17,6 +17,7 @@ def daily_values(df: DataFrame, columns: list[str], lags: list[int]) -> DataFram
     """Per symbol and day: close (last by time, null or not), mean, deviation and the L-th value from the end.
 
     A day's ticks are gathered in one array of rows, which a day bounds; rows of null values count as places.
+    The times of the day's ticks stay as times.
     """
     require_columns(df, [*KEYS, *columns])
     ticks = F.sort_array(F.collect_list(F.struct(TIME, *columns)))
@@ -24,12 +25,13 @@ def daily_values(df: DataFrame, columns: list[str], lags: list[int]) -> DataFram
     rows = df.groupBy(SYMBOL, DATE).agg(ticks.alias("_ticks"), *stats)
     tails = [F.try_element_at("_ticks", F.lit(-k))[c].alias(f"{c}_tail{k}") for c in columns for k in lags]
     closes = [F.try_element_at("_ticks", F.lit(-1))[c].alias(f"{c}_close") for c in columns]
-    return rows.select(SYMBOL, DATE, *closes, *(f"{c}_{n}" for c in columns for n in ("mean", "std")), *tails)
+    times = F.transform("_ticks", lambda t: t[TIME]).alias("times")
+    return rows.select(SYMBOL, DATE, times, *closes, *(f"{c}_{n}" for c in columns for n in ("mean", "std")), *tails)
 
 
 def day_streaks(df: DataFrame) -> DataFrame:
     """Daily rows with gap (days since the symbol's day before, 1 for its first) and streak (runs of gap 1)."""
-    w = Window.partitionBy(SYMBOL).orderBy(DATE)
+    w = Window.partitionBy(SYMBOL).orderBy(F.asc_nulls_last(DATE))  # a null day changes no other
     gap = F.coalesce(F.col(DATE) - F.lag(DATE).over(w), F.lit(1))
     rows = df.withColumn("gap", gap)
     run = F.sum((F.col("gap") != 1).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -45,14 +47,14 @@ def daily_features(
     rolling: tuple[int, ...] = (3,),
     cast: str = "float",
 ) -> DataFrame:
-    """The daily table of stage A, one row per symbol and day, with all values moved on by one day.
+    """The daily table of stage A, one row per symbol and day with its times, and all values moved on by one day.
 
     A day takes values only from the day right before it; after a gap all are null.
     """
     places = tail_lags(lags, diffs)
     day = day_streaks(daily_values(df, columns, places))
-    w = Window.partitionBy(SYMBOL).orderBy(DATE)
-    run = Window.partitionBy(SYMBOL, "streak").orderBy(DATE)
+    w = Window.partitionBy(SYMBOL).orderBy(F.asc_nulls_last(DATE))
+    run = Window.partitionBy(SYMBOL, "streak").orderBy(F.asc_nulls_last(DATE))
     next_to = F.col("gap") == 1
     own: dict[str, object] = {}
     for c in columns:
@@ -64,10 +66,17 @@ def daily_features(
         for n in rolling:
             frame = run.rowsBetween(1 - n, 0)
             own |= {f"{c}_close_roll{n}_mean": F.avg(close).over(frame), f"{c}_close_roll{n}_std": F.stddev_samp(close).over(frame)}
-    day = day.select(SYMBOL, DATE, "gap", *(e.alias(n) for n, e in own.items()))
-    return day.select(SYMBOL, DATE, *(F.when(next_to, F.lag(n).over(w)).cast(cast).alias(n) for n in own))
+    day = day.select(SYMBOL, DATE, "times", "gap", *(e.alias(n) for n, e in own.items()))
+    return day.select(SYMBOL, DATE, "times", *(F.when(next_to, F.lag(n).over(w)).cast(cast).alias(n) for n in own))
 
 
 def stage_a(df: DataFrame, columns: list[str], **parameters) -> DataFrame:
-    """Ticks (keys only) with the features of daily_features(); the daily side has one row for a day of ticks."""
-    return df.select(*KEYS).join(daily_features(df, columns, **parameters), [SYMBOL, DATE], "left")
+    """Ticks (keys only) with the features of daily_features(). Each day unfolds into its ticks again, so nothing is joined.
+
+    Rows of a null symbol or day have no features.
+    """
+    day = daily_features(df, columns, **parameters)
+    names = [c for c in day.columns if c not in (SYMBOL, DATE, "times")]
+    known = F.col(SYMBOL).isNotNull() & F.col(DATE).isNotNull()
+    ticks = day.select(SYMBOL, DATE, F.explode("times").alias(TIME), *(F.when(known, F.col(n)).alias(n) for n in names))
+    return ticks.select(*KEYS, *names)

@@ -43,38 +43,72 @@ def rolling(c: str, n: int) -> tuple[Column, Column, Column]:
 def ewm(df: DataFrame, columns: list[str], spans: list[int], cast: str = "float") -> DataFrame:
     """Keys and {column}__ewm{span}: y = (1 - a) * y before + a * x with a = 2 / (span + 1), from the run's first value.
 
-    Nulls leave y as it is. Spark has no such recursion: symbols are dealt out and sorted, and a worker goes
-    through its rows batch by batch, so it holds one batch and the last y of each column, however long a run.
+    Nulls leave y as it is. Rows are dealt out by symbol once.
     """
-    pairs = [(c, s, f"{c}__ewm{s}") for c in columns for s in spans]
+    rows = tick_streaks(df.select(*KEYS, *columns).repartition(SYMBOL))
+    names = [f"{c}__ewm{s}" for c in columns for s in spans]
+    return with_ewm(rows, columns, spans, cast).select(*KEYS, *names)
+
+
+def with_ewm(rows: DataFrame, columns: list[str], spans: list[int], cast: str = "float") -> DataFrame:
+    """rows, which are dealt by symbol and have their streak, with the columns of ewm(); the others are carried along.
+
+    Spark has no such recursion: a worker goes through its sorted rows batch by batch, so it holds one batch and
+    the last y of each column, however long a run.
+    """
+    names = [f"{c}__ewm{s}" for s in spans for c in columns]
     kind = T.FloatType() if cast == "float" else T.DoubleType()
-    schema = T.StructType([*(df.schema[k] for k in KEYS), *(T.StructField(n, kind) for _, _, n in pairs)])
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, kind) for n in names)])
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        last: dict[str, float | None] = {}
+        last = [np.full(len(columns), np.nan) for _ in spans]
         run_of = None
         for batch in batches:
-            keys = list(zip(batch.column(SYMBOL).to_pylist(), batch.column("streak").to_pylist(), strict=True))
-            made = []
-            for c, s, n in pairs:
-                a, y, at, out = 2 / (s + 1), last.get(n), run_of, []
-                for key, x in zip(keys, batch.column(c).to_pylist(), strict=True):
-                    if key != at:
-                        y, at = None, key
-                    if x is not None:
-                        y = x if y is None else (1 - a) * y + a * x
-                    out.append(y)
-                last[n] = y
-                made.append(pa.array(out, pa.float32() if cast == "float" else pa.float64()))
-            run_of = keys[-1] if keys else run_of
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEYS), *made], names=schema.names)
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns])
+            keys = np.column_stack([batch.column(k).fill_null(-1).to_numpy(zero_copy_only=False) for k in (SYMBOL, "streak")])
+            starts = np.append(0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1)
+            made = [np.empty_like(x) for _ in spans]
+            for lo, hi in zip(starts, np.append(starts[1:], len(x)), strict=True):
+                for i, s in enumerate(spans):
+                    before = last[i] if tuple(keys[lo]) == run_of else np.full(len(columns), np.nan)
+                    made[i][lo:hi] = _smoothed(x[lo:hi], 2 / (s + 1), before)
+                    last[i] = made[i][hi - 1]
+                run_of = tuple(keys[lo])
+            out = np.column_stack(made).astype("float32" if cast == "float" else "float64")
+            arrays = [pa.array(column, mask=np.isnan(column)) for column in out.T]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=schema.names)
 
-    rows = tick_streaks(df.select(*KEYS, *columns).repartition(SYMBOL))
     return rows.sortWithinPartitions(SYMBOL, "streak", DATE, TIME).mapInArrow(run, schema)
 
 
+def _smoothed(x, a: float, y):
+    """y after each row of x, by column, from y before it (NaN: none); NaN in x leaves y.
+
+    Blocks of rows are sums of x over growing powers, so short that these stay below 10 ** 4.
+    """
+    import numpy as np
+
+    out, at, block = np.empty_like(x), 0, max(1, int(np.log(1e4) / -np.log1p(-a))) if a < 1 else 1
+    power = (1 - a) ** np.arange(1, block + 1)[:, None]
+    while at < len(x):
+        part = x[at : at + block]
+        if np.isnan(y).any() or np.isnan(part).any() or a == 1:
+            part = part[:1]
+            y = np.where(np.isnan(part[0]), y, np.where(np.isnan(y), part[0], (1 - a) * y + a * part[0]))
+            out[at] = y
+        else:
+            p = power[: len(part)]
+            out[at : at + len(part)] = (y + np.cumsum(a * part / p, axis=0)) * p
+            y = out[at + len(part) - 1]
+        at += len(part)
+    return out
+
+
 def cross_section_z(c: str) -> Column:
     w = windows.across_symbols()
     std = F.stddev_samp(c).over(w)
@@ -108,7 +142,8 @@ def stage_c(
     cast: str = "float",
     groups: tuple[str, ...] = GROUPS,
 ) -> DataFrame:
-    """Keys and the features of the chosen groups. The windows over runs share one exchange and one sort.
+    """Keys and the features of the chosen groups. Windows over runs and exponential means share one exchange by
+    symbol, comparisons across symbols take one by tick.
 
     Plans of over 100 columns leave code generation, so wide panels are made group by group.
     """
@@ -126,11 +161,13 @@ def stage_c(
                 mean, std, z = rolling(c, n)
                 made |= ({f"{c}__rmean{n}": mean, f"{c}__rstd{n}": std} if keep_rolling else {}) | {f"{c}__rz{n}": z}
     chosen = [c for c in columns if c in (cross or [])] if "csrank" in groups else []
-    base = tick_streaks(df.select(*KEYS, *columns))
-    rows = base.select(*KEYS, *chosen, *(e.cast(cast).alias(n) for n, e in made.items()))
-    if chosen:
-        section = {f"{c}__cs_z": cross_section_z(c) for c in chosen} | {f"{c}__csrank": cross_section_rank(c).cast(cast) for c in chosen}
-        rows = rows.select(*KEYS, *made, *(e.alias(n) for n, e in section.items()))
+    rows = tick_streaks(df.select(*KEYS, *columns).repartition(SYMBOL))
+    wide = [c for c in columns if c in chosen or "ewm" in groups]
+    rows = rows.select(*KEYS, "streak", *wide, *(e.cast(cast).alias(n) for n, e in made.items()))
     if "ewm" in groups:
-        rows = rows.join(ewm(df, columns, positive_ints(spans, "spans"), cast), list(KEYS), "left")
-    return rows
+        smooth = [f"{c}__ewm{s}" for c in columns for s in positive_ints(spans, "spans")]
+        rows = with_ewm(rows, columns, positive_ints(spans, "spans"), cast)
+    else:
+        smooth = []
+    section = {f"{c}__cs_z": cross_section_z(c) for c in chosen} | {f"{c}__csrank": cross_section_rank(c).cast(cast) for c in chosen}
+    return rows.select(*KEYS, *made, *(e.alias(n) for n, e in section.items()), *smooth)

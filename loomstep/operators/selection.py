@@ -5,13 +5,15 @@ from __future__ import annotations
 import itertools
 import random
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstep.operators.crossval import assign_folds, fold_summary, weighted_r2
 from loomstep.schema import ordered_unique
+from loomstep.sources.dated import read_summary, write_names, write_summary
 
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
@@ -21,21 +23,45 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return made.drop(*(f"_x_{c}" for c in features))
 
 
-def fit_folds(df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str, rounds: int = 20, depth: int = 5, rate: float = 0.1, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(scores, importance): wr2 of each fold, and gain share of each feature averaged over folds.
+def fold_rows(df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str) -> DataFrame:
+    """(features, label, w, fold, part) of all folds, assembled once and kept, as every fold and trial reads them again.
 
-    Spark's boosted trees grow level by level; scores are comparable among themselves only.
+    The caller unpersists them. Null targets are left out, null weights count as 1.
+    """
+    rows = assign_folds(assemble(df.where(F.col(y).isNotNull()), features), folds)
+    w = F.coalesce(F.col(weight).cast("double"), F.lit(1.0))
+    return rows.select("features", F.col(y).cast("double").alias("label"), w.alias("w"), "fold", "part").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit_fold(rows: DataFrame, fold: int, *, rounds: int, depth: int, rate: float, tolerance: float, seed: int) -> tuple[GBTRegressionModel, float]:
+    """The model of one fold and its wr2 on the validation rows; the trees behind the best round are not in the model."""
+    own = rows.where(F.col("fold") == fold).withColumn("valid", F.col("part") == "valid")
+    trees = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, weightCol="w", validationIndicatorCol="valid", validationTol=tolerance)
+    model = trees.fit(own)
+    score = weighted_r2(model.transform(own.where("valid")), "label", "prediction", "w").first()["wr2"]
+    return model, score
+
+
+def fit_folds(
+    df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str, rounds: int = 20, depth: int = 5, rate: float = 0.1, tolerance: float = 0.01, seed: int = 42, rows: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(scores, importance): wr2 and best number of rounds of each fold, and gain share of each feature averaged over folds.
+
+    A fit stops where a further round does not lower the validation error by tolerance (relative to it, or to
+    0.01 if that is more). Spark's boosted trees grow level by level; scores are comparable among themselves only.
+    rows: what fold_rows() made of the same arguments, if the caller keeps it.
     """
     spark = df.sparkSession
-    rows = assign_folds(assemble(df, features), folds).select("features", F.col(y).cast("double").alias("label"), F.col(weight).cast("double").alias("w"), "fold", "part")
+    kept = rows if rows is not None else fold_rows(df, features, folds, y=y, weight=weight)
     scores, shares = [], []
     for fold in [r["fold"] for r in folds.select("fold").orderBy("fold").collect()]:
-        model = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, weightCol="w").fit(rows.where((F.col("fold") == fold) & (F.col("part") == "train")))
-        valid = model.transform(rows.where((F.col("fold") == fold) & (F.col("part") == "valid")))
-        scores.append((fold, weighted_r2(valid, "label", "prediction", "w").first()["wr2"]))
+        model, wr2 = fit_fold(kept, fold, rounds=rounds, depth=depth, rate=rate, tolerance=tolerance, seed=seed)
+        scores.append((fold, wr2, model.getNumTrees))
         shares += [(fold, c, float(s)) for c, s in zip(features, model.featureImportances.toArray(), strict=True)]
+    if rows is None:
+        kept.unpersist()
     importance = spark.createDataFrame(shares, "fold int, feature string, share double")
-    return spark.createDataFrame(scores, "fold int, wr2 double"), importance.groupBy("feature").agg(F.avg("share").alias("gain_share"))
+    return spark.createDataFrame(scores, "fold int, wr2 double, rounds int"), importance.groupBy("feature").agg(F.avg("share").alias("gain_share"))
 
 
 def top_features(importance: DataFrame, k: int, always: list[str] = (), score: str = "gain_share") -> DataFrame:
@@ -45,6 +71,14 @@ def top_features(importance: DataFrame, k: int, always: list[str] = (), score: s
     return importance.sparkSession.createDataFrame(list(enumerate(ordered_unique([*always, *names]), 1)), "rank int, feature string")
 
 
+def select_features(df: DataFrame, features: list[str], folds: DataFrame, path: str, *, y: str, weight: str, k: int, always: list[str] = (), **fit) -> DataFrame:
+    """top_features() by gain share over the folds, its names written to path, one a line; returns (rank, feature)."""
+    _, importance = fit_folds(df, features, folds, y=y, weight=weight, **fit)
+    best = top_features(importance, k, always)
+    write_names(df.sparkSession, [r["feature"] for r in best.orderBy("rank").collect()], path)
+    return best
+
+
 def refit_rounds(best: list[int]) -> int:
     """Rounds of a fit on the whole window from those of the folds."""
     return max(50, int(sum(best) / len(best) * 1.10))
@@ -62,16 +96,28 @@ def search_parameters(df: DataFrame, features: list[str], folds: DataFrame, *, y
     space: values to try for rounds, depth and rate of fit_folds(). Trials run one after the other, each on
     the whole cluster; only their scores come to the driver.
     """
-    rows = []
+    rows, kept = [], fold_rows(df, features, folds, y=y, weight=weight)
     for trial, point in enumerate(draw_trials(space, trials, seed)):
-        scores, _ = fit_folds(df, features, folds, y=y, weight=weight, seed=seed, **point)
+        scores, _ = fit_folds(df, features, folds, y=y, weight=weight, seed=seed, rows=kept, **point)
         found = fold_summary(scores).first()
         rows.append((trial, *(float(v) for v in point.values()), found["mean"], found["std"]))
+    kept.unpersist()
     fields = ", ".join(["trial int", *(f"{c} double" for c in space), "mean_wr2 double, std_wr2 double"])
     return df.sparkSession.createDataFrame(rows, fields).orderBy(F.desc("mean_wr2"), "trial")
 
 
 def refit(df: DataFrame, features: list[str], *, y: str, weight: str, best: list[int], depth: int = 5, rate: float = 0.1, seed: int = 42) -> GBTRegressionModel:
-    """A model of the whole window, with refit_rounds(best) rounds."""
+    """A model of the whole window, with refit_rounds(best) rounds; best: those of the folds."""
     rows = assemble(df, features).select("features", F.col(y).cast("double").alias("label"), F.col(weight).cast("double").alias("w"))
     return GBTRegressor(maxIter=refit_rounds(best), maxDepth=depth, stepSize=rate, seed=seed, weightCol="w").fit(rows)
+
+
+def save_model(model: GBTRegressionModel, path: str, features: list[str], **meta) -> None:
+    """The model below path/model, and its features, rounds and meta as JSON below path/meta."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    write_summary(spark, meta | {"features": features, "rounds": model.getNumTrees}, f"{path}/meta")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[GBTRegressionModel, dict]:
+    return GBTRegressionModel.load(f"{path}/model"), read_summary(spark, f"{path}/meta")

@@ -1,4 +1,8 @@
-"""From raw ticks to a panel: clean, feature stages, assembly. All steps are lazy frames on one plan."""
+"""From raw ticks to a panel: clean, feature stages, assembly.
+
+clean_panel(), stages() and panel() are lazy frames on one plan. A whole run writes what each step makes, checks
+the files and reads them back, so that cleaning runs once and each stage reads files and not the plans before it.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +16,11 @@ from loomstep.functions.scalar import cyclic_time, time_bucket
 from loomstep.operators.daily import stage_a
 from loomstep.operators.history import GROUPS, stage_c
 from loomstep.operators.preprocess import causal_impute, rolling_sigma_clip, zero_fill
+from loomstep.operators.quality import distinct_days
+from loomstep.operators.validate import assert_panel_shard, assert_time_monotone, date_range
 from loomstep.operators.xday import stage_b
 from loomstep.schema import DATE, KEYS, TIME
-from loomstep.sources.dated import write_dated
+from loomstep.sources.dated import read_dated, write_dated
 from loomstep.sources.settings import Settings
 
 
@@ -41,6 +47,10 @@ def on_core(df: DataFrame, make: Callable[[DataFrame], DataFrame], read_from: in
     return make(df.where(F.col(DATE).between(read_from, high))).where(F.col(DATE).between(low, high))
 
 
+#: What stages() makes, in the order of writing.
+STAGES = ("stage_a", "stage_b", *(f"stage_c_{g}" for g in GROUPS))
+
+
 def stages(df: DataFrame, responders: list[str], features: list[str], s: Settings = Settings()) -> dict[str, DataFrame]:
     """stage_a, stage_b and stage_c_{group} by name, each with keys; not run until written."""
     a = asdict(s.a)
@@ -50,17 +60,75 @@ def stages(df: DataFrame, responders: list[str], features: list[str], s: Setting
     return found | {f"stage_c_{g}": stage_c(df, features, **(c | {"groups": (g,)})) for g in GROUPS}
 
 
-def write_stages(df: DataFrame, responders: list[str], features: list[str], out: str, low: int, high: int, s: Settings = Settings()) -> list[str]:
-    """Writes the stages of dates low to high under out and returns the paths in the order of writing."""
-    if low is None or high is None:
-        raise ValueError("stages are written for a range of dates")
+def write_checked(df: DataFrame, path: str, low: int, high: int, *, check: bool = True, exact: bool = True) -> DataFrame:
+    """Writes rows of dates low to high in blocks of dates counted from low, and reads them back.
+
+    check: the files must be in order of time and (exact) reach from low to high, or an AssertionError is raised.
+    """
+    spark = df.sparkSession
+    write_dated(df.where(F.col(DATE).between(low, high)), path, first=low)
+    if check and exact:
+        assert_panel_shard(spark, path, low, high)
+    elif check:
+        assert_time_monotone(spark, path)
+    return read_dated(spark, path)
+
+
+def write_clean(raw: DataFrame, features: list[str], path: str, s: Settings = Settings(), *, check: bool = True) -> DataFrame:
+    """clean_panel() of all dates of raw (of those of the settings, if they name any), written and read back."""
+    rows = raw.where(F.col(DATE) >= s.first_date) if s.first_date is not None else raw
+    rows = rows.where(F.col(DATE) <= s.last_date) if s.last_date is not None else rows
+    r = date_range(rows).first()
+    if not r["n_rows"]:
+        raise ValueError("no rows in these dates")
+    return write_checked(clean_panel(rows, features, s), path, r["min_date"], r["max_date"], check=check)
+
+
+def cores_of(clean: DataFrame, s: Settings = Settings()) -> list[tuple[int, int, int]]:
+    """padded_cores() over the days of a clean panel: as many numbers come to the driver as there are days."""
+    days = [r[0] for r in distinct_days(clean).orderBy(DATE).collect()]
+    return padded_cores(days, s.pad_days, s.core_days)
+
+
+def core_path(out: str, name: str, low: int, high: int) -> str:
+    return f"{out}/{name}/{low:04d}_{high:04d}"
+
+
+def write_stages(clean: DataFrame, responders: list[str], features: list[str], out: str, s: Settings = Settings(), *, check: bool = True) -> list[str]:
+    """Writes each stage of each core, made from the core's padded range alone, and returns the paths in that order.
+
+    A core is a path of its own, so one that is written again replaces itself. clean is what write_clean() read back.
+    """
     paths = []
-    for name, frame in stages(df, responders, features, s).items():
-        write_dated(frame.where(F.col(DATE).between(low, high)), f"{out}/{name}", first=low)
-        paths.append(f"{out}/{name}")
+    for read_from, low, high in cores_of(clean, s):
+        padded = clean.where(F.col(DATE).between(read_from, high))
+        for name, frame in stages(padded, responders, features, s).items():
+            paths.append(core_path(out, name, low, high))
+            write_checked(frame, paths[-1], low, high, check=check)
     return paths
 
 
+def write_panel(clean: DataFrame, staged: str, out: str, features: list[str], *, target: str, s: Settings = Settings(), check: bool = True) -> list[str]:
+    """Stitches the clean panel to all stages that write_stages() left under staged, core by core; returns the paths."""
+    spark, paths = clean.sparkSession, []
+    for _, low, high in cores_of(clean, s):
+        parts = [read_dated(spark, core_path(staged, name, low, high)) for name in STAGES]
+        rows = panel(clean, parts, features, target=target, low=low, high=high, daily_ticks=s.daily_ticks)
+        paths.append(core_path(out, "panel", low, high))
+        write_checked(rows, paths[-1], low, high, check=check)
+    return paths
+
+
+def run(raw: DataFrame, responders: list[str], features: list[str], out: str, *, target: str, s: Settings = Settings(), check: bool = True) -> DataFrame:
+    """The whole way from raw ticks to the panel below out: clean, stage_a, stage_b, six groups of stage_c, panel."""
+    clean = write_clean(raw, features, f"{out}/clean", s, check=check)
+    write_stages(clean, responders, features, f"{out}/stages", s, check=check)
+    paths = write_panel(clean, f"{out}/stages", out, features, target=target, s=s, check=check)
+    if not paths:
+        raise ValueError("no day lies behind the first pad_days days")
+    return raw.sparkSession.read.parquet(*(f"{p}/*" for p in paths))
+
+
 def stitch(base: DataFrame, parts: list[DataFrame]) -> DataFrame:
     """base with the columns of each part, by keys; base rows without a match stay."""
     for part in parts:

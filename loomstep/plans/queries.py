@@ -17,8 +17,10 @@ from loomstep.functions.scalar import clip_upper, cyclic_time, sanitize, time_bu
 from loomstep.operators import crossval, daily, history, preprocess, quality, selection, validate, xday
 from loomstep.plans import pipeline
 from loomstep.schema import DATE, KEYS, SYMBOL, TIME
-from loomstep.sources.dated import to_matrix, with_block
+from loomstep.sources.dated import read_dated, read_names, read_raw, to_matrix, write_dated
 from loomstep.sources.panels import DAILY_TICKS, duck_panel, event_panel
+from loomstep.sources.scratch import scratch_path
+from loomstep.sources.settings import Clip, Fill, Settings, StageA, StageB, StageC
 
 FEATURES, RESPONDERS = ["feature_00", "feature_01"], ["responder_0", "responder_1", "responder_2"]
 K = ", ".join(KEYS)
@@ -286,10 +288,53 @@ def _padded(spark: SparkSession, d: str) -> DataFrame:
 def _stitched(spark: SparkSession, d: str) -> DataFrame:
     rows = _with_bucket(event_panel(spark, d))
     parts = [xday.stage_b(rows, ["responder_0"], lags=(1,), stats_columns=[], across=False, cast="double"), history.stage_c(rows, ["feature_00"], lags=(1,), cast="double", groups=("lags",))]
-    made = pipeline.panel(rows, parts, FEATURES, target="responder_1", low=5, high=20, daily_ticks=DAILY_TICKS)
+    made = pipeline.panel(rows, parts, FEATURES, target="responder_1", low=0, high=29, daily_ticks=DAILY_TICKS)
     return _round(made, [c for c in made.columns if c not in (*KEYS, "time_bucket")], 4)
 
 
+_RUN_S = Settings(
+    daily_ticks=DAILY_TICKS, pad_days=5, core_days=13, clip=Clip(480, 3.0, 1, 10), fill=Fill(**FILL), a=StageA(TAILS, DIFFS, ROLL, "double"),
+    b=StageB(LAGS, cast="double"), c=StageC(**C, cross=("feature_00",), cast="double"),
+)
+
+
+def _whole_run(spark: SparkSession, d: str) -> DataFrame:
+    """Raw to clean to stages A, B and six groups of C to panel, each written, checked and read back; two padded cores."""
+    made = pipeline.run(event_panel(spark, d), RESPONDERS, FEATURES, scratch_path(spark, "panel_run"), target="responder_0", s=_RUN_S)
+    return _values(made, (*KEYS, "time_bucket"))
+
+
+def _clean_sql(kind: str, raw: str) -> str:
+    """From p, the raw panel, to s3, whose features are clipped and imputed."""
+    return (
+        f"{_bucketed(kind)}, o AS (SELECT {K}, {', '.join(f'{_clip_sql(x)} AS {x}' for x in FEATURES)} FROM b {_CLIP_W}), "
+        f"s0 AS ({_fill_sql('o', 'open')}), s1 AS ({_fill_sql('s0', 'intraday')}), s2 AS ({_fill_sql('s1', 'same_tick')}), s3 AS ({_fill_sql('s2', 'intraday')})"
+    ).replace("p AS (", f"{raw} AS (", 1).replace("FROM p)", f"FROM {raw})")
+
+
+def _whole_run_sql() -> str:
+    """Cores are told apart by keys that are moved by 1000 for each, so that windows over keys stay within a core."""
+    stage_a = _daily_sql().replace(f"p AS ({duck_panel('gappy')}),\n", "")
+    stage_b = _stage_b_sql().replace(f"p AS ({duck_panel()}),\n", "")
+    streak = _STREAK.replace(f"p AS ({duck_panel('gappy')}),\n", "")
+    names = {n: e for x in FEATURES for p in _c_parts(x).values() for n, e in p.items()}
+    section = {"feature_00__cs_z": _CS_Z.format(x="feature_00"), "feature_00__csrank": _RANK_SQL.format(x="feature_00")}
+    lists = {f"{x}__ewm10": f"list({x}) OVER (PARTITION BY symbol_id, streak ORDER BY date_id, time_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)" for x in FEATURES}
+    first = ", ".join(f"{e} AS {n}" for n, e in (names | section | lists).items())
+    last = [_r(f"x.{n}", n) for n in (names | section)] + [_r(_EWM_VALUE.format(x=f"x.{n}"), n) for n in lists]
+    zero = ", ".join(f"coalesce(s3.{x}, 0.0) AS {x}" for x in FEATURES)
+    own = ["responder_0", "weight", *FEATURES]
+    return f"""WITH {_clean_sql("dense", "raw")},
+w AS (SELECT b.* REPLACE ({zero}) FROM b JOIN s3 USING ({K})),
+i AS (SELECT date_id, row_number() OVER (ORDER BY date_id) - 1 AS n FROM (SELECT DISTINCT date_id FROM w)),
+k AS (SELECT l.n // 13 + 1 AS k, f.date_id AS read_from, l.date_id AS low, (SELECT max(h.date_id) FROM i h WHERE h.n < l.n + 13) AS high FROM i l JOIN i f ON f.n = l.n - 5 WHERE (l.n - 5) % 13 = 0),
+p AS (SELECT w.* REPLACE (CAST(symbol_id + 1000 * k AS INT) AS symbol_id, CAST(date_id + 1000 * k AS INT) AS date_id), k, low, high FROM w JOIN k ON date_id BETWEEN read_from AND high),
+{stage_a}, {stage_b}, {streak}, x AS (SELECT {K}, {first} FROM c {_RUN}, s AS (PARTITION BY date_id, time_id))
+SELECT CAST(p.symbol_id - 1000 * k AS INT) AS symbol_id, CAST(p.date_id - 1000 * k AS INT) AS date_id, p.time_id, p.time_bucket, {", ".join(_r(f"p.{c}", c) for c in own)},
+  {", ".join(_r(e.replace("time_id", "p.time_id"), n) for n, e in _TIME_SQL.items())}, {", ".join(_r(f"f.{n}", n) for n in _names_a())}, {", ".join(_r(f"v.{n}", n) for n in _names_b())}, {", ".join(last)}
+FROM p LEFT JOIN f USING (symbol_id, date_id) LEFT JOIN v USING ({K}) LEFT JOIN x USING ({K}) WHERE p.date_id - 1000 * k BETWEEN low AND high"""
+
+
 def _r4(expression: str, name: str) -> str:
     return f"ROUND(CAST({expression} AS DOUBLE), 4) AS {name}"
 
@@ -305,7 +350,21 @@ h AS (SELECT *, date_id - lag(date_id) OVER (PARTITION BY symbol_id ORDER BY dat
 c AS (SELECT *, sum(CAST(coalesce(gap, 0) > 1 AS INT)) OVER (PARTITION BY symbol_id ORDER BY date_id, time_id) AS streak FROM h),
 f AS (SELECT *, lag(feature_00) OVER (PARTITION BY symbol_id, streak ORDER BY date_id, time_id) AS l1 FROM c)
 SELECT {K}, time_bucket, {", ".join(_r4(c, c) for c in ("responder_1", "weight", *FEATURES))}, {", ".join(_r4(e, n) for n, e in _TIME_SQL.items())},
-  {_r4("CASE WHEN date_id - d1 = 1 THEN r1 END", "responder_0_same_t_prev1")}, {_r4("l1", "feature_00__lag1")} FROM f WHERE date_id BETWEEN 5 AND 20"""
+  {_r4("CASE WHEN date_id - d1 = 1 THEN r1 END", "responder_0_same_t_prev1")}, {_r4("l1", "feature_00__lag1")} FROM f"""
+
+
+def _pruned(spark: SparkSession, d: str) -> DataFrame:
+    """Days 9 to 18 of a dataset written in blocks of 7 days: two of its five folders are read."""
+    path = scratch_path(spark, "dated")
+    write_dated(event_panel(spark, d), path, days=7)
+    return _values(read_dated(spark, path, 9, 18, days=7).select(*KEYS, "feature_00"))
+
+
+def _raw_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Ticks from folders partition_id=*, one for each week, from day 8 on."""
+    path = scratch_path(spark, "raw")
+    event_panel(spark, d).withColumn("partition_id", F.floor(F.col(DATE) / 7).cast("int")).write.partitionBy("partition_id").parquet(path)
+    return read_raw(spark, path, 8).select(*KEYS, "partition_id")
 
 
 def _monotone(spark: SparkSession, d: str) -> DataFrame:
@@ -342,7 +401,7 @@ def _importance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matrix(spark: SparkSession, d: str) -> DataFrame:
-    rows = to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=3, high=12)
+    rows = to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=0, high=29)
     return _round(rows, ["y", "w", *FEATURES], 3)
 
 
@@ -351,10 +410,18 @@ def _boosted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return selection.fit_folds(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", rounds=3, depth=3)
 
 
+def _selected(spark: SparkSession, d: str) -> DataFrame:
+    """feature_01 and the best other feature by gain share, as the file of names has them."""
+    rows, names = event_panel(spark, d), scratch_path(spark, "names")
+    folds = crossval.fold_table(rows, 2, 2, 4)
+    selection.select_features(rows, [*FEATURES, "responder_1"], folds, names, y="responder_0", weight="weight", k=1, always=["feature_01"], rounds=3, depth=3)
+    return spark.createDataFrame(list(enumerate(read_names(spark, names), 1)), "rank int, feature string")
+
+
 def _searched(spark: SparkSession, d: str) -> DataFrame:
     rows = event_panel(spark, d)
     space = {"rounds": (2, 4), "depth": (2, 3), "rate": (0.1, 0.3)}
-    return selection.search_parameters(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", space=space, trials=3)
+    return selection.search_parameters(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", space=space, trials=8)
 
 
 _P, _G = f"WITH p AS ({duck_panel()})", f"WITH p AS ({duck_panel('gappy')})"
@@ -386,11 +453,10 @@ QUERIES: dict[str, Query] = {
     "impute_full": Query(lambda s, d: _values(preprocess.causal_impute(_gappy(s, d), FEATURES, **FILL)), _filled(["open", "intraday", "same_tick", "intraday"])),
     "zero_fill": Query(lambda s, d: _values(preprocess.zero_fill(_gappy(s, d), FEATURES)), f"{_G} SELECT {K}, {', '.join(_r(f'coalesce({x}, 0)', x) for x in FEATURES)} FROM p"),
     "clean_panel": Query(
-        lambda s, d: _values(preprocess.zero_fill(preprocess.causal_impute(_clip_gappy(s, d), FEATURES, **FILL), FEATURES).select(*KEYS, *FEATURES)),
-        f"WITH {_bucketed('gappy')}, o AS (SELECT {K}, {', '.join(f'{_clip_sql(x)} AS {x}' for x in FEATURES)} FROM b {_CLIP_W}), "
-        f"s0 AS ({_fill_sql('o', 'open')}), s1 AS ({_fill_sql('s0', 'intraday')}), s2 AS ({_fill_sql('s1', 'same_tick')}), s3 AS ({_fill_sql('s2', 'intraday')}) "
-        f"SELECT {K}, {', '.join(_r(f'coalesce({x}, 0)', x) for x in FEATURES)} FROM s3",
+        lambda s, d: _values(pipeline.clean_panel(event_panel(s, d, "gappy"), FEATURES, _RUN_S).select(*KEYS, *FEATURES)),
+        f"WITH {_clean_sql('gappy', 'p')} SELECT {K}, {', '.join(_r(f'coalesce({x}, 0)', x) for x in FEATURES)} FROM s3",
     ),
+    "panel_run": Query(_whole_run, _whole_run_sql()),
     "daily_tail_lags": _daily("_prev_tail_"),
     "daily_close_stats": _daily("_prevday_"),
     "daily_overnight_gap": _daily("_overnight_gap"),
@@ -421,10 +487,8 @@ QUERIES: dict[str, Query] = {
         f"{_P} SELECT {K}, {', '.join(_r4(e, n) for n, e in _TIME_SQL.items())} FROM p",
     ),
     "panel_stitch": Query(_stitched, _STITCH_SQL),
-    "date_block_prune": Query(
-        lambda s, d: with_block(event_panel(s, d), 0, 7).where(F.col("date_block").between(1, 2)).select(*KEYS, "date_block"),
-        f"{_P} SELECT {K}, CAST(date_id // 7 AS INT) AS date_block FROM p WHERE date_id // 7 BETWEEN 1 AND 2",
-    ),
+    "date_block_prune": Query(_pruned, f"{_P} SELECT {K}, {_r('feature_00', 'feature_00')} FROM p WHERE date_id BETWEEN 9 AND 18"),
+    "raw_scan": Query(_raw_scan, f"{_P} SELECT {K}, CAST(date_id // 7 AS INT) AS partition_id FROM p WHERE date_id >= 8"),
     "padded_core": Query(_padded, f"WITH {_stage_b_sql()} SELECT {K}, {', '.join(_r(n, n) for n in _names_b())} FROM v WHERE date_id >= 5"),
     "distinct_days": Query(lambda s, d: quality.distinct_days(event_panel(s, d)), f"{_P} SELECT DISTINCT date_id FROM p"),
     "dup_keys": Query(_dups, f"{_P} SELECT symbol_id, date_id, CAST(time_id // 16 AS INT) AS time_id, count(*) AS n FROM p GROUP BY ALL HAVING count(*) > 1"),
@@ -448,6 +512,10 @@ SELECT symbol_id, count(*) AS n_gaps, max(gap) AS max_gap, min(gap) AS min_gap,
         lambda s, d: quality.distinct_counts(event_panel(s, d), [*FEATURES, *RESPONDERS]),
         f"{_P} SELECT symbol_id, {', '.join(f'count(DISTINCT {x}) AS {x}_n_unique' for x in [*FEATURES, *RESPONDERS])} FROM p GROUP BY symbol_id",
     ),
+    "nunique_all": Query(
+        lambda s, d: quality.distinct_counts(event_panel(s, d), [*FEATURES, *RESPONDERS], by=[]),
+        f"{_P} SELECT {', '.join(f'count(DISTINCT {x}) AS {x}_n_unique' for x in [*FEATURES, *RESPONDERS])} FROM p",
+    ),
     "low_std": Query(
         lambda s, d: _round(quality.low_deviation(event_panel(s, d, "gappy"), RESPONDERS, 2.0), ["std"]),
         f"{_G} " + " UNION ALL ".join(f"SELECT symbol_id, '{x}' AS feature, {_r(f'stddev_samp({x})', 'std')} FROM p GROUP BY symbol_id HAVING stddev_samp({x}) < 2.0" for x in RESPONDERS),
@@ -473,7 +541,7 @@ SELECT symbol_id, {_r('1 - sum(weight * (responder_0 - guess) ** 2) / sum(weight
     ),
     "matrix_project": Query(
         _matrix,
-        f"{_P} SELECT {K}, {', '.join(f'ROUND(CAST(CAST({e} AS FLOAT) AS DOUBLE), 3) AS {n}' for n, e in {'y': 'responder_0', 'w': 'weight', **{x: x for x in FEATURES}}.items())} FROM p WHERE date_id BETWEEN 3 AND 12",
+        f"{_P} SELECT {K}, {', '.join(f'ROUND(CAST(CAST({e} AS FLOAT) AS DOUBLE), 3) AS {n}' for n, e in {'y': 'responder_0', 'w': 'weight', **{x: x for x in FEATURES}}.items())} FROM p",
     ),
     "topk_features": Query(
         lambda s, d: selection.top_features(_importance(s, d), 2, ["feature_01"]),
@@ -483,9 +551,7 @@ SELECT CAST(1 AS INT) AS rank, 'feature_01' AS feature UNION ALL SELECT CAST(ran
     ),
     "gbt_cv": Query(lambda s, d: _boosted(s, d)[0]),
     "gain_share": Query(lambda s, d: _boosted(s, d)[1]),
+    "select_features": Query(_selected),
     "parameter_search": Query(_searched),
 }
 
-
-def _clip_gappy(spark: SparkSession, d: str) -> DataFrame:
-    return preprocess.rolling_sigma_clip(_with_bucket(event_panel(spark, d, "gappy")), FEATURES, window=480, k=3.0, min_valid=10)

@@ -39,6 +39,16 @@ def read_dated(spark: SparkSession, path: str, low: int | None = None, high: int
     return rows.drop("date_block")
 
 
+def read_raw(spark: SparkSession, root: str, low: int | None = None, high: int | None = None) -> DataFrame:
+    """Raw ticks below root, in folders partition_id=*: keys as int, the folder's number as partition_id."""
+    rows = spark.read.parquet(root)
+    require_columns(rows, ["partition_id", *KEYS])
+    rows = rows.withColumns({k: F.col(k).cast("int") for k in KEYS})
+    if low is not None:
+        rows = rows.where(F.col(DATE) >= low)
+    return rows if high is None else rows.where(F.col(DATE) <= high)
+
+
 def matrix_columns(df: DataFrame, *, target: str, weight: str, chosen: list[str] | None = None, always: list[str] = ()) -> list[str]:
     """Features in order: all but keys, target and weight; or those always kept and those chosen, as far as df has them."""
     if chosen is None:
@@ -65,13 +75,12 @@ def write_matrix(matrix: DataFrame, path: str) -> dict:
     r = date_range(spark.read.parquet(path)).first()
     features = [c for c in matrix.columns if c not in {*KEYS, "y", "w"}]
     meta = {"n_rows": r["n_rows"], "n_feat": len(features), "dtype": "float32", "features": features, "dates": [r["min_date"], r["max_date"]], "size_gb": size_gb(r["n_rows"], len(features))}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
+    write_summary(spark, meta, f"{path}.manifest")
     return meta
 
 
 def read_matrix(spark: SparkSession, path: str) -> tuple[dict, DataFrame]:
-    meta = json.loads(spark.read.text(f"{path}.manifest").first()["value"])
-    return meta, spark.read.parquet(path)
+    return read_summary(spark, f"{path}.manifest"), spark.read.parquet(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
@@ -84,5 +93,19 @@ def read_names(spark: SparkSession, path: str) -> list[str]:
     return [r["value"].strip() for r in spark.read.text(path).collect() if r["value"].strip()]
 
 
+def write_summary(spark: SparkSession, values: dict, path: str) -> None:
+    """One JSON object in one line."""
+    spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_summary(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()["value"])
+
+
+def run_tag(low: int, high: int, n_splits: int, gap: int, ratio: int, seed: int, extra: str = "") -> str:
+    """The name of a run by its dates, folds and seed."""
+    return f"{low}-{high}__cv{n_splits}-g{gap}-r{ratio}__seed{seed}" + (f"__{extra}" if extra else "")
+
+
 def write_names(spark: SparkSession, names: list[str], path: str) -> None:
     spark.createDataFrame([(n,) for n in names], "value string").coalesce(1).write.mode("overwrite").text(path)

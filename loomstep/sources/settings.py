@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class Clip:
@@ -49,8 +51,32 @@ class StageC:
     cast: str = "float"
 
 
+@dataclass(frozen=True)
+class Folds:
+    n_splits: int = 2
+    gap_days: int = 7
+    train_to_val: int = 4
+
+
+@dataclass(frozen=True)
+class Trees:
+    rounds: int = 3000
+    depth: int = 10
+    rate: float = 0.01
+    tolerance: float = 0.0
+    seed: int = 42
+
+
+@dataclass(frozen=True)
+class Selection:
+    k: int = 1000
+    always: tuple[str, ...] = ("time_pos", "time_sin", "time_cos", "time_bucket")
+
+
 @dataclass(frozen=True)
 class Settings:
+    first_date: int | None = None
+    last_date: int | None = None
     daily_ticks: int = 968
     buckets: int = 6
     pad_days: int = 30
@@ -60,16 +86,21 @@ class Settings:
     a: StageA = field(default_factory=StageA)
     b: StageB = field(default_factory=StageB)
     c: StageC = field(default_factory=StageC)
+    folds: Folds = field(default_factory=Folds)
+    trees: Trees = field(default_factory=Trees)
+    selection: Selection = field(default_factory=Selection)
+
 
+def load_settings(spark: SparkSession, path: str) -> Settings:
+    """Settings from YAML with the fields above, from any store that Spark reads.
 
-def load_settings(path: str) -> Settings:
-    """Settings from YAML with the fields above; what it leaves out keeps its default, an unknown field is an error."""
+    What the file leaves out keeps its default, an unknown field is an error.
+    """
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        given = yaml.safe_load(f) or {}
+    given = yaml.safe_load(spark.read.text(path, wholetext=True).first()["value"]) or {}
     tuples = lambda d: {k: tuple(v) if isinstance(v, list) else v for k, v in d.items()}
-    parts = {"clip": Clip, "fill": Fill, "a": StageA, "b": StageB, "c": StageC}
+    parts = {"clip": Clip, "fill": Fill, "a": StageA, "b": StageB, "c": StageC, "folds": Folds, "trees": Trees, "selection": Selection}
     unknown = set(given) - {f.name for f in fields(Settings)}
     if unknown:
         raise KeyError(f"unknown settings: {sorted(unknown)}")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomstep.functions.scalar import clip, sanitize
-from loomstep.operators import crossval, history, preprocess, selection, validate, xday
+from loomstep.operators import crossval, daily, history, preprocess, selection, validate, xday
 from loomstep.plans import pipeline
 from loomstep.schema import KEYS, positive_ints, require_columns
 from loomstep.sources import dated
@@ -138,7 +138,7 @@ def test_stages_and_cores(spark, tmp_path):
     assert list(found) == ["stage_a", "stage_b", *(f"stage_c_{g}" for g in history.GROUPS)]
     assert len(found["stage_a"].columns) == 3 + 30 and len(found["stage_c_rz"].columns) == 3 + 12
     (tmp_path / "s.yaml").write_text("clip: {window: 9}\nc: {lags: [1, 2]}\n")
-    s = load_settings(str(tmp_path / "s.yaml"))
+    s = load_settings(spark, str(tmp_path / "s.yaml"))
     assert (s.clip.window, s.clip.k, s.c.lags, s.pad_days) == (9, 3.0, (1, 2), Settings().pad_days)
     assert selection.refit_rounds([100, 60]) == 88
 
@@ -161,3 +161,110 @@ def test_parameter_search(spark):
 def test_refit(spark):
     df = spark.createDataFrame([(float(i), 1.0, float(i % 2)) for i in range(20)], "x double, w double, y double")
     assert selection.refit(df, ["x"], y="y", weight="w", best=[10], depth=1).getNumTrees == 50
+
+
+def exchanges(df):
+    """Exchanges of the plan that is run in the end."""
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_stages_deal_rows_out_seldom(spark):
+    df = spark.createDataFrame(tiny(6), SCHEMA).withColumn("r", F.col("x") * 2)
+    assert exchanges(daily.stage_a(df, ["r", "x"])) <= 2
+    assert exchanges(history.stage_c(df, ["r", "x"], cross=["x"])) <= 2
+
+
+def test_stage_a_keeps_repeated_and_odd_rows(spark):
+    rows = [(0, 0, 1, 1.0), (0, 0, 1, 1.0), (0, 1, 1, 2.0), (0, 1, None, 3.0), (None, 1, 1, 4.0), (0, None, 1, 5.0)]
+    got = daily.stage_a(spark.createDataFrame(rows, SCHEMA), ["x"], cast="double").collect()
+    assert sorted([tuple(r)[:3] for r in got], key=str) == sorted([r[:3] for r in rows], key=str)
+    assert {(r["symbol_id"], r["date_id"], r["x_prevday_mean"]) for r in got} == {(0, 0, None), (0, 1, 1.0), (None, 1, None), (0, None, None)}
+
+
+def test_ewm_of_nulls_and_long_runs(spark):
+    r = random.Random(8)
+    rows = [(s, 0, t, r.gauss(0, 1), None if r.random() < 0.3 else r.gauss(0, 1)) for s in range(2) for t in range(1500)]
+    got = history.ewm(spark.createDataFrame(rows, SCHEMA + ", z double"), ["x", "z"], [1, 2, 30], "double").collect()
+    found = {(x["symbol_id"], x["time_id"]): x for x in got}
+    for c, at in (("x", 3), ("z", 4)):
+        for span in (1, 2, 30):
+            y, a, of = None, 2 / (span + 1), None
+            for row in rows:
+                y, of = (y if row[0] == of else None), row[0]
+                if row[at] is not None:
+                    y = row[at] if y is None else (1 - a) * y + a * row[at]
+                have = found[row[0], row[2]][f"{c}__ewm{span}"]
+                assert have == y if y is None else math.isclose(have, y, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_written_files_are_checked(spark, tmp_path):
+    df = spark.createDataFrame(tiny(7), SCHEMA)
+    got = pipeline.write_checked(df, str(tmp_path / "a"), 0, 13)
+    assert got.columns == df.columns and got.count() == df.count()
+    with pytest.raises(AssertionError):
+        pipeline.write_checked(df, str(tmp_path / "b"), 0, 11)  # no day 11
+    assert pipeline.write_checked(df, str(tmp_path / "c"), 0, 11, check=False).agg(F.max("date_id")).first()[0] == 7
+    df.coalesce(1).orderBy(F.desc("time_id")).write.parquet(str(tmp_path / "d"))
+    with pytest.raises(AssertionError):
+        validate.assert_time_monotone(spark, str(tmp_path / "d"))
+    with pytest.raises(ValueError):
+        pipeline.run(df.withColumn("w", F.lit(1.0)), ["x"], ["x"], str(tmp_path / "e"), target="x", s=Settings(first_date=99))
+
+
+def test_raw_reader_and_reports(spark, tmp_path):
+    df = spark.createDataFrame([(i % 3, i, 0, float(i), i // 4) for i in range(12)], "symbol_id long, date_id long, time_id short, x double, partition_id int")
+    df.write.partitionBy("partition_id").parquet(str(tmp_path / "raw"))
+    got = dated.read_raw(spark, f"file://{tmp_path}/raw", 3, 8)
+    assert sorted(r["date_id"] for r in got.collect()) == list(range(3, 9)) and dict(got.dtypes)["date_id"] == "int"
+    dated.write_summary(spark, {"mean_wr2": 0.5}, str(tmp_path / "s"))
+    assert dated.read_summary(spark, str(tmp_path / "s")) == {"mean_wr2": 0.5}
+    dated.write_report(df.limit(2), str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+    assert dated.run_tag(900, 1698, 2, 7, 4, 42, "top9") == "900-1698__cv2-g7-r4__seed42__top9"
+    assert dated.matrix_columns(df, target="x", weight="w") == ["partition_id"]
+    assert dated.matrix_columns(df, target="t", weight="w", chosen=["x", "q"], always=["x"]) == ["x"]
+
+
+def learnable(spark, days=14):
+    r = random.Random(9)
+    rows = []
+    for d in range(days):
+        for t in range(25):
+            x, noise = r.gauss(0, 1), r.gauss(0, 1)
+            rows.append((d % 2, d, t, x, noise, 1.0 + t % 3, 2.0 * (x > 0) + x + r.gauss(0, 0.1)))
+    return spark.createDataFrame(rows, "symbol_id int, date_id int, time_id int, useful double, noise double, w double, y double")
+
+
+def test_folds_find_the_useful_feature(spark, tmp_path):
+    """A planted feature has most of the gain; scores are those of the models' own predictions; fits stop early."""
+    df = learnable(spark)
+    folds = crossval.fold_table(df, 2, 1, 3)
+    scores, importance = selection.fit_folds(df, ["noise", "useful"], folds, y="y", weight="w", rounds=25, depth=2, rate=0.5, tolerance=0.05)
+    share = {r["feature"]: r["gain_share"] for r in importance.collect()}
+    assert share["useful"] > 0.8 and sum(share.values()) == pytest.approx(1)
+    got = {r["fold"]: r for r in scores.collect()}
+    assert all(1 <= r["rounds"] < 25 and r["wr2"] > 0.8 for r in got.values())
+    rows = selection.fold_rows(df, ["noise", "useful"], folds, y="y", weight="w")
+    for fold in got:
+        model, _ = selection.fit_fold(rows, fold, rounds=25, depth=2, rate=0.5, tolerance=0.05, seed=42)
+        told = model.transform(rows.where(f"fold = {fold} and part = 'valid'")).select("label", "prediction", "w").collect()
+        mean = sum(x["w"] * x["label"] for x in told) / sum(x["w"] for x in told)
+        error, spread = (sum(x["w"] * (x["label"] - (x["prediction"] if k else mean)) ** 2 for x in told) for k in (1, 0))
+        assert got[fold]["wr2"] == pytest.approx(1 - error / spread)
+    rows.unpersist()
+    best = selection.select_features(df, ["noise", "useful"], folds, str(tmp_path / "names"), y="y", weight="w", k=1, always=["t"], rounds=2, depth=2)
+    assert [r["feature"] for r in best.orderBy("rank").collect()] == ["t", "useful"] == dated.read_names(spark, str(tmp_path / "names"))
+    model = selection.refit(df, ["useful"], y="y", weight="w", best=[r["rounds"] for r in got.values()], depth=1)
+    selection.save_model(model, str(tmp_path / "m"), ["useful"], dates=[0, 13])
+    again, meta = selection.load_model(spark, str(tmp_path / "m"))
+    assert again.getNumTrees == 50 and meta == {"dates": [0, 13], "features": ["useful"], "rounds": 50}
+
+
+def test_settings_of_all_sections(spark, tmp_path):
+    (tmp_path / "s.yaml").write_text("first_date: 3\nfolds: {gap_days: 2}\ntrees: {depth: 4}\nselection: {k: 9, always: [a]}\n")
+    s = load_settings(spark, f"file://{tmp_path}/s.yaml")
+    assert (s.first_date, s.last_date, s.folds.gap_days, s.folds.n_splits, s.trees.depth, s.selection.k, s.selection.always) == (3, None, 2, 2, 4, 9, ("a",))
+    (tmp_path / "t.yaml").write_text("more: 1\n")
+    with pytest.raises(KeyError):
+        load_settings(spark, str(tmp_path / "t.yaml"))
