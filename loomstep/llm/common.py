@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomstep.sources.scratch import delete, shared_dir
+
 #: White space of the contracts: blank and the control characters tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
-#: Rows in one Arrow batch of texts; a batch of long texts must fit a Python worker.
+#: Rows of texts that a Python worker takes at once.
 BATCH_ROWS = 128
 #: Words a worker keeps in one of its caches before it starts again.
 CACHE_WORDS = 400_000
@@ -22,37 +25,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one below /tmp only on a local master that names none."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not re.match(r"local(\[(?!.*cluster)|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="loomstep-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+_folder: ContextVar[str] = ContextVar("folder", default="loomstep")
 
 
 def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     """Writes the rows to the shared folder and reads them back: lineage ends here and any executor can be lost."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomstep/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{_folder.get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes the files behind a frame from materialize(), once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for file in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files behind frames from materialize(), once nothing reads them any more."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            delete(df.sparkSession, file.rsplit("/", 1)[0])
+
+
+@contextmanager
+def own_folder(spark: SparkSession) -> Iterator[None]:
+    """What materialize() writes meanwhile goes to a folder of its own, which is deleted in the end."""
+    folder = f"loomstep/{uuid.uuid4().hex}"
+    before = _folder.set(folder)
+    try:
+        yield
+    finally:
+        _folder.reset(before)
+        delete(spark, f"{shared_dir(spark)}/{folder}")
+
+
+@contextmanager
+def kept_folder() -> Iterator[None]:
+    """Inside own_folder(): what is written meanwhile stays."""
+    before = _folder.set("loomstep")
+    try:
+        yield
+    finally:
+        _folder.reset(before)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches of whole texts small, whatever the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def small_batches(batches):
+    """The same rows in batches of BATCH_ROWS at most; Spark bounds the bytes of those that it sends."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
 
 
 def word_count(text: Column) -> Column:
@@ -78,6 +95,21 @@ def running(values: Column, op) -> Column:
     return let(values, scan)
 
 
+def characters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def cut_out(text: Column, spans: Column, few: int = 16) -> Column:
+    """Array of the parts of a text at spans (start, length).
+
+    A part is found by counting characters from the text's start; of more than a few, by an array of them all,
+    so the cost stays linear in the text.
+    """
+    each = F.transform(spans, lambda s: F.substring(text, s["start"] + 1, s["length"]))
+    whole = let(characters(text), lambda chars: F.transform(spans, lambda s: F.array_join(F.slice(chars, s["start"] + 1, s["length"]), "")))
+    return F.when(F.size(spans) <= few, each).otherwise(whole)
+
+
 def raw_texts(column) -> list[bytes]:
     """The UTF-8 bytes of a string column of an Arrow batch; null is empty."""
     return [b"" if t is None else t for t in column.cast("binary").to_pylist()]

@@ -44,6 +44,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             step = hook2.select(F.col("node").alias("component"), "up")
             moved = labels.join(step, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
             moved = materialize(moved, "labels")
+            discard(labels)
+            discard(hook2)
             labels = moved
         discard(left)
         left = after

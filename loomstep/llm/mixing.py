@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import materialize, word_count
+from loomstep.llm.common import discard, materialize, word_count
 
 #: Words in a block.
 BLOCK = 16
@@ -95,6 +95,7 @@ def mix(
     dealt = slim.join(near, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_order", rank)
     number = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long")
     dealt = materialize(dealt.withColumn("shard", F.pmod(number, F.col("shards")).cast("int")), "dealt")
+    discard(slim, sources)
     parts = dealt.groupBy("source", "shard", "quota").agg(F.sum("size").alias("votes"))
     parts = sainte_lague(parts, ["source"], "votes", F.max("quota").over(W.partitionBy("source")), [F.col("shard")], "blocks")
     parts = parts.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), F.col("votes").alias("shard_size"), "blocks")

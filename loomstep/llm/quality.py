@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import WordIds, bound_batches, covered, raw_texts
+from loomstep.llm.common import WordIds, small_batches, covered, raw_texts
 
 #: Fields of the struct that measure() makes.
 FIELDS = (
@@ -134,13 +134,12 @@ def measure(docs: DataFrame, *, text_col: str = "text", rules: QualityRules = Qu
     Null and empty texts have zeros. Lengths of repeats are in words; repeats holds the merged spans
     (first word, number of words) of passages of rules.min_repeat words or more that occur twice in the text.
     """
-    bound_batches(docs.sparkSession)
     least = rules.min_repeat
     names = [f.split(":")[0] for f in FIELDS.split(", ")][:8]
     kinds = [pa.int64()] * 7 + [pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))]
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             columns = list(zip(*_measure(raw_texts(batch.column(batch.num_columns - 1)), least), strict=True)) or [[]] * 8
             made = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*keep, out])
