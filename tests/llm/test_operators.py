@@ -89,11 +89,39 @@ def test_pii(spark):
         base = [(kind, *m.span()) for kind, p in plain for m in re.finditer(p, t) if fine(kind, m[0])]
         assert [x for x in pii.find(t, anchors) if x[0] in pii.BASE] == base, t
     assert ("iban", 6, 28) in pii.find("IBAN: DE89370400440532013000.", anchors)
+    assert pii.pii_spans(docs(spark, [])).count() == 0
+    twice = docs(spark, ["x@y.zz"]).union(docs(spark, ["x@y.zz"]))
+    assert [len(x["pii"]) for x in pii.pii_spans(twice, out="text").withColumnRenamed("text", "pii").collect()] == [1, 1]
     assert ("login", 8, 15) in pii.find("https://ann:pw1@x.org/", anchors)
     out = pii.pii_spans(docs(spark, ["é x@y.zz", None, ""]).withColumn("kind", F.lit(1))).collect()
     assert [[tuple(s) for s in r["pii"]] for r in sorted(out)] == [[("email", 2, 8)], [], []]
 
 
+def test_pii_boundaries_of_accounts():
+    anchors = pii.automaton()
+    own = lambda t: [(k, t[a:b]) for k, a, b in pii.find(t, anchors) if k in ("account", "iban")]
+    number = [("account", "12345678")]
+    assert own("Account: 12345678 PLEASE PAY NOW") == own("Customer No: 12345678") == own("Kontonummer: 12345678") == own("account number is 12345678") == number
+    assert own("IBAN DE89370400440532013000 BIC COBADEFF") == own("see DE89370400440532013000.") == [("iban", "DE89370400440532013000")]
+    assert own("IBAN: DE89 3704 0044 0532 0130 00 PAY") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    for t in ("my account is fine 2024", "accounting 12345678", "XDE89370400440532013000", "DE88370400440532013000", "account holder 2019", "DE8937040044053201300", "DE893704004405320130001"):
+        assert own(t) == [], t
+    r = random.Random(16)
+    for _ in range(200):
+        country = r.choice(sorted(pii.IBAN_LENGTHS))
+        rest = "".join(r.choice(string.digits if r.random() < 0.8 else string.ascii_uppercase) for _ in range(pii.IBAN_LENGTHS[country] - 4))
+        check = 98 - int("".join(str(int(c, 36)) for c in rest + country + "00")) % 97
+        iban = f"{country}{check:02d}{rest}"
+        if r.random() < 0.5:
+            iban = " ".join(iban[i : i + 4] for i in range(0, len(iban), 4))
+        account = "".join(r.choice(string.digits) for _ in range(r.randint(6, 12)))
+        account = r.choice([account, account[:3] + "-" + account[3:], "KX" + account, account[:4] + " " + account[4:]])
+        cue = r.choice([x for cue in ("account", "konto", "passport", "customer no", "client id") for x in (cue, cue.title(), cue.upper())]) + r.choice([": ", " ", "# ", " = "])
+        before, behind = r.choice(["", "see ", "(", "ÄÖ, "]), r.choice(["", ".", " PLEASE", ", then", ") x", " and BIC"])
+        assert own(f"{before}{cue}{account}{behind}") == [("account", account)], (cue, account, behind)
+        assert ("iban", iban) in own(f"{before}{iban}{behind}"), (before, iban, behind)
+
+
 def test_tokens(spark):
     scores = {"▁": -3.0, "a": -1.0, "b": -1.0, "ab": -2.0, "aab": -2.5, "▁ba": -1.5, "é": -2.0}
     byte = min(scores.values()) - 1
@@ -111,6 +139,33 @@ def test_tokens(spark):
     texts = [" ".join("".join(r.choice("abcé") for _ in range(r.randint(0, 9))) for _ in range(30)) for _ in range(20)] + [None, "", "ab" * 3000]
     got = {x["doc_id"]: (x["n_pretokens"], x["n_tokens"]) for x in tokens.count_tokens(docs(spark, texts), scores).collect()}
     assert got == {i: (len(re.findall(WORDS, t or "")), sum(best("▁" + w) for w in re.findall(WORDS, t or ""))) for i, t in enumerate(texts)}
+    assert tokens.count_tokens(docs(spark, []), scores).count() == 0
+    twice = docs(spark, ["ab"]).union(docs(spark, ["ab"])).withColumn("n_tokens", F.lit("clash"))
+    assert [x["n_tokens"] for x in tokens.count_tokens(twice, scores).collect()] == [best("▁ab")] * 2
+
+
+def test_tokens_of_a_huge_word():
+    """A word of a million characters, alone in its batch, and shorter ones by both ways."""
+    r, scores = random.Random(17), {"▁": -3.0, "a": -1.0, "b": -1.5, "ab": -2.0, "bba": -2.25, "é": -2.0}
+    vocabulary = tokens.Vocabulary(scores)
+    words = sorted({"▁" + "".join(r.choice("abcé") for _ in range(r.randint(1, 40))) for _ in range(300)})
+    assert [tokens.long_count(w, vocabulary) for w in words] == tokens.trie_counts(words, vocabulary).tolist()
+    assert tokens.trie_counts(["▁" + "ab" * 500_000, "▁é"], vocabulary).tolist() == [500_001, 2]
+
+
+def test_scores_are_fitted_on_all_documents(spark):
+    """Scores against counts of the model's own split, taken word by word."""
+    import sentencepiece
+
+    path = registry.tokenizer_path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [None, "", "the cat the cat sat", "thermal\tdynamics  é日 the"]
+    times = Counter(i for t in texts for w in re.findall(WORDS, t or "") for i in model.encode(w))
+    got = tokens.fit_scores(docs(spark, texts), path)
+    ids = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    total = sum(times[i] + 0.5 for i in ids)
+    assert got.keys() == {model.id_to_piece(i) for i in ids}
+    assert all(got[model.id_to_piece(i)] == pytest.approx(np.log((times[i] + 0.5) / total)) for i in ids)
 
 
 @pytest.mark.parametrize(("width", "threshold"), [(3, Fraction(9, 10)), (5, Fraction(4, 5))])
@@ -172,6 +227,29 @@ def test_embeddings(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_many_cells(spark):
+    """Cells that outnumber those asked by ten: recall against brute force, with pairs right above and below the limit."""
+    rng = np.random.default_rng(18)
+    d, unit = 48, lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    topic = unit(rng.normal(size=(120, d)))
+    x = unit(np.repeat(topic, 20, axis=0) + unit(rng.normal(size=(2400, d))) * 0.7)
+    cosine = rng.uniform(0.88, 0.95, size=1200)
+    side = rng.normal(size=(1200, d))
+    side = unit(side - (side * x[:1200]).sum(1, keepdims=True) * x[:1200])
+    x = np.concatenate([x, cosine[:, None] * x[:1200] + np.sqrt(1 - cosine**2)[:, None] * side])
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(df, per_cell=30).collect()}
+    near = x @ x.T
+    want = (near >= 0.9).sum(1) - 1
+    found = np.array([got[i] for i in range(len(x))])
+    centres = embeddings.kmeans(x, embeddings.n_cells(len(x), 30))
+    print(f"{len(centres)} cells, recall {found.sum() / want.sum():.4f} of {want.sum()} links")
+    assert len(centres) >= 100 and (found <= want).all() and want.sum() > 1000 and found.sum() >= 0.99 * want.sum()
+    exact = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(df, per_cell=300, margin=99.0).collect()}
+    assert [exact[i] for i in range(len(x))] == want.tolist()
+
+
 def test_secrets(spark):
     r = random.Random(7)
     key = lambda n: "".join(r.choice("abcdef0123456789") for _ in range(n))
@@ -266,7 +344,7 @@ def test_urls_where_no_rule_decides(spark):
     print(f"{wrong} of {len(got)} urls that no rule decides judged wrong")
     assert all(x["rule"] is None for x in got) and wrong <= 0.05 * len(got)
     parts = ["http://a.b.example.net/en/x/y?q#f", "https://example.com", "net/x", "a://net/en", "a://h/en?x/y", None]
-    cut = spark.createDataFrame([(i, u) for i, u in enumerate(parts)], "i int, u string").select("i", urls.undecided(F.col("u")).alias("u")).orderBy("i").collect()
+    cut = spark.createDataFrame([(i, u) for i, u in enumerate(parts)], "i int, u string").select("i", urls.undecided(F.col("u"), *urls.host_and_path(F.col("u"))).alias("u")).orderBy("i").collect()
     assert [x["u"] for x in cut] == ["http://a.b/x/y?q#f", "https://", "net/x", "a://", "a://?x/y", ""]
 
 
@@ -286,6 +364,17 @@ def test_chats(spark):
     assert chats.format_chats(m.limit(0)).count() == 0
 
 
+def test_chats_of_many_turns(spark):
+    """A chain of thousands of turns: places of the loss mask, and its texts."""
+    n = 3000
+    said = lambda i: ("user", f"q{i} é</s>") if i % 2 else ("assistant", f"[INST]{i}" * (i % 3))
+    rows = [("t", i, i - 1 if i else None, 0.0, *said(i)) for i in range(n)]
+    done = chats.format_chats(spark.createDataFrame(rows, "tree string, node long, parent long, score double, role string, text string"))
+    r = done.withColumn("turns", chats.read_turns(F.col("formatted"))).withColumn("own", chats.masked(F.col("formatted"), F.col("loss"))).first()
+    assert [tuple(t) for t in r["turns"]] == [said(i) for i in range(n)] and r["n_turns"] == n
+    assert r["own"] == "".join(said(i)[1] for i in range(n) if i % 2 == 0) and len(r["loss"]) == n // 2
+
+
 def test_chats_of_a_null_tree(spark):
     rows = [(None, 1, None, 1.0, "user", "a"), (None, 2, 1, 1.0, "assistant", "b"), (None, None, 1, 1.0, "user", "c")]
     out = chats.format_chats(spark.createDataFrame(rows, "tree long, node long, parent long, score double, role string, text string"), best=1).collect()
