@@ -71,7 +71,9 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.piece_scores(tokenizer_path("piece_bpe_32k.model")))
+    """Tokens of each text under scores that are fitted on the same documents."""
+    docs = table(spark, sf_dir, "documents")
+    return tokens.count_tokens(docs, tokens.fit_scores(docs, tokenizer_path("piece_bpe_32k.model")))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,29 +3,66 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import CACHE_WORDS, bound_batches, raw_texts
+from loomstep.llm.common import CACHE_WORDS, small_batches, raw_texts
 
 #: What begins each pre-token in the vocabulary.
 WORD_START = "▁"
+#: Characters of a word that is scored with others, at most.
+LONG = 256
+#: Words of a group of batches whose distinct pre-tokens share one trie, about.
+GROUP_WORDS = 1_000_000
 
 
-def piece_scores(path: str) -> dict[str, float]:
-    """The pieces of a sentencepiece model with log-probabilities by rank: p(rank) is proportional to 1 / (rank + 1).
+def fit_scores(docs: DataFrame, path: str, *, text_col: str = "text") -> dict[str, float]:
+    """The pieces of a sentencepiece model with log-probabilities, fitted on all documents.
 
-    Control, unknown and byte pieces are left out; what no piece covers counts as its UTF-8 bytes.
+    A piece counts as often as the model's own split of the corpus's words has it, and half a time more; words
+    are split once for all of their occurrences in a part of the corpus. Control, unknown and byte pieces are
+    left out; what no piece covers counts as its UTF-8 bytes. The driver gets a count for each piece at most.
     """
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as f:
+        proto = f.read()
+    model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    shared = docs.sparkSession.sparkContext.broadcast({"proto": proto})
+
+    def run(batches):
+        import sentencepiece
+
+        if "model" not in shared.value:
+            shared.value["model"] = sentencepiece.SentencePieceProcessor(model_proto=shared.value["proto"])
+        held, words, total = shared.value["model"], Counter(), np.zeros(shared.value["model"].get_piece_size(), np.int64)
+
+        def flush() -> None:
+            ids = held.encode([w.decode() for w in words], num_threads=1) if words else []
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
+            np.add.at(total, np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum())), times)
+            words.clear()
+
+        for batch in small_batches(batches):
+            for text in raw_texts(batch.column(0)):
+                words.update(text.split())
+            if len(words) > CACHE_WORDS:
+                flush()
+        flush()
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["piece", "n"])
+
+    counts = docs.select(text_col).mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    times = {r["piece"]: r["n"] for r in counts}
     ids = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-    norm = math.log(sum(1 / (r + 1) for r in range(len(ids))))
-    return {model.id_to_piece(i): -math.log(r + 1) - norm for r, i in enumerate(ids)}
+    norm = math.log(sum(times.get(i, 0) + 0.5 for i in ids))
+    return {model.id_to_piece(i): math.log(times.get(i, 0) + 0.5) - norm for i in ids}
 
 
 class Vocabulary:
@@ -33,7 +70,7 @@ class Vocabulary:
 
     def __init__(self, scores: dict[str, float]):
         self.byte = min(scores.values(), default=0.0) - 1.0
-        edges: dict[int, int] = {}
+        self.edges = edges = {}
         ends = {0: np.nan}
         for piece, score in scores.items():
             node = 0
@@ -53,13 +90,40 @@ class Vocabulary:
         return np.where(self.keys[at] == key, self.to[at], 0)
 
 
+def long_count(word: str, vocabulary: Vocabulary) -> int:
+    """Tokens of the best split of one word, by the recursion of trie_counts() along its single path."""
+    edges, ends, byte = vocabulary.edges, vocabulary.ends.tolist(), vocabulary.byte
+    under: list[tuple[int, float, int]] = []  # pieces under way: vocabulary node, score and tokens before the piece
+    score, count = 0.0, 0
+    for c in map(ord, word):
+        width = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+        under.append((0, score, count))
+        on, top, fewest = [], score + width * byte, count + width
+        for node, before, tokens in under:
+            if to := edges.get(node << 21 | c):
+                on.append((to, before, tokens))
+                total = before + ends[to]
+                if total > top or total == top and tokens + 1 < fewest:  # of no piece that ends here, total is NaN
+                    top, fewest = total, tokens + 1
+        under, score, count = on, top, fewest
+    return count
+
+
 def trie_counts(words: list[str], vocabulary: Vocabulary) -> np.ndarray:
     """Tokens of the best split of each word; words: distinct and sorted.
 
     The words are inserted in a trie level by level. A node has the score and the number of tokens of the best
     split of its prefix, scored once for all words below it from the pieces that are under way in its parent;
-    a word's count is stored where it ends. Of equal scores the split with fewer tokens counts.
+    a word's count is stored where it ends. Of equal scores the split with fewer tokens counts. Words of over
+    LONG characters, of which few share a prefix to their ends, are each scored alone by long_count().
     """
+    long = [i for i, w in enumerate(words) if len(w) > LONG]
+    if long:
+        counts = np.zeros(len(words), np.int64)
+        counts[long] = [long_count(words[i], vocabulary) for i in long]
+        short = np.setdiff1d(np.arange(len(words)), long)
+        counts[short] = trie_counts([words[i] for i in short], vocabulary)
+        return counts
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     begin = np.cumsum(sizes) - sizes
@@ -107,27 +171,36 @@ def trie_counts(words: list[str], vocabulary: Vocabulary) -> np.ndarray:
 def count_tokens(docs: DataFrame, scores: dict[str, float], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_pretokens, n_tokens) of each row's whole text; pre-tokens are words between ASCII white space.
 
-    Null and empty texts have zeros, repeated rows repeat, other columns are not read. There is no shuffle:
-    each worker inserts the distinct pre-tokens of a batch in its trie in sorted order.
+    Null and empty texts have zeros, repeated rows repeat, other columns are not read, an empty table gives no
+    rows. There is no shuffle: each worker inserts the distinct pre-tokens of a group of batches that it has
+    not counted before in a trie in sorted order, and keeps their counts for its later tasks.
     """
-    bound_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(scores)
+    shared = docs.sparkSession.sparkContext.broadcast({"scores": scores})
 
     def run(batches):
-        vocabulary, known = Vocabulary(shared.value), {}
-        for batch in batches:
-            split = [t.split() for t in raw_texts(batch.column(1))]
+        state = shared.value
+        if "known" not in state:
+            state |= {"vocabulary": Vocabulary(state["scores"]), "known": {}}
+        known, group, held = state["known"], [], 0
+
+        def counted():
+            new = sorted(set().union(*(words for _, split in group for words in split)).difference(known))
+            known.update(zip(new, trie_counts([WORD_START + w.decode() for w in new], state["vocabulary"]).tolist(), strict=True))
+            for ids, split in group:
+                pretokens = pa.array(list(map(len, split)), pa.int64())
+                tokens = pa.array([sum(map(known.__getitem__, words)) for words in split], pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pretokens, tokens], names=["doc_id", "n_pretokens", "n_tokens"])
             if len(known) > CACHE_WORDS:
                 known.clear()
-            new = sorted({w for words in split for w in words if w not in known})
-            known.update(zip(new, trie_counts([WORD_START + w.decode() for w in new], vocabulary).tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(list(map(len, split)), pa.int64()),
-                    pa.array([sum(map(known.__getitem__, words)) for words in split], pa.int64()),
-                ],
-                names=["doc_id", "n_pretokens", "n_tokens"],
-            )
+
+        for batch in small_batches(batches):
+            split = [t.split() for t in raw_texts(batch.column(1))]
+            group.append((batch.column(0), split))
+            held += sum(map(len, split))
+            if held > GROUP_WORDS:
+                yield from counted()
+                group, held = [], 0
+        if group:
+            yield from counted()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_pretokens long, n_tokens long")
