@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import discard, materialize
+from loomstep.llm.common import cut_out, discard, materialize, running
 
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 #: Strings that control a chat model in the usual templates: fixed values, escaped wherever a text or role has them.
@@ -82,15 +82,10 @@ def format_chats(messages: DataFrame, *, best: int | None = None, learn: str = "
     turns = F.sort_array(F.collect_list(F.struct("depth", F.concat(F.lit(BEGIN), "role", F.lit("\n")).alias("head"), "text", F.coalesce("own", F.lit(False)).alias("own"))))
     whole = turn.groupBy("tree", "leaf").agg(F.max("score").alias("score"), turns.alias("turns"))
     formatted = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["text"], F.lit(END))), "")
-    spans = F.array().cast("array<struct<start: int, length: int>>")
-    begin = F.struct(F.lit(0).alias("at"), spans.alias("spans"))
-
-    def add(done, t):
-        start, size = done["at"] + F.length(t["head"]), F.length(t["text"])
-        span = F.array(F.struct(start.alias("start"), size.alias("length")))
-        return F.struct((start + size + len(END)).alias("at"), F.when(t["own"], F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
-
-    loss = F.aggregate("turns", begin, add, lambda d: d["spans"])
+    size = lambda t: F.length(t["head"]) + F.length(t["text"]) + len(END)
+    ends = running(F.transform("turns", size), lambda a, b: a + b)
+    placed = F.zip_with("turns", ends, lambda t, end: F.struct((end - len(END) - F.length(t["text"])).alias("start"), F.length(t["text"]).alias("length"), t["own"].alias("own")))
+    loss = F.transform(F.filter(placed, lambda s: s["own"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
     return whole.select("tree.tree", "leaf", "score", F.size("turns").cast("long").alias("n_turns"), formatted.alias("formatted"), loss.alias("loss"))
 
 
@@ -110,4 +105,4 @@ def read_turns(formatted: Column) -> Column:
 
 def masked(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+    return F.array_join(F.transform(cut_out(formatted, loss), unescape), "")
