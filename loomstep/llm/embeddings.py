@@ -1,9 +1,11 @@
 """Near copies among vectors: spherical k-means cells, blocked cosine products within them, one kept per group.
 
-A vector is at home in the cell of its nearest centre and also asks in its next nearest cells; a pair is
-found if one of the two asks in the other's home. Every cosine is computed in double precision on whole
-vectors, so no pair below the limit links; pairs whose homes neither asks in are missed, which the README
-quantifies against brute force.
+A vector is at home in the cell of its nearest centre. It also asks in each cell that lies behind a near
+border: two linked vectors are at most r = sqrt(2 - 2 * least) apart, and the part of that distance that goes
+straight to a border is r / sqrt(d) in the mean square for d dimensions, so a vector asks across all borders
+within MARGIN times that. A pair is found if one of the two asks in the other's home; with the margin at r
+itself none is missed. Recall is measured in the tests and the README. Every cosine is computed in double
+precision on whole vectors, so no pair below the limit links.
 
 Equal vectors form a class, compared once and counted as often as it has members. Cells are cut into
 blocks by a hash, and a task compares a block of residents with a block of askers, so no task holds a whole
@@ -19,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import materialize
+from loomstep.llm.common import discard, materialize
 from loomstep.llm.components import components
 
-#: Vectors on which the centres are fitted, at most.
-SAMPLE = 20_000
-#: Classes in a cell on average, and cells at most.
-PER_CELL, MAX_CELLS = 400, 4096
-#: Cells in which a vector asks, its home included.
-PROBES = 6
+#: Classes in a cell on average. Cells grow with the classes, from some 10 ** 6 on with their root, up to MAX_CELLS.
+PER_CELL, MAX_CELLS = 400, 16384
+#: Classes on which the centres are fitted, at most: this many, or this many a cell.
+SAMPLE, SAMPLE_PER_CELL = 20_000, 8
+#: How many mean distances to a border a vector asks across.
+MARGIN = 3.0
 #: Classes in a block, about.
 BLOCK = 1024
 
@@ -37,8 +39,10 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 0) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), k, replace=False)]
     for _ in range(rounds):
-        dot = x @ centres.T
-        cell, near = dot.argmax(1), dot.max(1)
+        cell, near = np.empty(len(x), np.int64), np.empty(len(x))
+        for at in range(0, len(x), 1024):
+            dot = x[at : at + 1024] @ centres.T
+            cell[at : at + 1024], near[at : at + 1024] = dot.argmax(1), dot.max(1)
         sums = np.zeros_like(centres)
         np.add.at(sums, cell, x)
         empty = np.flatnonzero(np.bincount(cell, minlength=k) == 0)
@@ -54,7 +58,8 @@ def near_vectors(
     least: float = 0.9,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    probes: int = PROBES,
+    margin: float = MARGIN,
+    per_cell: int = PER_CELL,
     seed: int = 0,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept): other vectors linked directly, smallest id that links reach, whether it is this one.
@@ -62,6 +67,7 @@ def near_vectors(
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and so do
     vectors of different lengths. Rows of a null id are left out; repeated rows count as vectors of their own
     but share an id, hence a component. Other columns are not read. An empty table gives no rows.
+    least is above 0; margin and per_cell trade work for recall (see the module) and tasks for cells.
     """
     rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     top = F.array_max(F.transform("v", F.abs))
@@ -71,40 +77,52 @@ def near_vectors(
     key = F.xxhash64("v"), F.hash("v")
     classes = sound.groupBy(key[0].alias("h1"), key[1].alias("h2"), "v").agg(F.min("id").alias("c"), F.count(F.lit(1)).alias("m"))
     classes = materialize(classes.select("c", "m", "v", F.monotonically_increasing_id().alias("k")), "classes")
-    n = classes.count()
-    pick = classes.sparkSession.sparkContext.broadcast(_centres(classes, n, seed))
+    pick = classes.sparkSession.sparkContext.broadcast(_centres(classes, per_cell, seed))
+    radius = float(np.sqrt(2 - 2 * least))
 
     def deal(batches):
         for batch in batches:
             v, size = _unit(batch.column("v"))
             c, m, k = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("c", "m", "k"))
-            out = []
+            rows: dict[str, list] = {name: [] for name in ("d", "cell", "home", "c", "m", "k", "cells", "u")}
             for d in np.unique(size):
                 of = np.flatnonzero(size == d)
                 x = np.stack([v[i] for i in of])
                 centres = pick.value[int(d)]
                 dot = x @ centres.T
-                p = min(probes, dot.shape[1])
-                cells = np.argpartition(-dot, p - 1, axis=1)[:, :p] if p < dot.shape[1] else np.argsort(-dot, axis=1)
-                first = np.argmax(np.take_along_axis(dot, cells, 1), axis=1)
-                cells[np.arange(len(of)), first], cells[:, 0] = cells[:, 0].copy(), cells[np.arange(len(of)), first].copy()
-                out += [(int(d), int(cell), j == 0, c[i], m[i], k[i], row.tolist(), x[a].tobytes()) for a, (i, row) in enumerate(zip(of, cells)) for j, cell in enumerate(row)]  # noqa: B905
-            kinds = (pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary())
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            names = ["d", "cell", "home", "c", "m", "k", "cells", "u"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=names)
-
-    dealt = classes.mapInArrow(deal, "d int, cell int, home boolean, c long, m long, k long, cells array<int>, u binary")
+                home = dot.argmax(1)
+                # How far the border between the home and each other cell is.
+                apart = np.sqrt(np.maximum(2 - 2 * centres[home] @ centres.T, 1e-12))
+                border = (dot[np.arange(len(of)), home][:, None] - dot) / apart
+                asks = border <= radius * min(1.0, margin / np.sqrt(d))
+                asks[np.arange(len(of)), home] = True
+                a, cell = np.nonzero(asks)
+                own = home[a] == cell
+                cells = np.split(cell.astype(np.int32), np.cumsum(asks.sum(1))[:-1])
+                raw = [r.tobytes() for r in x]
+                rows["d"].append(np.full(len(a), d))
+                rows["cell"].append(cell)
+                rows["home"].append(home[a])
+                for name, value in (("c", c), ("m", m), ("k", k)):
+                    rows[name].append(value[of[a]])
+                rows["cells"] += [cells[i] if at_home else None for i, at_home in zip(a, own, strict=True)]
+                rows["u"] += [raw[i] for i in a]
+            flat = lambda name: np.concatenate([np.zeros(0, np.int64), *rows[name]])
+            whole = [pa.array(flat("d"), pa.int32()), pa.array(flat("cell"), pa.int32()), pa.array(flat("home"), pa.int32()), *(pa.array(flat(n), pa.int64()) for n in ("c", "m", "k"))]
+            yield pa.RecordBatch.from_arrays([*whole, pa.array(rows["cells"], pa.list_(pa.int32())), pa.array(rows["u"], pa.binary())], names=list(rows))
+
+    dealt = classes.mapInArrow(deal, "d int, cell int, home int, c long, m long, k long, cells array<int>, u binary")
     dealt = materialize(dealt, "dealt")
-    held = dealt.groupBy("d", "cell").agg(F.count_if("home").alias("residents"), F.count(F.lit(1)).alias("askers"))
+    held = dealt.groupBy("d", "cell").agg(F.count_if(F.col("home") == F.col("cell")).alias("residents"), F.count(F.lit(1)).alias("askers"))
     # Residents of a block meet every block of askers of their cell, and the other way round.
     block = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
     held = held.select("d", "cell", F.greatest(block("residents"), F.lit(1)).alias("rb"), block("askers").alias("ab")).where("residents > 0")
     placed = dealt.join(held, ["d", "cell"])
     part = lambda c: F.pmod(F.hash("k"), F.col(c))
-    residents = placed.where("home").select("*", part("rb").alias("r"), F.explode(F.sequence(F.lit(0), F.col("ab") - 1)).alias("a"), F.lit(True).alias("resident"))
+    residents = placed.where("home = cell").select("*", part("rb").alias("r"), F.explode(F.sequence(F.lit(0), F.col("ab") - 1)).alias("a"), F.lit(True).alias("resident"))
     askers = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"), part("ab").alias("a"), F.lit(False).alias("resident"))
-    names = ["d", "cell", "r", "a", "resident", "c", "m", "k", "cells", "u"]
+    askers = askers.withColumn("cells", F.lit(None).cast("array<int>"))
+    names = ["d", "cell", "r", "a", "resident", "home", "c", "m", "k", "cells", "u"]
     found = residents.select(*names).union(askers.select(*names)).groupBy("d", "cell", "r", "a").applyInArrow(_comparer(least), "k long, c long, links long, up long")
     found = materialize(found, "found")
     counted = found.groupBy("k").agg(F.sum("links").alias("links"))
@@ -112,7 +130,9 @@ def near_vectors(
     same = sound.join(own, "v").select("id", "c", "n")
     same = materialize(same, "same")
     linked = same.select(F.col("id").alias("a"), F.col("c").alias("b")).union(found.where("up is not null").select("c", "up"))
-    found = components(linked).withColumnRenamed("node", "id")
+    reached = components(linked)
+    discard(classes, dealt, found)
+    found = reached.withColumnRenamed("node", "id")
     links = same.select("id", "n").union(rows.where(~F.coalesce(fine, F.lit(False))).select("id", F.lit(0).cast("long")))
     component = F.coalesce("component", "id")
     return links.join(found, "id", "left").select(F.col("id").alias("vec_id"), F.col("n").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
@@ -128,26 +148,37 @@ def _unit(column) -> tuple[list[np.ndarray], np.ndarray]:
     return out, np.array([len(x) for x in out], np.int64)
 
 
-def _centres(classes: DataFrame, n: int, seed: int) -> dict[int, np.ndarray]:
-    """Centres for each length of vectors, fitted on a sample of SAMPLE classes of it at most (by hash, seeded)."""
+def n_cells(n: int, per_cell: int = PER_CELL) -> int:
+    return max(1, min(n // per_cell, MAX_CELLS, int(4 * n**0.5)))
+
+
+def _centres(classes: DataFrame, per_cell: int, seed: int) -> dict[int, np.ndarray]:
+    """Centres for each length of vectors, fitted on a sample of its classes by a seeded hash, of a bounded size."""
     by: dict[int, np.ndarray] = {}
     for r in classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect():
-        sample = classes.where(F.size("v") == r["d"]).orderBy(F.xxhash64("v", F.lit(seed))).limit(SAMPLE).select("v")
+        k = n_cells(r["n"], per_cell)
+        sample = classes.where(F.size("v") == r["d"]).orderBy(F.xxhash64("v", F.lit(seed))).limit(max(SAMPLE, SAMPLE_PER_CELL * k)).select("v")
         x, _ = _unit(sample.toArrow().column("v"))
-        k = max(1, min(MAX_CELLS, r["n"] // PER_CELL, len(x)))
-        by[r["d"]] = kmeans(np.stack(x), k, seed=seed)
+        by[r["d"]] = kmeans(np.stack(x), min(k, len(x)), seed=seed)
     return by
 
 
 def _comparer(least: float):
     def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches))
-        home = t.column("resident").to_numpy().astype(bool)
+        resident, home = t.column("resident").to_numpy().astype(bool), t.column("home").to_numpy()
         x = np.frombuffer(b"".join(t.column("u").to_pylist()), np.float64).reshape(t.num_rows, -1)
         c, m, k = (t.column(n).to_numpy() for n in ("c", "m", "k"))
-        cells = np.array(t.column("cells").to_pylist(), np.int64)
-        res, ask = np.flatnonzero(home), np.flatnonzero(~home)
-        cell = key[1].as_py()
+        res, ask = np.flatnonzero(resident), np.flatnonzero(~resident)
+        # In which of the askers' homes each resident asks itself.
+        homes, at_home = np.unique(home, return_inverse=True)
+        asked = np.zeros((len(res), len(homes)), bool)
+        lists = t.column("cells").filter(pa.array(resident)).combine_chunks()
+        if len(res):
+            flat, of = lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(res)), np.diff(lists.offsets.to_numpy()))
+            place = np.minimum(np.searchsorted(homes, flat), len(homes) - 1)
+            there = homes[place] == flat
+            asked[of[there], place[there]] = True
         links = np.zeros(t.num_rows, np.int64)
         up = np.arange(t.num_rows)
 
@@ -158,13 +189,13 @@ def _comparer(least: float):
 
         for at in range(0, len(res), 512):
             own = res[at : at + 512]
-            a, b = np.nonzero(x[own] @ x[ask].T >= least)
-            a, b = own[a], ask[b]
+            row, b = np.nonzero(x[own] @ x[ask].T >= least)
+            a, b, row = own[row], ask[b], row + at
             other = k[a] != k[b]
-            a, b = a[other], b[other]
+            a, b, row = a[other], b[other], row[other]
             np.add.at(links, b, m[a])
             # The resident counts the asker here unless it asks in the asker's home itself.
-            away = ~(cells[a] == cells[b, :1]).any(axis=1)
+            away = ~asked[row, at_home[b]]
             np.add.at(links, a[away], m[b[away]])
             while len(a):  # hooks pairs of different sets until there are none
                 ra, rb = roots(a), roots(b)
