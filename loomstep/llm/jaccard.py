@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import CACHE_WORDS, bound_batches, discard, materialize, raw_texts
+from loomstep.llm.common import CACHE_WORDS, small_batches, discard, materialize, raw_texts
 from loomstep.llm.components import components
 
-#: Counters of the table by which shingles are ordered: 2 ** SKETCH_BITS, whatever the input.
-SKETCH_BITS = 20
+#: Counters of the table by which shingles are ordered: 2 ** 20, doubled for each eightfold of this many bytes, to 2 ** 23.
+#: A shingle stands out from those that share its counter by the root of their number, so lists stay about that long.
+SKETCH_BITS, SKETCH_BYTES, MOST_BITS = 20, 1 << 33, 23
 _SLICES = 1024
 #: Counters of a set's signature.
 SIGNATURE = 64
@@ -90,14 +91,17 @@ def _digest(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return sums[0], sums[1]
 
 
+def sketch_bits(n_bytes: int) -> int:
+    return min(MOST_BITS, SKETCH_BITS + math.ceil(math.log2(max(n_bytes, SKETCH_BYTES) / SKETCH_BYTES) / 3))
+
+
 def shingle_counters(docs: DataFrame, text_col: str, width: int, bits: int = SKETCH_BITS) -> np.ndarray:
     """How often shingles of all documents fall into each of 2 ** bits counters; a table of fixed size."""
-    bound_batches(docs.sparkSession)
     each = (1 << bits) // _SLICES
 
     def run(batches):
         total, known = np.zeros(1 << bits, np.int64), WordHashes()
-        for batch in batches:
+        for batch in small_batches(batches):
             hashes, _ = shingle_sets(raw_texts(batch.column(0)), width, known)
             total += np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         full = np.flatnonzero(total.reshape(_SLICES, each).any(axis=1))
@@ -121,14 +125,13 @@ def shingle_counters(docs: DataFrame, text_col: str, width: int, bits: int = SKE
 def prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Fraction, counters: np.ndarray) -> DataFrame:
     """(doc_id, n, s1, s2, g1, g2, prefix, signature): size and digest of each set, digest of its prefix, the prefix, how many hashes fall in each class."""
     spark = docs.sparkSession
-    bound_batches(spark)
     bits = int(len(counters)).bit_length() - 1
     table = spark.sparkContext.broadcast(np.minimum(counters, 2**32 - 1).astype(np.uint32))
     num, den = threshold.numerator, threshold.denominator
 
     def run(batches):
         known = WordHashes()
-        for batch in batches:
+        for batch in small_batches(batches):
             hashes, n = shingle_sets(raw_texts(batch.column(1)), width, known)
             s1, s2 = _digest(hashes, n)
             of = np.repeat(np.arange(len(n)), n)
@@ -156,7 +159,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
 
     def run(batches):
         known = WordHashes()
-        for batch in batches:
+        for batch in small_batches(batches):
             hashes, n = shingle_sets(raw_texts(batch.column(1)), width, known)
             offsets = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64)))], names=["doc_id", "hashes"])
@@ -176,8 +179,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.abs(x - y)), F.lit(0), lambda t, x: t + x)
     close = pairs.where(apart * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b").distinct()
     close = materialize(close, "close")
-    wanted = materialize(close.select(F.col("a").alias("_wanted")).union(close.select("b")).distinct(), "wanted")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    wanted_ids = materialize(close.select(F.col("a").alias("_wanted")).union(close.select("b")).distinct(), "wanted")
+    wanted = F.broadcast(wanted_ids) if wanted_ids.count() <= BROADCAST_IDS else wanted_ids
     rows = docs.join(wanted, F.col(id_col).cast("long") == F.col("_wanted"), "left_semi")
     sets = materialize(set_table(rows, id_col, text_col, width), "sets")
     a = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
@@ -185,7 +188,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     both = F.size(F.array_intersect("x", "y")).cast("long")
     union = F.size("x") + F.size("y") - both
     links = materialize(close.join(a, "a").join(b, "b").where(den * both >= num * union).select("a", "b"), "links")
-    discard(sets)
+    discard(close, wanted_ids, sets)
     return links
 
 
@@ -204,7 +207,8 @@ def similar_documents(
     in one component, as they share the id. Only id_col and text_col are read; an empty table gives no rows.
     """
     docs = docs.where(F.col(id_col).isNotNull())
-    counters = shingle_counters(docs, text_col, width)
+    n_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    counters = shingle_counters(docs, text_col, width, sketch_bits(n_bytes))
     rows = materialize(prefixes(docs, id_col, text_col, width, threshold, counters), "prefixes")
     full = rows.where("n > 0")
     # A class: documents with equal sets; it goes by its smallest doc_id. A group: classes with one prefix and size.
@@ -214,8 +218,10 @@ def similar_documents(
     group = ["g1", "g2", "n"]
     groups = classes.groupBy(*group).agg(F.min(F.struct("c", "prefix")).alias("m"), F.count(F.lit(1)).alias("k"))
     groups = materialize(groups.select(*group, F.col("m.c").alias("g"), "k", "m.prefix"), "groups")
+    # Different sets of n shingles share n - 1 of n + 1 at most.
+    near = (F.col("n") - 1) * threshold.denominator >= (F.col("n") + 1) * threshold.numerator
     members = classes.select(*group, "c").join(groups.where("k > 1").select(*group, "g"), group)
-    members = materialize(members.select("g", "c"), "members")
+    members = materialize(members.select("g", "c", near.alias("near")), "members")
     same = full.select(*digest, "doc_id").join(classes.select(*digest, "c"), digest).where("doc_id != c")
     links = [materialize(same.select(F.col("doc_id").alias("a"), F.col("c").alias("b")), "links")]
 
@@ -229,13 +235,15 @@ def similar_documents(
     chosen = F.min_by(F.struct("g", "n", "i"), F.struct("i", F.xxhash64("t", "g")))
     head = lists.groupBy("t", "band").agg(chosen.alias("h")).select("t", "band", "h.*")
     star = lists.alias("x").join(head.alias("y"), ["t", "band"]).where(fit & (F.col("x.g") != F.col("y.g"))).select(*_ends("g"))
-    inner = members.where("g != c").select(F.col("g").alias("a"), F.col("c").alias("b"))
+    inner = members.where("near and g != c").select(F.col("g").alias("a"), F.col("c").alias("b"))
     pairs = materialize(star.union(inner).distinct(), "pairs")
     verified = lambda p: _verified(p, classes, docs, id_col, text_col, width, threshold)
     links.append(verified(pairs))
 
     # What the stars leave: pairs of parts in different components, a part being a group's classes of one component.
-    found = materialize(components(links[0].union(links[1])), "found")
+    first = components(links[0].union(links[1]))
+    found = materialize(first, "found")
+    discard(first)
     of = lambda name, new: found.select(F.col("node").alias(name), F.col("component").alias(new))
     single = members.join(of("c", "k"), "c", "left").withColumn("k", F.coalesce("k", "c"))
     single = single.join(of("g", "main"), "g", "left").withColumn("main", F.coalesce("main", "g"))
@@ -243,21 +251,24 @@ def similar_documents(
     label = lists.join(of("g", "own"), "g", "left").join(single.select("g", "k").distinct(), "g", "left")
     label = label.withColumn("k", F.coalesce("k", "own", "g")).withColumn("part", F.struct("g", "k")).drop("own")
     label = materialize(label, "labels")
-    mixed = label.groupBy("t").agg(F.min("k").alias("main"), F.max("k").alias("other")).where("main != other").select("t", "main")
-    mixed = materialize(label.join(mixed, "t"), "mixed")
+    several = label.groupBy("t").agg(F.min("k").alias("main"), F.max("k").alias("other")).where("main != other").select("t", "main")
+    mixed = materialize(label.join(several, "t"), "mixed")
     apart = (F.col("x.g") != F.col("y.g")) & (F.col("x.k") != F.col("y.k")) & ((F.col("y.k") == F.col("y.main")) | (F.col("x.g") < F.col("y.g")))
     rest = mixed.where("k != main").alias("x").join(mixed.alias("y"), F.col("x.t") == F.col("y.t")).where(fit & apart)
     rest = materialize(rest.select(*_ends("part")).distinct(), "rest")
+    parts = rest
     for name in ("a", "b"):  # parts are expanded to their classes
         own = single.select(F.struct("g", "k").alias(name), "c")
         rest = rest.join(own, name, "left").withColumn(name, F.coalesce("c", f"{name}.g")).drop("c")
     apart = (F.col("x.k") != F.col("y.k")) & ((F.col("y.k") == F.col("y.main")) | (F.col("x.c") < F.col("y.c")))
-    inside = single.where("k != main").alias("x").join(single.alias("y"), F.col("x.g") == F.col("y.g")).where(apart)
+    inside = single.where("near and k != main").alias("x").join(single.alias("y"), F.col("x.g") == F.col("y.g")).where(apart)
     more = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(inside.select(*_ends("c")))
     more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     links.append(verified(more))
+    discard(classes, groups, members, lists, pairs, found, single, label, mixed, parts, more)
 
     found = components(links[0].union(links[1]).union(links[2]))
+    discard(*links)
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "s1", "s2").distinct()
     found = found.withColumnRenamed("node", "doc_id")
     return out.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import bound_batches, materialize, raw_texts
+from loomstep.llm.common import small_batches, materialize, raw_texts
 
 CAPACITY = 4096
 END_ID = 1
@@ -41,7 +41,6 @@ def tokenize_pieces(
     end_id alone), repeated rows give repeated pieces, other columns are not read.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         model = spark.sparkContext.broadcast({"json": f.read()})
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
@@ -51,7 +50,7 @@ def tokenize_pieces(
         if "words" not in model.value:  # a worker's copy: what it has encoded serves its later tasks as well
             model.value["words"] = WordIds(model.value["json"])
         known = model.value["words"]
-        for batch in batches:
+        for batch in small_batches(batches):
             # The model lowers letters itself, but special tokens count only as they are written.
             split = [(t if b"<|" in t else t.lower()).split() for t in raw_texts(batch.column(1))]
             known.learn(set().union(*split).difference(known.of))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstep.llm.charmodel import codes, gram_counts, held_steps, log_ratio_table, mean_log_ratio, threshold
-from loomstep.llm.common import discard, let, materialize, running
+from loomstep.llm.common import characters, discard, let, materialize, running
 
 #: Kinds in the order in which they are listed; the last one is the models'.
 KINDS = ("assign", "access", "hex", "random")
@@ -213,7 +213,6 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", m
             last = F.get(x["ends"], F.size(x["ends"]) - 1)
             return F.concat(F.array_join(F.transform(spans, piece), ""), gap(last, F.size(x["chars"])))
 
-        chars = F.filter(F.split(text, ""), lambda c: c != "")
-        return let(F.struct(ends.alias("ends"), chars.alias("chars")), joined)
+        return let(F.struct(ends.alias("ends"), characters(text).alias("chars")), joined)
 
     return found.withColumn(text_col, F.when(F.size("_secrets") > 0, clean(F.col("_secrets"))).otherwise(text)).drop("_secrets")

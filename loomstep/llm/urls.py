@@ -41,10 +41,9 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
     return out
 
 
-def undecided(url: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
+def undecided(url: Column, host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
     """What of a URL no rule can look at: its last host labels and first path segments, as many as the rules' longest have, are left out."""
     text = F.coalesce(url, F.lit(""))
-    host, path = host_and_path(text)
     labels = max((len(r.partition("/")[0].split(".")) for r, _ in rules), default=0)
     segments = max((r.partition("/")[2].count("/") + (not r.endswith("/")) for r, _ in rules), default=0)
     own = F.regexp_extract(host, rf"^(.*?)(?:(?:^|\.)[^.]*){{0,{labels}}}$", 1)
@@ -83,8 +82,8 @@ def judge(
     host, path = host_and_path(F.col("_url"))
     rows = rows.withColumn("host", host).withColumn("path", path).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     y = F.col("_y") if label is not None else F.when(F.col("_rule.verdict") == "allow", 1).when(F.col("_rule.verdict") == "block", 0)
-    read = F.col("_url") if label is not None else undecided(F.col("_url"), rules)
-    known = rows.select("_url", y.alias("y")).where("y is not null and _url is not null").distinct()
+    read = F.col("_url") if label is not None else undecided(F.col("_url"), F.col("host"), F.col("path"), rules)
+    known = rows.select("_url", "host", "path", y.alias("y")).where("y is not null and _url is not null").distinct()
     known = known.withColumn("c", url_codes(read)).withColumn("out", F.pmod(F.xxhash64("_url"), F.lit(HELD_OUT)) == 0)
     known = materialize(known.select("y", "c", "out"), "known")
     counts = materialize(gram_counts(known.where("not out"), "y", "c", ORDER, SIZE), "grams")
