@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomstep.llm import jaccard, mixing, packing, quality, secrets
-from loomstep.llm.common import materialize, table
+from loomstep.llm.common import discard, kept_folder, materialize, own_folder, table
 from loomstep.llm.registry import tokenizer_path
 
 
@@ -76,7 +76,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's frame; a stage's intermediate tables and its docs go once the next one's docs are written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        with own_folder(spark):
+            made = stage(spark, docs, sf_dir)
+            with kept_folder():
+                after = materialize(made, name)
+        if i:
+            discard(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
