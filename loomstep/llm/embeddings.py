@@ -65,11 +65,12 @@ def near_vectors(
     """(vec_id, n_links, component_id, kept): other vectors linked directly, smallest id that links reach, whether it is this one.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and so do
-    vectors of different lengths. Rows of a null id are left out; repeated rows count as vectors of their own
+    vectors of different lengths. A row of a null id has no links and no component and is kept; repeated rows count as vectors of their own
     but share an id, hence a component. Other columns are not read. An empty table gives no rows.
     least is above 0; margin and per_cell trade work for recall (see the module) and tasks for cells.
     """
-    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    every = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = every.where("id is not null")
     top = F.array_max(F.transform("v", F.abs))
     fine = F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & (top > 0)
     # Links of a class don't depend on the length of its vectors, but equal vectors are found by their bytes.
@@ -135,7 +136,9 @@ def near_vectors(
     found = reached.withColumnRenamed("node", "id")
     links = same.select("id", "n").union(rows.where(~F.coalesce(fine, F.lit(False))).select("id", F.lit(0).cast("long")))
     component = F.coalesce("component", "id")
-    return links.join(found, "id", "left").select(F.col("id").alias("vec_id"), F.col("n").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    out = links.join(found, "id", "left").select(F.col("id").alias("vec_id"), F.col("n").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    alone = F.lit(None).cast("long")
+    return out.union(every.where("id is null").select("id", F.lit(0).cast("long"), alone, F.lit(True)))
 
 
 def _unit(column) -> tuple[list[np.ndarray], np.ndarray]:

@@ -202,15 +202,14 @@ def similar_documents(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): size of the set, and the smallest doc_id reachable by similar pairs.
 
-    Rows of a null id are left out. Null texts and texts without words have an empty set and stay alone.
+    Rows of a null id are linked with nothing and have no component. Null texts and texts without words have an empty set and stay alone.
     Repeated rows of one id and text give one row; of one id with several texts, one row for each set, all
     in one component, as they share the id. Only id_col and text_col are read; an empty table gives no rows.
     """
-    docs = docs.where(F.col(id_col).isNotNull())
     n_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     counters = shingle_counters(docs, text_col, width, sketch_bits(n_bytes))
     rows = materialize(prefixes(docs, id_col, text_col, width, threshold, counters), "prefixes")
-    full = rows.where("n > 0")
+    full = rows.where("n > 0 and doc_id is not null")
     # A class: documents with equal sets; it goes by its smallest doc_id. A group: classes with one prefix and size.
     digest = ["s1", "s2", "n"]
     classes = full.groupBy(*digest).agg(F.min(F.struct("doc_id", "g1", "g2", "prefix", "signature")).alias("m"))

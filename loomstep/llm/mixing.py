@@ -10,8 +10,8 @@ from loomstep.llm.common import discard, materialize, word_count
 
 #: Words in a block.
 BLOCK = 16
-#: Documents in a shard, about, and shards of a source at most.
-PER_SHARD, MAX_SHARDS = 500, 4096
+#: Documents in a shard, about, until a source has so many shards; beyond, their number grows as the root of its documents'.
+PER_SHARD, MANY_SHARDS = 500, 4096
 WEIGHTS = (5, 2, 1)
 
 
@@ -75,23 +75,23 @@ def mix(
     to the shards of a source by Sainte-Laguë. In a shard, documents stand in an order seeded by their id and
     are cut into blocks; the quota takes whole rounds of the shard first, then its first blocks. So no
     document gives more than twice its words, and a rerun takes the same. A shard holds about PER_SHARD
-    documents (more in sources of over MAX_SHARDS shards), so a large source is dealt out.
-    Null texts and ids count as size 0 and an id of their own; ids that repeat are ordered by size. Sources
+    documents (more in sources of over MANY_SHARDS shards), so a large source is dealt out.
+    Null texts count as size 0, a null id goes by its text's hash; rows that repeat an id are ordered by size. Sources
     of size 0 have target 0. An empty table gives no rows.
     """
     size = word_count(F.col(f"`{text_col}`"))
     key = F.col(f"`{id_col}`")
-    rows = docs.select(key.cast("long").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), *(F.col(f"`{c}`") for c in carry))
+    rows = docs.select(key.cast("long").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), F.xxhash64(f"`{text_col}`").alias("_text"), *(F.col(f"`{c}`") for c in carry))
     slim = materialize(rows, "sizes")
     totals = slim.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs"))
     sources = source_targets(totals.select("source", "size"))
     sources = sources.join(totals.select(F.col("source").alias("_s"), "docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     seats = F.round(F.sum("target").over(W.partitionBy("_one")) / block)
     sources = sainte_lague(sources.withColumn("_one", F.lit(0)), ["_one"], "target", seats, [F.col("source").isNull(), F.encode(F.col("source"), "UTF-8")], "quota")
-    shards = F.least(F.ceil(F.col("docs") / PER_SHARD), F.lit(MAX_SHARDS)).cast("int")
+    shards = F.least(F.ceil(F.col("docs") / PER_SHARD), F.greatest(F.lit(MANY_SHARDS), F.ceil(F.sqrt("docs")))).cast("int")
     sources = materialize(sources.select("source", F.col("size").alias("source_size"), "target", "quota", F.greatest(shards, F.lit(1)).alias("shards")), "sources")
     near = sources.withColumnRenamed("source", "_s")
-    rank = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rank = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id"), F.col("_text")).cast("string")))
     dealt = slim.join(near, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_order", rank)
     number = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long")
     dealt = materialize(dealt.withColumn("shard", F.pmod(number, F.col("shards")).cast("int")), "dealt")

@@ -44,6 +44,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the fixed patterns' spans and of random strings, a digest of the former and all spans of each text."""
     found = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s["kind"] < 3)
     count = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
@@ -57,16 +58,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and whether it stays of each vector, by cosine of 0.9 and more."""
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each text, whether it fails the base rules, and the verdict with the limits on repeated passages."""
     done = quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words")
     return done.select("doc_id", *(f"quality.{n}" for n in names), quality.base_failed().alias("base_failed"), quality.accepted().alias("kept"))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of each document's set of three-word shingles and its component at a similarity of 0.9 and more."""
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), width=3, threshold=Fraction(9, 10))
 
 
@@ -77,6 +81,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base kinds, a digest of their spans and all spans of each text."""
     found = pii.pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
     count = lambda k: F.size(F.filter("pii", lambda s: s["kind"] == k)).cast("long")
     base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
@@ -86,15 +91,18 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, with its source's size and target."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of each document and their places in sequences of at most 4096 tokens."""
     pieces = packing.tokenize_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return packing.pack(pieces)
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of each page's url."""
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -91,7 +91,7 @@ def test_pii(spark):
     assert ("iban", 6, 28) in pii.find("IBAN: DE89370400440532013000.", anchors)
     assert pii.pii_spans(docs(spark, [])).count() == 0
     twice = docs(spark, ["x@y.zz"]).union(docs(spark, ["x@y.zz"]))
-    assert [len(x["pii"]) for x in pii.pii_spans(twice, out="text").withColumnRenamed("text", "pii").collect()] == [1, 1]
+    assert [len(x["pii"]) for x in pii.pii_spans(twice).collect()] == [1, 1]
     assert ("login", 8, 15) in pii.find("https://ann:pw1@x.org/", anchors)
     out = pii.pii_spans(docs(spark, ["é x@y.zz", None, ""]).withColumn("kind", F.lit(1))).collect()
     assert [[tuple(s) for s in r["pii"]] for r in sorted(out)] == [[("email", 2, 8)], [], []]
@@ -422,6 +422,75 @@ def test_sainte_lague(spark):
         assert [x["q"] for x in got] == held
 
 
+def small_tables(spark, path, empty=False):
+    """Tables with nulls, empty and repeated rows and columns that are named like those of the results."""
+    r = random.Random(19)
+    long = " ".join(r.choice("abcdefgh") + r.choice("xyz") for _ in range(9000))
+    texts = [None, "", " \n\t", long, long, "token = abcdefgh12 ann@x.org 10.0.0.1 +49 30 1234567", "AKIA" + "Q" * 16 + " 4111 1111 1111 1111", "é " * 70, long + " end"]
+    rows = [(i, t, "en", r.choice(["a", "b", None]), len(t or ""), "x", "y", 7) for i, t in enumerate(texts)]
+    rows += [rows[5], (None, "a null id", None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, f"{DOC}, spans string, kept string, size int")
+    (frame.limit(0) if empty else frame).write.parquet(f"{path}/documents.parquet")
+    x = [[1.0, 0.0], [1.0, 0.1], [0.0, 1.0], None, [0.0, 0.0], [None, 1.0]]
+    frame = spark.createDataFrame([*((i, v, 1, 5) for i, v in enumerate(x)), (1, [1.0, 0.1], 1, 5), (None, [1.0, 0.0], 1, 5)], "vec_id long, embedding array<double>, label int, n_links int")
+    (frame.limit(0) if empty else frame).write.parquet(f"{path}/embeddings.parquet")
+    urls_ = [None, "", "x", "http://a.net/en/", "https://b.example.com/de/1?q", "http://c.org/fr/", "http://d.com/", "http://c.org/fr/"]
+    frame = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls_)], "page_id long, url string, host string, verdict string")
+    (frame.limit(0) if empty else frame).write.parquet(f"{path}/pages.parquet")
+    frame = spark.createDataFrame([(1, 0, "user", "hi", 0), (1, 1, "assistant", None, 0), (None, 0, None, "x", 0)], "conv_id long, turn long, role string, text string, loss int")
+    (frame.limit(0) if empty else frame).write.parquet(f"{path}/conversations.parquet")
+    return texts
+
+
+def test_registered_queries_on_odd_tables(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = small_tables(spark, tmp_path)
+    got = {name: run(spark, str(tmp_path)) for name, run in registry.queries().items()}
+    rows = {name: [x.asDict() for x in df.collect()] for name, df in got.items()}
+    by = lambda name, key="doc_id": {x[key]: x for x in rows[name]}
+    assert {name: len(x) for name, x in rows.items() if name not in ("op5_ngram_jaccard", "op9_best_fit_packing")} == {
+        "op1_chat_format": 3, "op2_secret_scan": 12, "op3_near_vectors": 8, "op4_quality_rules": 12, "op6_token_counts": 12, "op7_pii": 12, "op8_source_mix": 12, "op10_url_filter": 8,
+    }
+    digest = lambda spans: hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+    assert by("op2_secret_scan")[5]["base_sha256"] == digest([("assign", 0, 18)]) and by("op2_secret_scan")[6]["n_access"] == 1 and by("op2_secret_scan")[0]["base_sha256"] == digest([])
+    assert by("op7_pii")[5]["spans"] == "email:19:28,ip:29:37,phone:38:52" and by("op7_pii")[6]["n_card"] == 1
+    assert dict(got["op7_pii"].dtypes) == {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"}
+    links = {(x["vec_id"], x["n_links"], x["component_id"], x["kept"]) for x in rows["op3_near_vectors"]}
+    assert links == {(0, 2, 0, True), (1, 2, 0, False), (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (None, 0, None, True)}
+    near = [(x["doc_id"], x["n_shingles"], x["component_id"]) for x in rows["op5_ngram_jaccard"]]
+    sizes = [len({tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))}) if w else 0 for w in (re.findall(WORDS, (t or "").lower()) for t in texts)]
+    assert sorted(near, key=str) == sorted([*((i, sizes[i], 3 if i in (3, 4, 8) else i) for i in range(9)), (None, 1, None), (None, 0, None)], key=str)
+    assert by("op6_token_counts")[2]["n_tokens"] == 0 and by("op6_token_counts")[5]["n_pretokens"] == len(re.findall(WORDS, texts[5]))
+    for x in rows["op8_source_mix"]:
+        assert 0 <= x["taken"] <= 2 * x["size"] and x["target"] <= 2 * x["source_size"]
+    assert set(got["op8_source_mix"].columns) >= {"doc_id", "size", "source_size", "target", "taken"}
+    tok, pieces = Tokenizer.from_file(registry.tokenizer_path("word_bpe_49k.json")), Counter(x["doc_id"] for x in rows["op9_best_fit_packing"])
+    for i in (0, 3, 7):
+        n = len(tok.encode(texts[i] or "", add_special_tokens=False).ids) + 1
+        assert pieces[i] == -(-n // 4096) and sum(x["length"] for x in rows["op9_best_fit_packing"] if x["doc_id"] == i) == n
+    seen = {x["page_id"]: (x["host"], x["path"], x["rule"]) for x in rows["op10_url_filter"]}
+    assert seen[0] == ("", "", None) and seen[3] == ("a.net", "/en/", "net/") and seen[5] == seen[7] == ("c.org", "/fr/", "org/fr/") and seen[6] == ("d.com", "/", None)
+
+
+def test_registered_queries_on_empty_tables(spark, tmp_path):
+    small_tables(spark, tmp_path, empty=True)
+    for name, run in registry.queries().items():
+        assert run(spark, str(tmp_path)).count() == (1 if name == "op1_chat_format" else 0), name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Columns that are named like the stages' own results stay as they are, equal rows count once in the join."""
+    small_tables(spark, tmp_path)
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    made = corpus_pipeline.quality_rules(spark, frame, str(tmp_path))
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        frame = stage(spark, frame, str(tmp_path))
+        assert frame.columns == made.columns and {x["spans"] for x in frame.collect()} <= {"x", None}, name
+    assert {x["doc_id"] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= {3, 4, 7, 8}
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
