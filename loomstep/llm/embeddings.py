@@ -29,7 +29,7 @@ PER_CELL, MAX_CELLS = 400, 16384
 #: Classes on which the centres are fitted, at most: this many, or this many a cell.
 SAMPLE, SAMPLE_PER_CELL = 20_000, 8
 #: How many mean distances to a border a vector asks across.
-MARGIN = 3.0
+MARGIN = 1.5
 #: Classes in a block, about.
 BLOCK = 1024
 
