@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstep.llm.charmodel import codes, gram_counts, held_steps, log_ratio_table, mean_log_ratio, threshold
-from loomstep.llm.common import characters, discard, let, materialize, running
+from loomstep.llm.common import cut_out, discard, let, materialize, running
 
 #: Kinds in the order in which they are listed; the last one is the models'.
 KINDS = ("assign", "access", "hex", "random")
@@ -206,13 +206,13 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", m
     def clean(spans: Column) -> Column:
         ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
 
-        def joined(x: Column) -> Column:
-            before = lambda i: F.when(i > 0, F.get(x["ends"], i - 1)).otherwise(0)
-            gap = lambda a, n: F.array_join(F.slice(x["chars"], a + 1, n), "")
-            piece = lambda s, i: F.when(s["start"] >= before(i), F.concat(gap(before(i), s["start"] - before(i)), F.lit(mark))).otherwise("")
-            last = F.get(x["ends"], F.size(x["ends"]) - 1)
-            return F.concat(F.array_join(F.transform(spans, piece), ""), gap(last, F.size(x["chars"])))
+        def joined(reached: Column) -> Column:
+            before = lambda i: F.when(i > 0, F.get(reached, i - 1)).otherwise(0)
+            gaps = F.transform(spans, lambda s, i: F.struct(before(i).alias("start"), (s["start"] - before(i)).alias("length")))
+            last = F.struct(F.get(reached, F.size(reached) - 1).alias("start"), F.length(text).alias("length"))
+            kept = F.concat(F.filter(gaps, lambda g: g["length"] >= 0), F.array(last))
+            return let(kept, lambda g: F.array_join(cut_out(text, g), mark))
 
-        return let(F.struct(ends.alias("ends"), characters(text).alias("chars")), joined)
+        return let(ends, joined)
 
     return found.withColumn(text_col, F.when(F.size("_secrets") > 0, clean(F.col("_secrets"))).otherwise(text)).drop("_secrets")
