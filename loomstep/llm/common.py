@@ -32,7 +32,8 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     """Writes the rows to the shared folder and reads them back: lineage ends here and any executor can be lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{_folder.get()}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with few_rows(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -65,6 +66,18 @@ def kept_folder() -> Iterator[None]:
         _folder.reset(before)
 
 
+@contextmanager
+def few_rows(spark: SparkSession) -> Iterator[None]:
+    """What is run meanwhile sends Python workers batches of BATCH_ROWS rows; the session's option is put back in the end."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_batches(batches):
     """The same rows in batches of BATCH_ROWS at most; Spark bounds the bytes of those that it sends."""
     for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import CACHE_WORDS, small_batches, discard, materialize, raw_texts
+from loomstep.llm.common import CACHE_WORDS, discard, few_rows, materialize, raw_texts, small_batches
 from loomstep.llm.components import components
 
 #: Counters of the table by which shingles are ordered: 2 ** 20, doubled for each eightfold of this many bytes, to 2 ** 23.
@@ -115,7 +115,9 @@ def shingle_counters(docs: DataFrame, text_col: str, width: int, bits: int = SKE
                 total += np.frombuffer(part, "<i4")
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["slice", "part"])
 
-    rows = docs.select(text_col).mapInArrow(run, "slice int, part binary").groupBy("slice").applyInArrow(add, "slice int, part binary").collect()
+    parts = docs.select(text_col).mapInArrow(run, "slice int, part binary").groupBy("slice").applyInArrow(add, "slice int, part binary")
+    with few_rows(docs.sparkSession):
+        rows = parts.collect()
     table = np.zeros((_SLICES, each), np.int64)
     for r in rows:
         table[r["slice"]] = np.frombuffer(r["part"], "<i8")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import small_batches, materialize, raw_texts
+from loomstep.llm.common import materialize, raw_texts, small_batches
 
 CAPACITY = 4096
 END_ID = 1

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import WordIds, small_batches, covered, raw_texts
+from loomstep.llm.common import WordIds, covered, raw_texts, small_batches
 
 #: Fields of the struct that measure() makes.
 FIELDS = (

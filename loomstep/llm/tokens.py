@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.llm.common import CACHE_WORDS, small_batches, raw_texts
+from loomstep.llm.common import CACHE_WORDS, few_rows, raw_texts, small_batches
 
 #: What begins each pre-token in the vocabulary.
 WORD_START = "▁"
@@ -58,7 +58,9 @@ def fit_scores(docs: DataFrame, path: str, *, text_col: str = "text") -> dict[st
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["piece", "n"])
 
-    counts = docs.select(text_col).mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    counts = docs.select(text_col).mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    with few_rows(docs.sparkSession):
+        counts = counts.collect()
     times = {r["piece"]: r["n"] for r in counts}
     ids = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
     norm = math.log(sum(times.get(i, 0) + 0.5 for i in ids))
