@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm import chats, embeddings, jaccard, mixing, packing, pii, quality, secrets, tokens, urls
+from loomstep.llm import chats, embeddings, jaccard, merkle, mixing, packing, pii, quality, secrets, tokens, urls
 from loomstep.llm.common import table
 
 
@@ -106,10 +106,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of each document, and whether its leaf, tampered with in a seventh of them, still proves."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    done = merkle.manifest(docs, shown=merkle.leaf([F.col("doc_id"), F.col("source"), F.col("lang"), altered, F.col("text")]))
+    digests = (merkle.hex_of(c).alias(c) for c in ("leaf", "subroot", "root"))
+    proof = F.sha2(merkle.hex_of("siblings").cast("binary"), 256).alias("proof_sha256")
+    return done.select("doc_id", *digests, proof, merkle.hex_of("folded_root").alias("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_chat_format, op2_secret_scan, op3_near_vectors, op4_quality_rules, op5_ngram_jaccard,
-        op6_token_counts, op7_pii, op8_source_mix, op9_best_fit_packing, op10_url_filter,
+        op6_token_counts, op7_pii, op8_source_mix, op9_best_fit_packing, op10_url_filter, op13_merkle_manifest,
     )
     return {f.__name__: f for f in every}
 
@@ -157,5 +167,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
 """
 
 
+
+
+def _part(x: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({x} AS VARCHAR))) || ':' || {x}, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_part, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+#: CRC-32 of the decimal id, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), [CAST(i AS BIGINT) for i in range(8)]), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))))"""
+_UP = "list_transform(range((len({0}) + 1) // 2), lambda i: sha256({0}[2 * i + 1] || coalesce({0}[2 * i + 2], '')))"
+#: A sibling of the node number i in a level: side and digest, '-' where there is none.
+_BESIDE = "CASE WHEN {i} % 2 = 1 THEN 'L' || {l}[{i}] WHEN {i} + 2 <= len({l}) THEN 'R' || {l}[{i} + 2] ELSE '-' END"
+_FOLD = "list_reduce(list_prepend({0}, steps), lambda a, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END))"
+_OP13 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf, {_leaf_sql("n_chars + 1")} AS other, coalesce(({_CRC}) % 7 = 0, false) AS hit FROM documents),
+e AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+t AS (SELECT lang, 0 AS h, list(leaf ORDER BY i) AS l FROM e GROUP BY lang UNION ALL SELECT lang, h + 1, {_UP.format("l")} FROM t WHERE len(l) > 1),
+s AS (SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS j FROM t WHERE len(l) = 1),
+u AS (SELECT 0 AS h, list(subroot ORDER BY j) AS l FROM s UNION ALL SELECT h + 1, {_UP.format("l")} FROM u WHERE len(l) > 1),
+r AS (SELECT l[1] AS root FROM u WHERE len(l) = 1),
+low AS (SELECT lang, list(l ORDER BY h) AS levels FROM t GROUP BY lang), high AS (SELECT list(l ORDER BY h) AS levels FROM u),
+p AS (SELECT e.*, s.subroot, r.root,
+  list_concat(list_transform(range(len(low.levels) - 1), lambda h: {_BESIDE.format(i="(e.i >> h)", l="low.levels[h + 1]")}),
+    list_transform(range(len(high.levels) - 1), lambda h: {_BESIDE.format(i="(s.j >> h)", l="high.levels[h + 1]")})) AS steps
+  FROM e JOIN s ON e.lang IS NOT DISTINCT FROM s.lang JOIN low ON e.lang IS NOT DISTINCT FROM low.lang, high, r),
+f AS (SELECT *, {_FOLD.format("CASE WHEN hit THEN coalesce(other, leaf) ELSE leaf END")} AS folded_root FROM p)
+SELECT doc_id, leaf, subroot, root, sha256(list_reduce(list_prepend('', steps), lambda a, s: a || s[2:])) AS proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _OP1, "op4_quality_rules": _OP4}
+    return {"op1_chat_format": _OP1, "op4_quality_rules": _OP4, "op13_merkle_manifest": _OP13}
