@@ -123,6 +123,21 @@ def cut_out(text: Column, spans: Column, few: int = 16) -> Column:
     return F.when(F.size(spans) <= few, each).otherwise(whole)
 
 
+def above_bin(counts: DataFrame, n: str, most: int) -> Column:
+    """A condition that holds for the rows of the largest n, as many as possible but no more than most.
+
+    Rows are counted by the logarithm of n in eighths, so the driver gets some 500 numbers at most, whatever the rows.
+    """
+    bin_of = F.floor(F.log2(F.col(n)) * 8).cast("int")
+    least, held = None, 0
+    for r in counts.groupBy(bin_of.alias("bin")).count().orderBy(F.desc("bin")).collect():
+        held += r["count"]
+        if held > most:
+            break
+        least = r["bin"]
+    return F.lit(False) if least is None else bin_of >= least
+
+
 def raw_texts(column) -> list[bytes]:
     """The UTF-8 bytes of a string column of an Arrow batch; null is empty."""
     return [b"" if t is None else t for t in column.cast("binary").to_pylist()]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm import chats, embeddings, jaccard, merkle, mixing, packing, pii, quality, secrets, tokens, urls
+from loomstep.llm import alignment, chats, embeddings, jaccard, merkle, mixing, packing, pii, quality, secrets, tokens, urls
 from loomstep.llm.common import table
 
 
@@ -106,6 +106,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of tokens, groups and links of each document under two tokenizers, and how common its links are."""
+    docs = table(spark, sf_dir, "documents")
+    aligned = alignment.align_documents(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return alignment.score_links(aligned).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of each document, and whether its leaf, tampered with in a seventh of them, still proves."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -119,7 +126,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_chat_format, op2_secret_scan, op3_near_vectors, op4_quality_rules, op5_ngram_jaccard,
-        op6_token_counts, op7_pii, op8_source_mix, op9_best_fit_packing, op10_url_filter, op13_merkle_manifest,
+        op6_token_counts, op7_pii, op8_source_mix, op9_best_fit_packing, op10_url_filter, op12_token_alignment,
+        op13_merkle_manifest,
     )
     return {f.__name__: f for f in every}
 
