@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomstep.llm import alignment, chats, embeddings, jaccard, merkle, mixing, packing, pii, quality, secrets, tokens, urls
+from loomstep.llm import alignment, brown, chats, embeddings, jaccard, merkle, mixing, packing, pii, quality, secrets, tokens, urls
 from loomstep.llm.common import table
 
 
@@ -106,6 +106,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of each document under a class-based bigram model of six sevenths of them, and of their words alone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = brown.fit(docs.where(~brown.held_out(F.col("doc_id"))))
+    done = brown.score(docs, model)
+    return done.select("doc_id", brown.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of tokens, groups and links of each document under two tokenizers, and how common its links are."""
     docs = table(spark, sf_dir, "documents")
@@ -126,8 +134,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_chat_format, op2_secret_scan, op3_near_vectors, op4_quality_rules, op5_ngram_jaccard,
-        op6_token_counts, op7_pii, op8_source_mix, op9_best_fit_packing, op10_url_filter, op12_token_alignment,
-        op13_merkle_manifest,
+        op6_token_counts, op7_pii, op8_source_mix, op9_best_fit_packing, op10_url_filter, op11_class_lm,
+        op12_token_alignment, op13_merkle_manifest,
     )
     return {f.__name__: f for f in every}
 
