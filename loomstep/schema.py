@@ -26,3 +26,23 @@ def positive_ints(values: Iterable[int], what: str) -> list[int]:
 
 def ordered_unique(names: Iterable[str]) -> list[str]:
     return list(dict.fromkeys(names))
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for temporary columns like those wanted, none of which df has, whatever the case of its letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def free_prefix(df: DataFrame) -> str:
+    """Underscores with which no column of df begins."""
+    p = "_"
+    while any(c.startswith(p) for c in df.columns):
+        p += "_"
+    return p

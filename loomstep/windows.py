@@ -7,21 +7,18 @@ from pyspark.sql import Window, WindowSpec
 from loomstep.schema import DATE, SYMBOL, TIME
 
 
-def of_symbol() -> WindowSpec:
-    return Window.partitionBy(SYMBOL).orderBy(DATE, TIME)
+def of_symbol(*more: str) -> WindowSpec:
+    """more: further keys, such as a chunk of the history, here and below."""
+    return Window.partitionBy(SYMBOL, *more).orderBy(DATE, TIME)
 
 
-def of_day() -> WindowSpec:
-    return Window.partitionBy(SYMBOL, DATE).orderBy(TIME)
+def of_day(*more: str) -> WindowSpec:
+    return Window.partitionBy(SYMBOL, *more, DATE).orderBy(TIME)
 
 
-def of_tick() -> WindowSpec:
+def of_tick(*more: str) -> WindowSpec:
     """The same tick on the days of a symbol."""
-    return Window.partitionBy(SYMBOL, TIME).orderBy(DATE)
-
-
-def of_bucket(bucket: str = "time_bucket") -> WindowSpec:
-    return Window.partitionBy(SYMBOL, bucket).orderBy(DATE, TIME)
+    return Window.partitionBy(SYMBOL, *more, TIME).orderBy(DATE)
 
 
 def of_streak(streak: str = "streak") -> WindowSpec:

@@ -268,3 +268,41 @@ def test_settings_of_all_sections(spark, tmp_path):
     (tmp_path / "t.yaml").write_text("more: 1\n")
     with pytest.raises(KeyError):
         load_settings(spark, str(tmp_path / "t.yaml"))
+
+
+def long_panel():
+    """Two symbols of 40 days with missing ticks; one day is long, so that it spans chunks."""
+    r = random.Random(11)
+    rows = [(s, d, t, None if r.random() < 0.4 else r.gauss(0, 1) + (40.0 if r.random() < 0.02 else 0.0), t % 2) for s in range(2) for d in range(40) if d % 11 != 7 for t in range(60 if d == 20 else 8) if r.random() > 0.2]
+    return [*rows, (None, 3, 1, 1.0, 0), (0, None, 1, 2.0, 1), (1, 5, 1, 2.0, None)]
+
+
+@pytest.mark.parametrize("chunk", [1, 9, 30])
+def test_chunks_change_nothing(spark, chunk):
+    df = spark.createDataFrame(long_panel(), SCHEMA + ", time_bucket int").withColumn("_chunk", F.lit("kept"))
+    for whole, parts in (
+        (preprocess.rolling_sigma_clip(df, ["x"], window=9, k=1.5, min_valid=3), preprocess.rolling_sigma_clip(df, ["x"], window=9, k=1.5, min_valid=3, chunk_rows=chunk)),
+        (preprocess.causal_impute(df, ["x"], ttl_days_open=2, max_gap=3, ttl_days_same_tick=3), preprocess.causal_impute(df, ["x"], ttl_days_open=2, max_gap=3, ttl_days_same_tick=3, chunk_days=chunk)),
+        (preprocess.impute_open(df, ["x"], ttl_days=4), preprocess.impute_open(df, ["x"], ttl_days=4, chunk_days=chunk)),
+    ):
+        assert parts.columns == df.columns
+        rows = [sorted(map(tuple, d.collect()), key=str) for d in (whole, parts)]
+        assert [r[:3] for r in rows[0]] == [r[:3] for r in rows[1]] and {r[5] for r in rows[1]} == {"kept"}
+        assert [r[3] for r in rows[0]] == pytest.approx([r[3] for r in rows[1]])
+    clipped = preprocess.rolling_sigma_clip(df, ["x"], window=9, k=1.5, min_valid=3, chunk_rows=chunk)
+    assert sum(a[3] != b[3] for a, b in zip(sorted(df.collect(), key=str), sorted(clipped.collect(), key=str), strict=True)) > 3
+
+
+def test_one_symbol_is_many_tasks(spark):
+    """With one symbol, the windows of clip and fill run in as many tasks as there are chunks, as far as these are dealt apart."""
+    rows = [(0, d, t, float(d * t % 7), 0) for d in range(64) for t in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA + ", time_bucket int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for made in (
+            preprocess.rolling_sigma_clip(df, ["x"], window=10, chunk_rows=100),
+            preprocess.causal_impute(df, ["x"], ttl_days_open=1, ttl_days_same_tick=1, chunk_days=4),
+        ):
+            assert made.select(F.spark_partition_id().alias("p"), "*").groupBy("p").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
