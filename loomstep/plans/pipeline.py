@@ -60,13 +60,14 @@ def stages(df: DataFrame, responders: list[str], features: list[str], s: Setting
     return found | {f"stage_c_{g}": stage_c(df, features, **(c | {"groups": (g,)})) for g in GROUPS}
 
 
-def write_checked(df: DataFrame, path: str, low: int, high: int, *, check: bool = True, exact: bool = True) -> DataFrame:
+def write_checked(df: DataFrame, path: str, low: int, high: int, *, check: bool = True, exact: bool = True, counted: DataFrame | None = None) -> DataFrame:
     """Writes rows of dates low to high in blocks of dates counted from low, and reads them back.
 
-    check: the files must be in order of time and (exact) reach from low to high, or an AssertionError is raised.
+    counted: as of write_dated(). check: the files must be in order of time and (exact) reach from low to high, or an AssertionError is raised.
     """
     spark = df.sparkSession
-    write_dated(df.where(F.col(DATE).between(low, high)), path, first=low)
+    inside = F.col(DATE).between(low, high)
+    write_dated(df.where(inside), path, first=low, counted=None if counted is None else counted.where(inside))
     if check and exact:
         assert_panel_shard(spark, path, low, high)
     elif check:
@@ -81,7 +82,7 @@ def write_clean(raw: DataFrame, features: list[str], path: str, s: Settings = Se
     r = date_range(rows).first()
     if not r["n_rows"]:
         raise ValueError("no rows in these dates")
-    return write_checked(clean_panel(rows, features, s), path, r["min_date"], r["max_date"], check=check)
+    return write_checked(clean_panel(rows, features, s), path, r["min_date"], r["max_date"], check=check, counted=rows)
 
 
 def cores_of(clean: DataFrame, s: Settings = Settings()) -> list[tuple[int, int, int]]:
@@ -104,7 +105,7 @@ def write_stages(clean: DataFrame, responders: list[str], features: list[str], o
         padded = clean.where(F.col(DATE).between(read_from, high))
         for name, frame in stages(padded, responders, features, s).items():
             paths.append(core_path(out, name, low, high))
-            write_checked(frame, paths[-1], low, high, check=check)
+            write_checked(frame, paths[-1], low, high, check=check, counted=clean)
     return paths
 
 
@@ -115,7 +116,7 @@ def write_panel(clean: DataFrame, staged: str, out: str, features: list[str], *,
         parts = [read_dated(spark, core_path(staged, name, low, high)) for name in STAGES]
         rows = panel(clean, parts, features, target=target, low=low, high=high, daily_ticks=s.daily_ticks)
         paths.append(core_path(out, "panel", low, high))
-        write_checked(rows, paths[-1], low, high, check=check)
+        write_checked(rows, paths[-1], low, high, check=check, counted=clean)
     return paths
 
 

@@ -17,9 +17,9 @@ from loomstep.functions.scalar import clip_upper, cyclic_time, sanitize, time_bu
 from loomstep.operators import crossval, daily, history, preprocess, quality, selection, validate, xday
 from loomstep.plans import pipeline
 from loomstep.schema import DATE, KEYS, SYMBOL, TIME
-from loomstep.sources.dated import read_dated, read_names, read_raw, to_matrix, write_dated
+from loomstep.sources.dated import footer_range, read_dated, read_names, read_raw, to_matrix, write_dated, write_matrix
 from loomstep.sources.panels import DAILY_TICKS, duck_panel, event_panel
-from loomstep.sources.scratch import scratch_path
+from loomstep.sources.scratch import delete, scratch_path
 from loomstep.sources.settings import Clip, Fill, Settings, StageA, StageB, StageC
 
 FEATURES, RESPONDERS = ["feature_00", "feature_01"], ["responder_0", "responder_1", "responder_2"]
@@ -370,7 +370,27 @@ def _raw_scan(spark: SparkSession, d: str) -> DataFrame:
 def _monotone(spark: SparkSession, d: str) -> DataFrame:
     rows = validate.read_in_order(spark, f"{d}/events.parquet")
     rows = rows.select("file", "row", F.expr("datediff(CAST(ts AS DATE), DATE '2024-01-01')").alias(DATE), F.col("user_id").alias(TIME))
-    return validate.order_breaks(rows)
+    return validate.order_breaks(rows).select("date_breaks", "time_breaks")
+
+
+def _matrix_order(spark: SparkSession, d: str) -> DataFrame:
+    """Order of time within and across files of events, 300 ids in each."""
+    rows = spark.read.parquet(f"{d}/events.parquet")
+    day = F.expr("datediff(CAST(ts AS DATE), DATE '2024-01-01')")
+    return validate.order_breaks(rows.select(F.expr("event_id div 300").alias("file"), F.col("event_id").alias("row"), day.alias(DATE), (F.col("user_id") % 50).alias(TIME)), stretch=70)
+
+
+def _written_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Order of a matrix as it was written, file after file, and its rows and dates from the files' own statistics."""
+    path = scratch_path(spark, "matrix")
+    try:
+        write_matrix(to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=0, high=10**6), path)
+        found = validate.order_breaks(validate.read_in_order(spark, path)).first()
+        dates = footer_range(spark, path).first()
+    finally:
+        delete(spark, path)
+        delete(spark, f"{path}.manifest")
+    return spark.createDataFrame([(*found, dates["min_date"], dates["max_date"])], "n_rows long, date_breaks long, time_breaks long, file_breaks long, min_date int, max_date int")
 
 
 def _folds(spark: SparkSession, d: str) -> DataFrame:
@@ -526,6 +546,15 @@ SELECT symbol_id, count(*) AS n_gaps, max(gap) AS max_gap, min(gap) AS min_gap,
 l AS (SELECT *, lag(d) OVER (ORDER BY r) AS pd, lag(u) OVER (ORDER BY r) AS pu FROM e)
 SELECT count(*) FILTER (d < pd) AS date_breaks, count(*) FILTER (d = pd AND u < pu) AS time_breaks FROM l""",
     ),
+    "matrix_order": Query(
+        _matrix_order,
+        """WITH e AS (SELECT event_id // 300 AS f, event_id AS r, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d, user_id % 50 AS t FROM events),
+l AS (SELECT *, lag(d) OVER w AS pd, lag(t) OVER w AS pt FROM e WINDOW w AS (PARTITION BY f ORDER BY r)),
+s AS (SELECT f, count(*) AS n, count(*) FILTER (d < pd) AS db, count(*) FILTER (d = pd AND t < pt) AS tb, arg_min(d * 100 + t, r) AS first, arg_max(d * 100 + t, r) AS last FROM l GROUP BY f),
+o AS (SELECT *, lag(last) OVER (ORDER BY f) AS before FROM s)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(db) AS BIGINT) AS date_breaks, CAST(sum(tb) AS BIGINT) AS time_breaks, count(*) FILTER (first < before) AS file_breaks FROM o""",
+    ),
+    "matrix_written": Query(_written_matrix, f"{_P} SELECT count(*) AS n_rows, 0 AS date_breaks, 0 AS time_breaks, 0 AS file_breaks, min(date_id) AS min_date, max(date_id) AS max_date FROM p"),
     "range_check": Query(lambda s, d: validate.date_range(event_panel(s, d)), f"{_P} SELECT min(date_id) AS min_date, max(date_id) AS max_date, count(*) AS n_rows FROM p"),
     "day_index": Query(lambda s, d: crossval.day_index(event_panel(s, d)), f"{_P} SELECT date_id, CAST(row_number() OVER (ORDER BY date_id) - 1 AS INT) AS day FROM (SELECT DISTINCT date_id FROM p)"),
     "sliding_cv_folds": Query(_folds, f"WITH {_FOLDS_SQL} SELECT * FROM folds"),

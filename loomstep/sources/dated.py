@@ -7,10 +7,12 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstep.operators.validate import date_range
-from loomstep.schema import DATE, KEYS, SYMBOL, TIME, ordered_unique, require_columns
+from loomstep.operators.validate import assert_time_monotone, date_range
+from loomstep.schema import DATE, KEYS, SYMBOL, TIME, free_names, ordered_unique, require_columns
 
 BLOCK_DAYS = 30
+#: Values (rows times columns) of a file, about: 256 MB of 4 bytes each before compression.
+FILE_VALUES = 1 << 26
 
 
 def with_block(df: DataFrame, first: int = 0, days: int = BLOCK_DAYS) -> DataFrame:
@@ -18,14 +20,26 @@ def with_block(df: DataFrame, first: int = 0, days: int = BLOCK_DAYS) -> DataFra
     return df.withColumn("date_block", F.floor((F.col(DATE) - first) / F.lit(days)).cast("int"))
 
 
-def write_dated(df: DataFrame, path: str, *, first: int = 0, days: int = BLOCK_DAYS, per_block: int = 1, mode: str = "overwrite") -> None:
-    """Writes the panel in folders of date_block, time-major within a file, zstd.
+def write_dated(
+    df: DataFrame, path: str, *, first: int = 0, days: int = BLOCK_DAYS, file_values: int = FILE_VALUES, counted: DataFrame | None = None, mode: str = "overwrite"
+) -> None:
+    """Writes the panel in folders of date_block, zstd, in order of time within a file and from one file to the next by name.
 
-    per_block: files a block; files of one block hold different days, so their rows stay in order.
+    A block is cut by date and time into as many files as make them file_values large, each written by a task of its
+    own, and files are numbered in the order of time. counted: a table of the same keys that is cheaper to count than df.
+    Rows without a date are written in the last file.
     """
+    blocks = with_block(counted if counted is not None else df, first, days)
+    sizes = blocks.groupBy("date_block").agg(F.count(F.lit(1)).alias("n"), F.max(TIME).alias("t")).agg(F.max("n").alias("n"), F.max("t").alias("t"), F.min("date_block").alias("low"), F.max("date_block").alias("high")).first()
+    low, high, ticks = sizes["low"] or 0, sizes["high"] or 0, (sizes["t"] or 0) + 1
+    slices = -(-(sizes["n"] or 1) * len(df.columns) // file_values)
     rows = with_block(df, first, days)
-    part = F.pmod(F.col(DATE), F.lit(per_block))
-    rows = rows.repartition("date_block", part).sortWithinPartitions("date_block", DATE, TIME, SYMBOL)
+    tick = (F.col(DATE) - first - F.col("date_block") * days) * F.lit(ticks) + F.coalesce(F.col(TIME), F.lit(0))
+    [file] = free_names(rows, "file")
+    number = (F.col("date_block") - low) * slices + F.floor(tick * slices / (days * ticks))
+    last = (high - low + 1) * slices
+    rows = rows.withColumn(file, F.coalesce(F.least(F.greatest(number, F.lit(0)), F.lit(last - 1)), F.lit(last)).cast("int"))
+    rows = rows.repartitionById(last + 1, file).drop(file).sortWithinPartitions("date_block", DATE, TIME, SYMBOL)
     rows.write.mode(mode).option("compression", "zstd").partitionBy("date_block").parquet(path)
 
 
@@ -68,11 +82,27 @@ def size_gb(n_rows: int, n_features: int) -> float:
     return n_rows * (n_features + 3) * 4 / 1e9
 
 
+def footer_range(spark: SparkSession, path: str) -> DataFrame:
+    """(min_date, max_date, n_rows) of Parquet files from the statistics in their footers; no row is read.
+
+    The aggregate is pushed to the source, which Spark offers for its newer reader only, so this runs in a session of
+    its own and the caller's options stay as they are. Keys whose files lack statistics are an error of the source.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return date_range(own.read.parquet(path))
+
+
 def write_matrix(matrix: DataFrame, path: str) -> dict:
-    """Writes the matrix in global time-major order by ranges of keys, and a manifest; returns the manifest."""
+    """Writes the matrix in global time-major order by ranges of keys, and a manifest; returns the manifest.
+
+    The files are read again: an order of time that is broken within one or from one to the next is an AssertionError.
+    """
     matrix.repartitionByRange(DATE, TIME, SYMBOL).sortWithinPartitions(DATE, TIME, SYMBOL).write.mode("overwrite").option("compression", "zstd").parquet(path)
     spark = matrix.sparkSession
-    r = date_range(spark.read.parquet(path)).first()
+    assert_time_monotone(spark, path)
+    r = footer_range(spark, path).first()
     features = [c for c in matrix.columns if c not in {*KEYS, "y", "w"}]
     meta = {"n_rows": r["n_rows"], "n_feat": len(features), "dtype": "float32", "features": features, "dates": [r["min_date"], r["max_date"]], "size_gb": size_gb(r["n_rows"], len(features))}
     write_summary(spark, meta, f"{path}.manifest")

@@ -208,6 +208,10 @@ def test_written_files_are_checked(spark, tmp_path):
     df.coalesce(1).orderBy(F.desc("time_id")).write.parquet(str(tmp_path / "d"))
     with pytest.raises(AssertionError):
         validate.assert_time_monotone(spark, str(tmp_path / "d"))
+    dated.write_dated(df, str(tmp_path / "f"), days=5, file_values=200)
+    assert len(spark.read.parquet(str(tmp_path / "f")).inputFiles()) > 5
+    validate.assert_time_monotone(spark, str(tmp_path / "f"))
+    assert sorted(map(str, dated.read_dated(spark, str(tmp_path / "f")).collect())) == sorted(map(str, df.collect()))
     with pytest.raises(ValueError):
         pipeline.run(df.withColumn("w", F.lit(1.0)), ["x"], ["x"], str(tmp_path / "e"), target="x", s=Settings(first_date=99))
 
@@ -306,3 +310,18 @@ def test_one_symbol_is_many_tasks(spark):
             assert made.select(F.spark_partition_id().alias("p"), "*").groupBy("p").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_order_across_files(spark, tmp_path):
+    """Files that are in order in themselves but not from one to the next are found, whatever the stretches."""
+    for i, days in enumerate(([0, 1], [2, 4], [3, 5])):
+        spark.createDataFrame([(0, d, t, 1.0) for d in days for t in range(3)], SCHEMA).coalesce(1).sortWithinPartitions("date_id", "time_id").write.parquet(str(tmp_path / f"m/part={i}"))
+    rows = validate.read_in_order(spark, str(tmp_path / "m"))
+    for stretch in (1, 4, 100):
+        assert tuple(validate.order_breaks(rows, stretch=stretch).first()) == (18, 0, 0, 1)
+    with pytest.raises(AssertionError, match="1 files"):
+        validate.assert_time_monotone(spark, str(tmp_path / "m"))
+    assert tuple(validate.order_breaks(rows.limit(0)).first()) == (0, 0, 0, 0)
+    found = dated.footer_range(spark, str(tmp_path / "m"))
+    assert tuple(found.first()) == (0, 5, 18)
+    assert "PushedAggregation: [MIN(date_id), MAX(date_id), COUNT(*)]" in found._jdf.queryExecution().toString()
