@@ -2,66 +2,37 @@
 
 from __future__ import annotations
 
-import itertools
+import math
 import random
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstep.operators.crossval import assign_folds, fold_summary, weighted_r2
+from loomstep.operators.boosting import Binned, Model, fit
+from loomstep.operators.crossval import assign_folds, fold_summary
 from loomstep.schema import ordered_unique
-from loomstep.sources.dated import read_summary, write_names, write_summary
+from loomstep.sources.dated import write_names
+from loomstep.sources.settings import Trees
 
 
-def assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    """df with a vector of features; nulls count as 0."""
-    filled = df.select("*", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in features))
-    made = VectorAssembler(inputCols=[f"_x_{c}" for c in features], outputCol="features").transform(filled)
-    return made.drop(*(f"_x_{c}" for c in features))
+def fit_fold(binned: Binned, folds: DataFrame, fold: int, trees: Trees = Trees()) -> Model:
+    """The model of one fold, which its validation days judge; all folds read the same binned rows."""
+    own = assign_folds(binned.rows, folds.where(F.col("fold") == fold))
+    return fit(binned, own.withColumn("valid", F.col("part") == "valid"), trees)
 
 
-def fold_rows(df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str) -> DataFrame:
-    """(features, label, w, fold, part) of all folds, assembled once and kept, as every fold and trial reads them again.
-
-    The caller unpersists them. Null targets are left out, null weights count as 1.
-    """
-    rows = assign_folds(assemble(df.where(F.col(y).isNotNull()), features), folds)
-    w = F.coalesce(F.col(weight).cast("double"), F.lit(1.0))
-    return rows.select("features", F.col(y).cast("double").alias("label"), w.alias("w"), "fold", "part").persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def fit_fold(rows: DataFrame, fold: int, *, rounds: int, depth: int, rate: float, tolerance: float, seed: int) -> tuple[GBTRegressionModel, float]:
-    """The model of one fold and its wr2 on the validation rows; the trees behind the best round are not in the model."""
-    own = rows.where(F.col("fold") == fold).withColumn("valid", F.col("part") == "valid")
-    trees = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, weightCol="w", validationIndicatorCol="valid", validationTol=tolerance)
-    model = trees.fit(own)
-    score = weighted_r2(model.transform(own.where("valid")), "label", "prediction", "w").first()["wr2"]
-    return model, score
-
-
-def fit_folds(
-    df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str, rounds: int = 20, depth: int = 5, rate: float = 0.1, tolerance: float = 0.01, seed: int = 42, rows: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(scores, importance): wr2 and best number of rounds of each fold, and gain share of each feature averaged over folds.
-
-    A fit stops where a further round does not lower the validation error by tolerance (relative to it, or to
-    0.01 if that is more). Spark's boosted trees grow level by level; scores are comparable among themselves only.
-    rows: what fold_rows() made of the same arguments, if the caller keeps it.
-    """
-    spark = df.sparkSession
-    kept = rows if rows is not None else fold_rows(df, features, folds, y=y, weight=weight)
-    scores, shares = [], []
-    for fold in [r["fold"] for r in folds.select("fold").orderBy("fold").collect()]:
-        model, wr2 = fit_fold(kept, fold, rounds=rounds, depth=depth, rate=rate, tolerance=tolerance, seed=seed)
-        scores.append((fold, wr2, model.getNumTrees))
-        shares += [(fold, c, float(s)) for c, s in zip(features, model.featureImportances.toArray(), strict=True)]
-    if rows is None:
-        kept.unpersist()
-    importance = spark.createDataFrame(shares, "fold int, feature string, share double")
-    return spark.createDataFrame(scores, "fold int, wr2 double, rounds int"), importance.groupBy("feature").agg(F.avg("share").alias("gain_share"))
+def fit_folds(binned: Binned, folds: DataFrame, trees: Trees = Trees()) -> tuple[DataFrame, DataFrame]:
+    """(scores, importance): the best wr2 of each fold and its round, and the gain share of each feature averaged over folds."""
+    spark = binned.rows.sparkSession
+    numbers = [r["fold"] for r in folds.select("fold").orderBy("fold").collect()]
+    models = [fit_fold(binned, folds, k, trees) for k in numbers]
+    scores = [(k, max(m.scores, default=None), len(m.trees)) for k, m in zip(numbers, models, strict=True)]
+    shares = [(k, c, s) for k, m in zip(numbers, models, strict=True) for c, s in zip(binned.features, m.gain_shares(), strict=True)]
+    importance = spark.createDataFrame(shares, "fold int, feature string, share double").groupBy("feature").agg(F.avg("share").alias("gain_share"))
+    return spark.createDataFrame(scores, "fold int, wr2 double, rounds int"), importance
 
 
 def top_features(importance: DataFrame, k: int, always: list[str] = (), score: str = "gain_share") -> DataFrame:
@@ -71,11 +42,11 @@ def top_features(importance: DataFrame, k: int, always: list[str] = (), score: s
     return importance.sparkSession.createDataFrame(list(enumerate(ordered_unique([*always, *names]), 1)), "rank int, feature string")
 
 
-def select_features(df: DataFrame, features: list[str], folds: DataFrame, path: str, *, y: str, weight: str, k: int, always: list[str] = (), **fit) -> DataFrame:
+def select_features(binned: Binned, folds: DataFrame, path: str, *, k: int, always: list[str] = (), trees: Trees = Trees()) -> DataFrame:
     """top_features() by gain share over the folds, its names written to path, one a line; returns (rank, feature)."""
-    _, importance = fit_folds(df, features, folds, y=y, weight=weight, **fit)
+    _, importance = fit_folds(binned, folds, trees)
     best = top_features(importance, k, always)
-    write_names(df.sparkSession, [r["feature"] for r in best.orderBy("rank").collect()], path)
+    write_names(binned.rows.sparkSession, [r["feature"] for r in best.orderBy("rank").collect()], path)
     return best
 
 
@@ -84,40 +55,82 @@ def refit_rounds(best: list[int]) -> int:
     return max(50, int(sum(best) / len(best) * 1.10))
 
 
-def draw_trials(space: dict[str, tuple], trials: int, seed: int = 42) -> list[dict]:
-    """So many different points of the grid that space spans (all of them, if it has no more), in a seeded order."""
-    grid = [dict(zip(space, point, strict=True)) for point in itertools.product(*space.values())]
-    return random.Random(seed).sample(grid, min(trials, len(grid)))
+def refit(binned: Binned, best: list[int], trees: Trees = Trees()) -> Model:
+    """A model of all binned rows, with refit_rounds(best) rounds; best: those of the folds."""
+    return fit(binned, binned.rows.withColumn("valid", F.lit(False)), replace(trees, rounds=refit_rounds(best)))
+
+
+#: A range (low, high) to draw from: whole numbers, or real ones.
+Space = dict[str, tuple[int, int] | tuple[float, float]]
 
 
-def search_parameters(df: DataFrame, features: list[str], folds: DataFrame, *, y: str, weight: str, space: dict[str, tuple], trials: int = 30, seed: int = 42) -> DataFrame:
-    """(trial, a column for each parameter, mean_wr2, std_wr2), the best trial first: a seeded random search over the folds.
+def draw(space: Space, rng: random.Random) -> dict:
+    return {c: rng.randint(a, b) if isinstance(a, int) else rng.uniform(a, b) for c, (a, b) in space.items()}
 
-    space: values to try for rounds, depth and rate of fit_folds(). Trials run one after the other, each on
-    the whole cluster; only their scores come to the driver.
+
+def propose(space: Space, past: list[tuple[dict, float]], rng: random.Random, *, share: float = 0.25, candidates: int = 24) -> dict:
+    """The next point by Parzen densities: of some drawn near good past points, the one most likely good rather than bad.
+
+    The best share of past points are good. A density has a bump around each of its points and one over the whole
+    range, parameter by parameter; bumps are narrower the more points there are.
     """
-    rows, kept = [], fold_rows(df, features, folds, y=y, weight=weight)
-    for trial, point in enumerate(draw_trials(space, trials, seed)):
-        scores, _ = fit_folds(df, features, folds, y=y, weight=weight, seed=seed, rows=kept, **point)
-        found = fold_summary(scores).first()
-        rows.append((trial, *(float(v) for v in point.values()), found["mean"], found["std"]))
-    kept.unpersist()
-    fields = ", ".join(["trial int", *(f"{c} double" for c in space), "mean_wr2 double, std_wr2 double"])
-    return df.sparkSession.createDataFrame(rows, fields).orderBy(F.desc("mean_wr2"), "trial")
+    ranked = sorted(past, key=lambda x: -x[1])
+    n = max(1, math.ceil(share * len(ranked)))
+    good, bad = [p for p, _ in ranked[:n]], [p for p, _ in ranked[n:]]
 
+    def width(c: str, points: list[dict]) -> float:
+        a, b = space[c]
+        return max((b - a) / max(len(points), 1) ** 0.8, (b - a) / 100, 1e-12)
 
-def refit(df: DataFrame, features: list[str], *, y: str, weight: str, best: list[int], depth: int = 5, rate: float = 0.1, seed: int = 42) -> GBTRegressionModel:
-    """A model of the whole window, with refit_rounds(best) rounds; best: those of the folds."""
-    rows = assemble(df, features).select("features", F.col(y).cast("double").alias("label"), F.col(weight).cast("double").alias("w"))
-    return GBTRegressor(maxIter=refit_rounds(best), maxDepth=depth, stepSize=rate, seed=seed, weightCol="w").fit(rows)
+    def density(c: str, x: float, points: list[dict]) -> float:
+        a, b = space[c]
+        s = width(c, points)
+        bumps = sum(math.exp(-0.5 * ((x - p[c]) / s) ** 2) / (s * math.sqrt(2 * math.pi)) for p in points)
+        return (bumps + 1 / max(b - a, 1e-12)) / (len(points) + 1)
 
+    def near() -> dict:
+        found = {}
+        for c, (a, b) in space.items():
+            at = rng.randrange(len(good) + 1)
+            x = rng.uniform(a, b) if at == len(good) else min(max(rng.gauss(good[at][c], width(c, good)), a), b)
+            found[c] = round(x) if isinstance(a, int) else x
+        return found
 
-def save_model(model: GBTRegressionModel, path: str, features: list[str], **meta) -> None:
-    """The model below path/model, and its features, rounds and meta as JSON below path/meta."""
-    spark = SparkSession.active()
-    model.write().overwrite().save(f"{path}/model")
-    write_summary(spark, meta | {"features": features, "rounds": model.getNumTrees}, f"{path}/meta")
+    tried = [near() for _ in range(candidates)]
+    return max(tried, key=lambda p: sum(math.log(density(c, p[c], good)) - math.log(density(c, p[c], bad)) for c in space))
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[GBTRegressionModel, dict]:
-    return GBTRegressionModel.load(f"{path}/model"), read_summary(spark, f"{path}/meta")
+def search(space: Space, score, *, trials: int = 30, first: int = 10, at_once: int = 1, seed: int = 42) -> list[tuple[dict, float]]:
+    """(point, score) of each trial in order: the first ones at random, each later one by propose() from all before its batch.
+
+    score: a point to its score, the higher the better. at_once: trials that run together, each in a thread of its own.
+    """
+    rng, past = random.Random(seed), []
+    while len(past) < trials:
+        n = min(at_once, trials - len(past))
+        points = [draw(space, rng) if len(past) < first else propose(space, past, rng) for _ in range(n)]
+        if n == 1:
+            past.append((points[0], score(points[0])))
+        else:
+            with ThreadPoolExecutor(n) as pool:
+                past += zip(points, pool.map(score, points), strict=True)
+    return past
+
+
+def search_parameters(binned: Binned, folds: DataFrame, *, space: Space, trials: int = 30, first: int = 10, at_once: int = 1, trees: Trees = Trees(), seed: int = 42) -> DataFrame:
+    """(trial, a column for each parameter, mean_wr2, std_wr2), the best trial first: search() over the folds' mean wr2.
+
+    space: ranges of fields of Trees; the other fields are those of trees. All trials read the same binned rows.
+    """
+    spreads: dict[tuple, float] = {}
+
+    @inheritable_thread_target(binned.rows.sparkSession)
+    def score(point: dict) -> float:
+        found = fold_summary(fit_folds(binned, folds, replace(trees, **point))[0]).first()
+        spreads[tuple(point.values())] = found["std"]
+        return found["mean"]
+
+    done = search(space, score, trials=trials, first=first, at_once=at_once, seed=seed)
+    rows = [(i, *map(float, p.values()), v, spreads[tuple(p.values())]) for i, (p, v) in enumerate(done)]
+    fields = ", ".join(["trial int", *(f"{c} double" for c in space), "mean_wr2 double, std_wr2 double"])
+    return binned.rows.sparkSession.createDataFrame(rows, fields).orderBy(F.desc("mean_wr2"), "trial")

@@ -7,7 +7,7 @@ value lies on the edge of rounding.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from loomstep import windows
 from loomstep.functions.scalar import clip_upper, cyclic_time, sanitize, time_bucket, trend_weights
 from loomstep.operators import crossval, daily, history, preprocess, quality, selection, validate, xday
+from loomstep.operators.boosting import Binned, fit, write_binned
 from loomstep.plans import pipeline
 from loomstep.schema import DATE, KEYS, SYMBOL, TIME
 from loomstep.sources.dated import footer_range, read_dated, read_names, read_raw, to_matrix, write_dated, write_matrix
 from loomstep.sources.panels import DAILY_TICKS, duck_panel, event_panel
 from loomstep.sources.scratch import delete, scratch_path
-from loomstep.sources.settings import Clip, Fill, Settings, StageA, StageB, StageC
+from loomstep.sources.settings import Clip, Fill, Settings, StageA, StageB, StageC, Trees
 
 FEATURES, RESPONDERS = ["feature_00", "feature_01"], ["responder_0", "responder_1", "responder_2"]
 K = ", ".join(KEYS)
@@ -425,23 +426,62 @@ def _matrix(spark: SparkSession, d: str) -> DataFrame:
     return _round(rows, ["y", "w", *FEATURES], 3)
 
 
-def _boosted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = event_panel(spark, d)
-    return selection.fit_folds(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", rounds=3, depth=3)
+TREES = Trees(rounds=3, patience=3, rate=0.3, leaves=6, depth=3, min_rows=5, min_weight=0.0, l1=0.1, l2=1.0, feature_fraction=1.0, bag_fraction=0.8, bag_every=1)
+
+
+def _with_binned(spark: SparkSession, d: str, make: Callable[[Binned, DataFrame], DataFrame]) -> DataFrame:
+    """make() over the event panel's binned features, which are deleted afterwards, and two folds."""
+    rows, path = event_panel(spark, d), scratch_path(spark, "binned")
+    try:
+        binned = write_binned(rows, [*FEATURES, "responder_1"], path, y="responder_0", weight="weight")
+        return make(binned, crossval.fold_table(rows, 2, 2, 4))
+    finally:
+        delete(spark, path)
 
 
 def _selected(spark: SparkSession, d: str) -> DataFrame:
     """feature_01 and the best other feature by gain share, as the file of names has them."""
-    rows, names = event_panel(spark, d), scratch_path(spark, "names")
-    folds = crossval.fold_table(rows, 2, 2, 4)
-    selection.select_features(rows, [*FEATURES, "responder_1"], folds, names, y="responder_0", weight="weight", k=1, always=["feature_01"], rounds=3, depth=3)
-    return spark.createDataFrame(list(enumerate(read_names(spark, names), 1)), "rank int, feature string")
+    names = scratch_path(spark, "names")
+    _with_binned(spark, d, lambda b, folds: selection.select_features(b, folds, names, k=1, always=["feature_01"], trees=TREES))
+    found = read_names(spark, names)
+    delete(spark, names)
+    return spark.createDataFrame(list(enumerate(found, 1)), "rank int, feature string")
 
 
 def _searched(spark: SparkSession, d: str) -> DataFrame:
+    space = {"leaves": (2, 6), "rate": (0.1, 0.3), "l2": (0.0, 20.0)}
+    return _with_binned(spark, d, lambda b, folds: selection.search_parameters(b, folds, space=space, trials=4, first=3, trees=TREES))
+
+
+def _stump_panel(spark: SparkSession, d: str) -> DataFrame:
+    """Features of few values, one with nulls, so that each value is a code of its own."""
     rows = event_panel(spark, d)
-    space = {"rounds": (2, 4), "depth": (2, 3), "rate": (0.1, 0.3)}
-    return selection.search_parameters(rows, [*FEATURES, "responder_1"], crossval.fold_table(rows, 2, 2, 4), y="responder_0", weight="weight", space=space, trials=8)
+    coarse = F.when(F.col("feature_01").isNotNull(), F.least(F.floor(F.col("feature_01") / 3), F.lit(4)))
+    return rows.select(*KEYS, "weight", "responder_0", F.floor("responder_1").cast("double").alias("s"), coarse.cast("double").alias("f"), SYMBOL)
+
+
+def _stump(spark: SparkSession, d: str) -> DataFrame:
+    """The one split of the first tree: its feature, threshold, side of nulls, gain, and what its leaves and the base predict."""
+    path = scratch_path(spark, "binned")
+    try:
+        binned = write_binned(_stump_panel(spark, d).toDF(*KEYS, "weight", "responder_0", "s", "f", "k"), ["s", "f", "k"], path, y="responder_0", weight="weight")
+        p = replace(TREES, rounds=1, leaves=2, rate=1.0, l1=2.0, l2=3.0, min_rows=10, bag_fraction=1.0)
+        model = fit(binned, binned.rows.withColumn("valid", F.lit(False)), p)
+    finally:
+        delete(spark, path)
+    t = model.trees[0]
+    row = (binned.features[t.feature[0]], binned.edges[t.feature[0]][t.code[0] - 1], t.null_left[0], round(t.gain[0], 6), round(model.base, 6), round(t.value[t.left[0]], 6), round(t.value[t.right[0]], 6))
+    return spark.createDataFrame([row], "feature string, threshold double, null_left boolean, gain double, base double, low double, high double")
+
+
+_STUMP_SQL = f"""WITH p AS ({duck_panel()}), m AS (SELECT sum(weight * responder_0) / sum(weight) AS base FROM p),
+x AS (SELECT unnest(['s', 'f', 'k']) AS feature, unnest([floor(responder_1), CASE WHEN feature_01 IS NOT NULL THEN least(floor(feature_01 / 3), 4) END, CAST(symbol_id AS DOUBLE)]) AS v, weight AS w, weight * (base - responder_0) AS g FROM p, m),
+t AS (SELECT feature, sum(g) AS g, sum(w) AS h, count(*) AS n, coalesce(sum(g) FILTER (v IS NULL), 0) AS g0, coalesce(sum(w) FILTER (v IS NULL), 0) AS h0, count(*) FILTER (v IS NULL) AS n0 FROM x GROUP BY feature),
+c AS (SELECT feature, v, sum(sum(g)) OVER o AS g, sum(sum(w)) OVER o AS h, sum(count(*)) OVER o AS n FROM x WHERE v IS NOT NULL GROUP BY feature, v WINDOW o AS (PARTITION BY feature ORDER BY v)),
+s AS (SELECT c.feature, v, nl, c.g + nl * g0 AS gl, c.h + nl * h0 AS hl, c.n + nl * n0 AS nn, t.g, t.h, t.n FROM c JOIN t USING (feature), (SELECT unnest([0, 1]) AS nl) WHERE nl = 0 OR n0 > 0),
+q AS (SELECT *, sign(gl) * greatest(abs(gl) - 2, 0) AS kl, sign(g - gl) * greatest(abs(g - gl) - 2, 0) AS kr, sign(g) * greatest(abs(g) - 2, 0) AS k FROM s WHERE nn >= 10 AND n - nn >= 10),
+r AS (SELECT *, kl ** 2 / (hl + 3) + kr ** 2 / (h - hl + 3) - k ** 2 / (h + 3) AS gain FROM q)
+SELECT feature, v AS threshold, nl = 1 AS null_left, ROUND(gain, 6) AS gain, ROUND((SELECT base FROM m), 6) AS base, ROUND(-kl / (hl + 3), 6) AS low, ROUND(-kr / (h - hl + 3), 6) AS high FROM r ORDER BY gain DESC LIMIT 1"""
 
 
 _P, _G = f"WITH p AS ({duck_panel()})", f"WITH p AS ({duck_panel('gappy')})"
@@ -578,8 +618,9 @@ SELECT symbol_id, {_r('1 - sum(weight * (responder_0 - guess) ** 2) / sum(weight
 r AS (SELECT feature, row_number() OVER (ORDER BY s DESC, feature) + 1 AS rank FROM c)
 SELECT CAST(1 AS INT) AS rank, 'feature_01' AS feature UNION ALL SELECT CAST(rank AS INT), feature FROM r WHERE rank <= 3""",
     ),
-    "gbt_cv": Query(lambda s, d: _boosted(s, d)[0]),
-    "gain_share": Query(lambda s, d: _boosted(s, d)[1]),
+    "gbt_cv": Query(lambda s, d: _with_binned(s, d, lambda b, folds: selection.fit_folds(b, folds, TREES)[0])),
+    "gain_share": Query(lambda s, d: _with_binned(s, d, lambda b, folds: selection.fit_folds(b, folds, TREES)[1])),
+    "gbt_stump": Query(_stump, _STUMP_SQL),
     "select_features": Query(_selected),
     "parameter_search": Query(_searched),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import SparkSession
 
@@ -61,12 +61,26 @@ class Folds:
 @dataclass(frozen=True)
 class Trees:
     rounds: int = 3000
-    depth: int = 10
+    patience: int = 300
     rate: float = 0.01
-    tolerance: float = 0.0
+    leaves: int = 128
+    depth: int = 10
+    min_rows: int = 5000
+    min_weight: float = 5.0
+    min_gain: float = 0.0
+    l1: float = 0.1
+    l2: float = 10.0
+    feature_fraction: float = 0.8
+    bag_fraction: float = 0.8
+    bag_every: int = 3
+    bins: int = 255
     seed: int = 42
 
 
+#: The trees by which features are selected.
+SELECTION_TREES = Trees(rounds=2000, patience=100, rate=0.05, leaves=63, depth=8, min_rows=200, min_weight=0.001, l1=0.0, l2=0.0, bag_every=1)
+
+
 @dataclass(frozen=True)
 class Selection:
     k: int = 1000
@@ -89,6 +103,7 @@ class Settings:
     folds: Folds = field(default_factory=Folds)
     trees: Trees = field(default_factory=Trees)
     selection: Selection = field(default_factory=Selection)
+    selection_trees: Trees = SELECTION_TREES
 
 
 def load_settings(spark: SparkSession, path: str) -> Settings:
@@ -100,8 +115,8 @@ def load_settings(spark: SparkSession, path: str) -> Settings:
 
     given = yaml.safe_load(spark.read.text(path, wholetext=True).first()["value"]) or {}
     tuples = lambda d: {k: tuple(v) if isinstance(v, list) else v for k, v in d.items()}
-    parts = {"clip": Clip, "fill": Fill, "a": StageA, "b": StageB, "c": StageC, "folds": Folds, "trees": Trees, "selection": Selection}
+    parts = {"clip", "fill", "a", "b", "c", "folds", "trees", "selection", "selection_trees"}
     unknown = set(given) - {f.name for f in fields(Settings)}
     if unknown:
         raise KeyError(f"unknown settings: {sorted(unknown)}")
-    return Settings(**{k: parts[k](**tuples(v)) if k in parts else v for k, v in given.items()})
+    return Settings(**{k: replace(getattr(Settings(), k), **tuples(v)) if k in parts else v for k, v in given.items()})

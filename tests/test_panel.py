@@ -143,26 +143,6 @@ def test_stages_and_cores(spark, tmp_path):
     assert selection.refit_rounds([100, 60]) == 88
 
 
-def test_parameter_search(spark):
-    space = {"rounds": (1, 2), "depth": (2,)}
-    assert selection.draw_trials(space, 30) == selection.draw_trials(space, 2) and len(selection.draw_trials(space, 30)) == 2
-    assert selection.draw_trials({"depth": tuple(range(50))}, 7, 1) != selection.draw_trials({"depth": tuple(range(50))}, 7, 2)
-    r = random.Random(5)
-    rows = [(d, i, float(d % 3 + i), 1.0 + i % 2, d % 3 + i + r.gauss(0, 0.1)) for d in range(12) for i in range(6)]
-    df = spark.createDataFrame(rows, "date_id int, time_id int, x double, w double, y double")
-    folds = crossval.fold_table(df, 2, 1, 3)
-    found = selection.search_parameters(df, ["x"], folds, y="y", weight="w", space=space).collect()
-    assert [x["mean_wr2"] for x in found] == sorted((x["mean_wr2"] for x in found), reverse=True) and len(found) == 2
-    scores, _ = selection.fit_folds(df, ["x"], folds, y="y", weight="w", rounds=int(found[0]["rounds"]), depth=2)
-    own = [x["wr2"] for x in scores.collect()]
-    assert found[0]["mean_wr2"] == pytest.approx(sum(own) / 2) and found[0]["std_wr2"] == pytest.approx(abs(own[0] - own[1]) / 2)
-
-
-def test_refit(spark):
-    df = spark.createDataFrame([(float(i), 1.0, float(i % 2)) for i in range(20)], "x double, w double, y double")
-    assert selection.refit(df, ["x"], y="y", weight="w", best=[10], depth=1).getNumTrees == 50
-
-
 def exchanges(df):
     """Exchanges of the plan that is run in the end."""
     df.write.format("noop").mode("overwrite").save()
@@ -230,41 +210,6 @@ def test_raw_reader_and_reports(spark, tmp_path):
     assert dated.matrix_columns(df, target="t", weight="w", chosen=["x", "q"], always=["x"]) == ["x"]
 
 
-def learnable(spark, days=14):
-    r = random.Random(9)
-    rows = []
-    for d in range(days):
-        for t in range(25):
-            x, noise = r.gauss(0, 1), r.gauss(0, 1)
-            rows.append((d % 2, d, t, x, noise, 1.0 + t % 3, 2.0 * (x > 0) + x + r.gauss(0, 0.1)))
-    return spark.createDataFrame(rows, "symbol_id int, date_id int, time_id int, useful double, noise double, w double, y double")
-
-
-def test_folds_find_the_useful_feature(spark, tmp_path):
-    """A planted feature has most of the gain; scores are those of the models' own predictions; fits stop early."""
-    df = learnable(spark)
-    folds = crossval.fold_table(df, 2, 1, 3)
-    scores, importance = selection.fit_folds(df, ["noise", "useful"], folds, y="y", weight="w", rounds=25, depth=2, rate=0.5, tolerance=0.05)
-    share = {r["feature"]: r["gain_share"] for r in importance.collect()}
-    assert share["useful"] > 0.8 and sum(share.values()) == pytest.approx(1)
-    got = {r["fold"]: r for r in scores.collect()}
-    assert all(1 <= r["rounds"] < 25 and r["wr2"] > 0.8 for r in got.values())
-    rows = selection.fold_rows(df, ["noise", "useful"], folds, y="y", weight="w")
-    for fold in got:
-        model, _ = selection.fit_fold(rows, fold, rounds=25, depth=2, rate=0.5, tolerance=0.05, seed=42)
-        told = model.transform(rows.where(f"fold = {fold} and part = 'valid'")).select("label", "prediction", "w").collect()
-        mean = sum(x["w"] * x["label"] for x in told) / sum(x["w"] for x in told)
-        error, spread = (sum(x["w"] * (x["label"] - (x["prediction"] if k else mean)) ** 2 for x in told) for k in (1, 0))
-        assert got[fold]["wr2"] == pytest.approx(1 - error / spread)
-    rows.unpersist()
-    best = selection.select_features(df, ["noise", "useful"], folds, str(tmp_path / "names"), y="y", weight="w", k=1, always=["t"], rounds=2, depth=2)
-    assert [r["feature"] for r in best.orderBy("rank").collect()] == ["t", "useful"] == dated.read_names(spark, str(tmp_path / "names"))
-    model = selection.refit(df, ["useful"], y="y", weight="w", best=[r["rounds"] for r in got.values()], depth=1)
-    selection.save_model(model, str(tmp_path / "m"), ["useful"], dates=[0, 13])
-    again, meta = selection.load_model(spark, str(tmp_path / "m"))
-    assert again.getNumTrees == 50 and meta == {"dates": [0, 13], "features": ["useful"], "rounds": 50}
-
-
 def test_settings_of_all_sections(spark, tmp_path):
     (tmp_path / "s.yaml").write_text("first_date: 3\nfolds: {gap_days: 2}\ntrees: {depth: 4}\nselection: {k: 9, always: [a]}\n")
     s = load_settings(spark, f"file://{tmp_path}/s.yaml")

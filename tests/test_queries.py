@@ -36,6 +36,7 @@ def test_same_as_sql(spark, name):
 
 def test_boosted_trees(spark):
     assert [r["fold"] for r in QUERIES["gbt_cv"].run(spark, SF).orderBy("fold").collect()] == [1, 2]
+    assert sum(r["gain_share"] for r in QUERIES["gain_share"].run(spark, SF).collect()) == pytest.approx(1)
     best = {r["rank"]: r["feature"] for r in QUERIES["select_features"].run(spark, SF).collect()}
     assert best[1] == "feature_01" and best[2] in ("feature_00", "responder_1")
 
