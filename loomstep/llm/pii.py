@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstep.llm.common import small_batches
+from loomstep.schema import free_names
 
 #: Kinds in the order in which they are listed; the last three are found besides the base patterns.
 KINDS = ("email", "ip", "card", "phone", "account", "iban", "login")
@@ -121,7 +122,7 @@ def find(text: str, anchors) -> list[tuple[str, int, int]]:
                 found["iban"].append((start, to))
         elif end + 1 >= done["account"] and not text[end - int(what[3:]) : end - int(what[3:]) + 1].isalnum():
             m = _ACCOUNT.match(text, _BETWEEN.match(text, end + 1).end())
-            if m and 6 <= len(_DIGIT.findall(m[0])) and len(m[0]) <= 40:
+            if m and 6 <= len(_DIGIT.findall(m[0])):
                 done["account"] = m.end()
                 found["account"].append(m.span())
     return [(k, a, b) for k in KINDS for a, b in found[k]]
@@ -141,8 +142,10 @@ def _small(part: str) -> bool:
 def pii_spans(docs: DataFrame, *, text_col: str = "text", out: str = "pii") -> DataFrame:
     """docs with an array of struct(kind, start, end) for each whole text, in code points, end exclusive.
 
-    Null and empty texts have an empty array. Other columns and repeated rows stay as they are.
+    Null and empty texts have an empty array. Other columns and repeated rows stay as they are, whatever their
+    names; one named like out is replaced. An empty table gives no rows.
     """
+    [held] = free_names(docs, "text")
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
@@ -155,7 +158,7 @@ def pii_spans(docs: DataFrame, *, text_col: str = "text", out: str = "pii") -> D
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, span)], names=[*keep, out])
 
     keep = [c for c in docs.columns if c != out]
-    kept = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias("_text"))
+    kept = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias(held))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
     return kept.mapInArrow(run, f"{schema}, `{out}` array<struct<kind: string, start: long, end: long>>")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstep.llm.common import WordIds, covered, raw_texts, small_batches
+from loomstep.schema import free_names
 
 #: Fields of the struct that measure() makes.
 FIELDS = (
@@ -133,7 +134,9 @@ def measure(docs: DataFrame, *, text_col: str = "text", rules: QualityRules = Qu
 
     Null and empty texts have zeros. Lengths of repeats are in words; repeats holds the merged spans
     (first word, number of words) of passages of rules.min_repeat words or more that occur twice in the text.
+    A column named like out is replaced, an empty table gives no rows.
     """
+    [held] = free_names(docs, "text")
     least = rules.min_repeat
     names = [f.split(":")[0] for f in FIELDS.split(", ")][:8]
     kinds = [pa.int64()] * 7 + [pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))]
@@ -145,7 +148,7 @@ def measure(docs: DataFrame, *, text_col: str = "text", rules: QualityRules = Qu
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*keep, out])
 
     keep = [c for c in docs.columns if c != out]
-    kept = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias("_text"))
+    kept = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias(held))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
     return kept.mapInArrow(run, f"{schema}, `{out}` struct<{FIELDS}>")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomstep.llm.charmodel import codes, gram_counts, held_steps, log_ratio_table, mean_log_ratio, threshold
 from loomstep.llm.common import cut_out, discard, let, materialize, running
+from loomstep.schema import free_names
 
 #: Kinds in the order in which they are listed; the last one is the models'.
 KINDS = ("assign", "access", "hex", "random")
@@ -23,10 +24,8 @@ HEX = "[0-9a-f]{32,}"
 #: Characters of a token that may be a random string, at least.
 SHORTEST = 16
 TOKEN = f"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
-#: Words of the corpus that train the identifiers: of one case after the first letter, or shorter than what is judged.
-WORD = "[A-Za-z][A-Za-z0-9_-]{5,}"
-_ONE_CASE = "^([A-Za-z][a-z]*|[A-Z]+)$"
-_PLAIN = f"{_ONE_CASE}|^.{{1,{SHORTEST - 1}}}$"
+#: Words of the corpus that train the identifiers, all shorter than what is judged.
+WORD = f"(?<![A-Za-z0-9_-])[A-Za-z][A-Za-z0-9_-]{{5,{SHORTEST - 2}}}(?![A-Za-z0-9_-])"
 #: What the models read: letters count alike in either case, ^ stands where the case changes inside a word, digits count as 0.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0^+/_=-."
 SIZE = len(ALPHABET) + 1
@@ -47,7 +46,13 @@ IDENTIFIERS = (
     "frame function get global group handler hash header height host http id image import index info input instance int interface internal "
     "item iterator job key label layer layout lib library line link list load local log main manager map max memory message method min mode "
     "model module name network node number object offset open option order output owner package page parse path pending pool port position "
-    "process profile project python query read"
+    "process profile project python query queue random range rate reader record reference register release remote render report request "
+    "reset resource response result retry return role root route row rule run sample scan schedule schema scope score screen script search "
+    "second section select sequence server service session set setting shape share signal size sort source space split stack stage start "
+    "state static status step storage store stream string style sum summary support switch symbol sync system table tag target task template "
+    "test text thread time timeout title token tool total trace track transaction transform tree trigger type union unit update upload url "
+    "usage user util valid value variable vector version view visible volume wait watch web weight width window word work worker wrapper "
+    "write writer year zone"
 ).split()
 
 
@@ -107,6 +112,7 @@ def generated(spark: SparkSession, rows: int = SEEDED) -> DataFrame:
     raw = [
         hexes("hex"), mixed("64"), F.translate(mixed("url"), "+/", "-_"), F.regexp_replace(F.upper(mixed("32")), "[^A-Z0-9]", ""),
         F.regexp_replace(F.lower(mixed("36")), "[^a-z0-9]", ""), F.regexp_replace(mixed("62"), "[^A-Za-z0-9]", ""), F.regexp_replace(mixed("52"), "[^A-Za-z]", ""),
+        F.regexp_replace(F.lower(mixed("26")), "[^a-z]", ""), F.regexp_replace(F.upper(mixed("AZ")), "[^A-Z]", ""),
     ]
     size = (number("length", 33) + SHORTEST).cast("int")
     raw = row.select(F.explode(F.array(*(F.substring(x, F.lit(1), size) for x in raw))).alias("w"), F.lit(1).alias("y"))
@@ -118,9 +124,11 @@ def generated(spark: SparkSession, rows: int = SEEDED) -> DataFrame:
     year, month, day = (1990 + number("y", 45)).cast("string"), F.lpad((1 + number("m", 12)).cast("string"), 2, "0"), F.lpad((1 + number("d", 28)).cast("string"), 2, "0")
     few = (1 + number("few", 9)).cast("string")
     camel = F.concat(a, *map(F.initcap, (b, c, d)))
+    long = F.concat(a, b, c, d)  # words of one case without a mark between
     path = F.concat(F.lit("/usr/"), a, F.lit("/"), b, few, F.lit("/"), c, F.lit("-"), d)
     plain = [
         F.concat_ws("_", a, b, c, d), F.concat_ws("-", a, b, c, d), F.upper(F.concat_ws("_", a, b, c)), camel, F.initcap(camel),
+        long, F.upper(long), F.initcap(long), F.concat(b, d, a, c, d),
         F.concat(camel, few, F.initcap(F.concat(b, a))), F.concat(a, F.initcap(b), F.lit("By"), F.initcap(c), year, F.initcap(d)),
         F.concat_ws("_", a, b, year, month, day), F.concat_ws("-", year, month, day, a, b), F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), digits("t", 6)),
         F.concat_ws("_", a, b, c, digits("n", 10)), F.concat_ws("-", a, digits("e", 4), few, b, digits("f", 4), c), F.concat(a, b, digits("g", 3), F.lit("_"), c, few),
@@ -137,14 +145,14 @@ def train(base: DataFrame, docs: DataFrame, text_col: str) -> Model:
     """Two models of second order from labelled samples over the whole corpus, and their threshold.
 
     Label 1: values with a digit that the patterns find, and generated random strings, so that the model does not
-    depend on which secrets the corpus has. Label 0: the corpus's own words and short identifiers, each distinct
+    depend on which secrets the corpus has. Label 0: the corpus's own short words and identifiers, each distinct
     one with the square root of the number of rows that have it, and generated identifiers; a token that is to
     be judged does not speak for itself. The threshold is fitted on held-out samples as long as what is judged.
     """
     value = F.regexp_replace("s.text", r"^[^:=]*[:=][\x20\"']*", "")
     secret = base.select(F.explode("spans").alias("s")).select(value.alias("w")).where(F.col("w").rlike("[0-9]")).distinct().withColumn("y", F.lit(1))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(WORD), F.lit(0)))).alias("w"))
-    words = words.groupBy("w").agg(F.sqrt(F.count(F.lit(1))).alias("n")).where(F.col("w").rlike(_PLAIN)).withColumn("y", F.lit(0))
+    words = words.groupBy("w").agg(F.sqrt(F.count(F.lit(1))).alias("n")).withColumn("y", F.lit(0))
     made = secret.unionByName(generated(docs.sparkSession)).withColumn("n", F.lit(1.0)).unionByName(words)
     held = F.pmod(F.xxhash64("w"), F.lit(HELD_OUT)) == 0
     made = materialize(made.select("w", "y", "n", held.alias("held")), "samples")
@@ -162,20 +170,21 @@ def secret_spans(docs: DataFrame, *, text_col: str = "text", out: str = "secrets
     """docs with an array of struct(start, kind, end) by start, then kind, for each whole text; offsets in code points.
 
     kind is a place in KINDS. A token of SHORTEST characters and more is a random span if its mean log ratio is
-    the model's threshold or more, it is no word of letters of one case, and no fixed pattern overlaps it. Null and empty texts have an empty array;
-    other columns and repeated rows stay, an empty table gives no rows. A column named like out is replaced.
+    the model's threshold or more, whatever its letters, and no fixed pattern overlaps it. Null and empty texts have an
+    empty array; other columns and repeated rows stay, an empty table gives no rows. A column named like out is replaced.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     if model is None:
         model = train(docs.select(base_spans(text).alias("spans")), docs, f"`{text_col}`")
-    score = lambda t: mean_log_ratio(shape(t), F.col("_t"), ORDER, SIZE)
-    rows = docs.withColumn("_base", base_spans(text)).withColumn("_t", model.table.scalar())
-    rows = rows.withColumn("_token", F.filter(matches(text, TOKEN), lambda m: ~m["text"].rlike(_ONE_CASE) & (score(m["text"]) >= model.least)))
+    fixed, token, table = free_names(docs, "base", "token", "t")
+    score = lambda t: mean_log_ratio(shape(t), F.col(table), ORDER, SIZE)
+    rows = docs.withColumn(fixed, base_spans(text)).withColumn(table, model.table.scalar())
+    rows = rows.withColumn(token, F.filter(matches(text, TOKEN), lambda m: score(m["text"]) >= model.least))
     span = lambda m, k: F.struct(m["start"].alias("start"), k.alias("kind"), m["end"].alias("end"))
-    base = F.transform("_base", lambda m: span(m, m["kind"]))
-    own = F.transform("_token", lambda m: span(m, F.lit(len(KINDS) - 1)))
-    own = F.when((F.size("_base") > 0) & (F.size("_token") > 0), _apart(base, own)).otherwise(own)
-    return rows.withColumn(out, F.sort_array(F.concat(base, own))).drop("_base", "_token", "_t")
+    base = F.transform(fixed, lambda m: span(m, m["kind"]))
+    own = F.transform(token, lambda m: span(m, F.lit(len(KINDS) - 1)))
+    own = F.when((F.size(fixed) > 0) & (F.size(token) > 0), _apart(base, own)).otherwise(own)
+    return rows.withColumn(out, F.sort_array(F.concat(base, own))).drop(fixed, token, table)
 
 
 def _apart(base: Column, own: Column) -> Column:
@@ -200,7 +209,8 @@ def span_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", model: Model | None = None) -> DataFrame:
     """docs with each secret of the text replaced by mark, overlapping spans by one; rows and columns stay."""
-    found = secret_spans(docs, text_col=text_col, out="_secrets", model=model)
+    [spans_col] = free_names(docs, "secrets")
+    found = secret_spans(docs, text_col=text_col, out=spans_col, model=model)
     text = F.col(f"`{text_col}`")
 
     def clean(spans: Column) -> Column:
@@ -215,4 +225,4 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", m
 
         return let(ends, joined)
 
-    return found.withColumn(text_col, F.when(F.size("_secrets") > 0, clean(F.col("_secrets"))).otherwise(text)).drop("_secrets")
+    return found.withColumn(text_col, F.when(F.size(spans_col) > 0, clean(F.col(spans_col))).otherwise(text)).drop(spans_col)

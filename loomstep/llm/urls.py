@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstep.llm.charmodel import codes, gram_counts, held_steps, log_ratio_table, mean_log_ratio, threshold
 from loomstep.llm.common import discard, materialize
+from loomstep.schema import free_names
 
 #: Host and path, and what happens to URLs that they fit.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -15,7 +16,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-?"
 SIZE = len(ALPHABET) + 1
 #: Characters of context at most.
 ORDER = 3
-#: One of so many labelled URLs is held out for the calibration.
+#: One of so many hosts is held out, with all of its labelled URLs, for the calibration.
 HELD_OUT = 5
 
 
@@ -41,16 +42,14 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
     return out
 
 
-def undecided(url: Column, host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
-    """What of a URL no rule can look at: its last host labels and first path segments, as many as the rules' longest have, are left out."""
-    text = F.coalesce(url, F.lit(""))
-    labels = max((len(r.partition("/")[0].split(".")) for r, _ in rules), default=0)
-    segments = max((r.partition("/")[2].count("/") + (not r.endswith("/")) for r, _ in rules), default=0)
-    own = F.regexp_extract(host, rf"^(.*?)(?:(?:^|\.)[^.]*){{0,{labels}}}$", 1)
-    rest = F.regexp_replace(path, rf"^(/[^/]*){{0,{segments}}}", "")
-    scheme = F.substring_index(text, "://", 1)
-    query = F.substring(text, F.length(scheme) + 4 + F.length(host) + F.length(path), F.length(text))
-    return F.when(F.instr(text, F.lit("://")) > 0, F.concat(scheme, F.lit("://"), own, rest, query)).otherwise(text)
+def unruled(url: Column, host: Column, path: Column, rule: Column) -> Column:
+    """A URL without the part that its rule looked at: the end of the host and the beginning of the path. A null rule leaves it whole."""
+    text, own = F.coalesce(url, F.lit("")), F.coalesce(rule, F.lit(""))
+    h = F.length(F.substring_index(own, "/", 1))
+    scheme = F.length(F.substring_index(text, "://", 1)) + 3
+    left = F.substring(text, F.lit(1), scheme + F.length(host) - h)
+    right = F.substring(text, scheme + F.length(host) + F.length(own) - h + 1, F.length(text))
+    return F.when(own == "", text).otherwise(F.concat(left, right))
 
 
 def url_codes(url: Column) -> Column:
@@ -67,31 +66,39 @@ def judge(
 ) -> DataFrame:
     """pages with host, path, rule, score and verdict (allow or block); other columns and repeated rows stay.
 
-    A rule's verdict stands. The others get the models': log-likelihood under the model of accepted URLs less
-    that of rejected ones, per character, against a threshold that makes the mean of both error rates smallest
-    on held-out labelled URLs (of equal ones the middle). Labels (1 accepted, 0 rejected, null neither) are
-    the rules' verdicts unless label is given; all labelled rows count, each distinct URL once. Of rules'
-    verdicts the models learn and read only what no rule can look at (see undecided()), or they would learn
-    the rules' own hosts; of given labels they read whole URLs. Null and empty URLs have empty host and path
-    and score 0. Without labels of both kinds the models allow all. An empty table gives no rows.
-    Columns of pages named like the new ones are replaced.
+    A rule's verdict stands. The others get the models': log-likelihood of the whole URL under the model of accepted
+    URLs less that under the model of rejected ones, per character, against a threshold that makes the mean of both
+    error rates smallest on the whole URLs of held-out hosts (of equal ones the middle); where hosts are so few that
+    those held out have one label alone, on all labelled whole URLs. Labels (1 accepted, 0 rejected,
+    null neither) are the rules' verdicts unless label is given; all labelled rows count, each distinct URL once. From
+    what a rule decided the models learn all but the part that this rule looked at (see unruled()), or they would learn
+    the rules. Null and empty URLs have empty host and path and score 0. Without labels of both kinds the models allow
+    all. An empty table gives no rows. Columns of pages named like the new ones are replaced, all others stay.
     """
     keep = [c for c in pages.columns if c not in ("host", "path", "rule", "score", "verdict")]
+    own, y, found, t = free_names(pages, "url", "y", "rule", "t")
     url = F.col(f"`{url_col}`")
-    rows = pages.select(*(F.col(f"`{c}`") for c in keep), url.alias("_url"), *([label.alias("_y")] if label is not None else []))
-    host, path = host_and_path(F.col("_url"))
-    rows = rows.withColumn("host", host).withColumn("path", path).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    y = F.col("_y") if label is not None else F.when(F.col("_rule.verdict") == "allow", 1).when(F.col("_rule.verdict") == "block", 0)
-    read = F.col("_url") if label is not None else undecided(F.col("_url"), F.col("host"), F.col("path"), rules)
-    known = rows.select("_url", "host", "path", y.alias("y")).where("y is not null and _url is not null").distinct()
-    known = known.withColumn("c", url_codes(read)).withColumn("out", F.pmod(F.xxhash64("_url"), F.lit(HELD_OUT)) == 0)
-    known = materialize(known.select("y", "c", "out"), "known")
+    rows = pages.select(*(F.col(f"`{c}`") for c in keep), url.alias(own), *([label.alias(y)] if label is not None else []))
+    host, path = host_and_path(F.col(own))
+    rows = rows.withColumn("host", host).withColumn("path", path).withColumn(found, rule_of(F.col("host"), F.col("path"), rules))
+    verdict = F.col(found)["verdict"]
+    if label is None:
+        rows = rows.withColumn(y, F.when(verdict == "allow", 1).when(verdict == "block", 0))
+    known = rows.where(F.col(y).isNotNull() & F.col(own).isNotNull())
+    known = known.select(F.col(own).alias("url"), "host", "path", F.col(found)["rule"].alias("rule"), F.col(y).alias("y")).distinct()
+    out = F.pmod(F.xxhash64("host"), F.lit(HELD_OUT)) == 0
+    learnt = F.col("url") if label is not None else unruled(F.col("url"), F.col("host"), F.col("path"), F.col("rule"))
+    known = known.select("y", url_codes(learnt).alias("c"), url_codes(F.col("url")).alias("whole"), out.alias("out"))
+    known = materialize(known, "known")
     counts = materialize(gram_counts(known.where("not out"), "y", "c", ORDER, SIZE), "grams")
     table = log_ratio_table(counts, "y", ORDER, SIZE)
     discard(counts)
-    score = lambda frame, c: frame.withColumn("_t", table.scalar()).withColumn("score", mean_log_ratio(c, F.col("_t"), ORDER, SIZE))
-    least = threshold(held_steps(score(known.where("out"), F.col("c")), "y", F.col("score")))
+    score = lambda frame, c: frame.withColumn(t, table.scalar()).withColumn("score", mean_log_ratio(c, F.col(t), ORDER, SIZE))
+    steps = held_steps(score(known.where("out"), F.col("whole")), "y", F.col("score"))
+    if not all(any(n[k] for n in steps.values()) for k in (0, 1)):
+        steps = held_steps(score(known, F.col("whole")), "y", F.col("score"))
+    least = threshold(steps)
     discard(known)
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") >= least, "allow").otherwise("block"))
-    out = score(rows, url_codes(read))
-    return out.select(*(f"`{c}`" for c in keep), "host", "path", F.col("_rule.rule").alias("rule"), "score", verdict.alias("verdict"))
+    done = score(rows, url_codes(F.col(own)))
+    final = F.coalesce(verdict, F.when(F.col("score") >= least, "allow").otherwise("block"))
+    return done.select(*(f"`{c}`" for c in keep), "host", "path", F.col(found)["rule"].alias("rule"), "score", final.alias("verdict"))

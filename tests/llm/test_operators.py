@@ -343,9 +343,22 @@ def test_urls_where_no_rule_decides(spark):
     wrong = sum((x["verdict"] == "allow") != bool(x["want"]) for x in got)
     print(f"{wrong} of {len(got)} urls that no rule decides judged wrong")
     assert all(x["rule"] is None for x in got) and wrong <= 0.05 * len(got)
-    parts = ["http://a.b.example.net/en/x/y?q#f", "https://example.com", "net/x", "a://net/en", "a://h/en?x/y", None]
-    cut = spark.createDataFrame([(i, u) for i, u in enumerate(parts)], "i int, u string").select("i", urls.undecided(F.col("u"), *urls.host_and_path(F.col("u"))).alias("u")).orderBy("i").collect()
-    assert [x["u"] for x in cut] == ["http://a.b/x/y?q#f", "https://", "net/x", "a://", "a://?x/y", ""]
+    given = [("http://a.b.Example.net/en/x/y?q#f", "example.net/en/"), ("https://x.net", "net/"), ("http://net/y", "net/"), ("net/x", None), ("a://net/en", None), (None, None), ("a://b.org/fr/?x/y", "org/fr/")]
+    cut = spark.createDataFrame([(i, *g) for i, g in enumerate(given)], "i int, u string, rule string").select("i", urls.unruled(F.col("u"), *urls.host_and_path(F.col("u")), F.col("rule")).alias("u"))
+    assert [x["u"] for x in cut.orderBy("i").collect()] == ["http://a.b.x/y?q#f", "https://x.", "http://y", "net/x", "a://net/en", "", "a://b.?x/y"]
+
+
+def test_urls_are_read_whole(spark):
+    """Hosts of two labels and a path of one segment have scores of their own, and columns named like temporary ones stay."""
+    parts = ["http://casino-jackpot.com/casino-jackpot", "http://history-museum.com/history-museum", "http://xxx.com/xxx", "http://library.com/library"]
+    rows = [(u, "mine") for u in parts] + [(f"http://{w}{i}.org/fr/{w}-{i}", "mine") for i in range(60) for w in ("library", "museum", "history")]
+    rows += [(f"http://{w}{i}.net/{w}-{i}", "mine") for i in range(60) for w in ("casino", "jackpot", "xxx")]
+    df = spark.createDataFrame(rows, "url string, _url string").select("*", *(F.col("_url").alias(c) for c in ("_rule", "_t", "_y")))
+    out = urls.judge(df)
+    assert out.columns == [*df.columns, "host", "path", "rule", "score", "verdict"]
+    got = {r["url"]: r for r in out.collect()}
+    assert len({round(got[u]["score"], 9) for u in parts}) == 4 and all(set(r[1:5]) == {"mine"} for r in got.values())
+    assert [got[u]["verdict"] for u in parts] == ["block", "allow", "block", "allow"]
 
 
 def test_chats(spark):
