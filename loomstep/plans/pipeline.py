@@ -2,6 +2,8 @@
 
 clean_panel(), stages() and panel() are lazy frames on one plan. A whole run writes what each step makes, checks
 the files and reads them back, so that cleaning runs once and each stage reads files and not the plans before it.
+All padded cores of days are made by one job a stage, and the parts lie in buckets of the same keys, so that
+stitching them moves no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from loomstep.operators.preprocess import causal_impute, rolling_sigma_clip, zer
 from loomstep.operators.quality import distinct_days
 from loomstep.operators.validate import assert_panel_shard, assert_time_monotone, date_range
 from loomstep.operators.xday import stage_b
-from loomstep.schema import DATE, KEYS, TIME
+from loomstep.schema import DATE, KEYS, SYMBOL, TIME, free_names
+from loomstep.sources.bucketed import buckets_of, write_bucketed
 from loomstep.sources.dated import read_dated, write_dated
 from loomstep.sources.settings import Settings
 
@@ -75,14 +78,56 @@ def write_checked(df: DataFrame, path: str, low: int, high: int, *, check: bool
     return read_dated(spark, path)
 
 
-def write_clean(raw: DataFrame, features: list[str], path: str, s: Settings = Settings(), *, check: bool = True) -> DataFrame:
-    """clean_panel() of all dates of raw (of those of the settings, if they name any), written and read back."""
+def on_cores(df: DataFrame, cores: list[tuple[int, int, int]], make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What on_core() makes of each of padded_cores(), put together, as one plan whatever their number.
+
+    Each row unfolds to the cores whose padded range has its day, by a table of days. Cores are told apart by the keys:
+    symbols and dates are moved so far for each core that windows over symbols, days, ticks or runs without a gap stay
+    within one, and are moved back in the end. So a symbol is as many tasks as there are cores.
+    """
+    spark, (low, high) = df.sparkSession, (min(c[0] for c in cores), max(c[2] for c in cores))
+    apart, far = high - low + 1000, 1 << 33
+    spans = spark.createDataFrame([(i, a, b) for i, (a, _, b) in enumerate(cores)], "core long, a int, b int")
+    [core, day] = free_names(df, "core", "day")
+    # Two rows for each day of the panel, about.
+    days = spans.select(F.col("core").alias(core), F.explode(F.sequence("a", "b")).alias(day))
+    rows = df.join(F.broadcast(days), F.col(DATE) == F.col(day))
+    kinds = dict(df.dtypes)
+    moved = {SYMBOL: (F.col(SYMBOL) + F.col(core) * far).cast("long"), DATE: (F.col(DATE) + F.col(core) * apart).cast("int")}
+    made = make(rows.select(*(moved[c].alias(c) if c in moved else F.col(c) for c in df.columns)))
+    of = F.floor((F.col(DATE) - low) / F.lit(apart))
+    back = {SYMBOL: F.col(SYMBOL) - of * far, DATE: F.col(DATE) - of * apart}
+    own = [F.get(F.array(*(F.lit(c[k]) for c in cores)), of.cast("int")) for k in (1, 2)]
+    inside = made.where(back[DATE].between(*own))
+    return inside.select(*(back[c].cast(kinds[c]).alias(c) if c in back else F.col(c) for c in made.columns))
+
+
+def widest(raw: DataFrame, responders: list[str], features: list[str], s: Settings) -> int:
+    """Columns of the widest part of the panel."""
+    none = raw.where("false").withColumn("time_bucket", F.lit(0).cast("byte"))
+    return max(len(raw.columns) + 1, *(len(f.columns) for f in stages(none, responders, features, s).values()))
+
+
+def _write_part(df: DataFrame, path: str, buckets: int, check: bool) -> DataFrame:
+    written = write_bucketed(df, path, buckets)
+    if check:
+        assert_time_monotone(df.sparkSession, path, across=False)
+    return written
+
+
+def write_clean(raw: DataFrame, features: list[str], path: str, s: Settings = Settings(), *, check: bool = True, columns: int = 100) -> tuple[DataFrame, int]:
+    """(clean panel, buckets): clean_panel() of all dates of raw (of those of the settings, if they name any), in buckets
+    by which a part of so many columns has files of a fit size. check: files must be in order of time and have each row of raw."""
     rows = raw.where(F.col(DATE) >= s.first_date) if s.first_date is not None else raw
     rows = rows.where(F.col(DATE) <= s.last_date) if s.last_date is not None else rows
     r = date_range(rows).first()
     if not r["n_rows"]:
         raise ValueError("no rows in these dates")
-    return write_checked(clean_panel(rows, features, s), path, r["min_date"], r["max_date"], check=check, counted=rows)
+    buckets = buckets_of(r["n_rows"], columns)
+    written = _write_part(clean_panel(rows, features, s), path, buckets, check)
+    if check and date_range(written).first() != r:
+        raise AssertionError(f"{path}: other rows or dates than {r}")
+    return written, buckets
 
 
 def cores_of(clean: DataFrame, s: Settings = Settings()) -> list[tuple[int, int, int]]:
@@ -91,49 +136,44 @@ def cores_of(clean: DataFrame, s: Settings = Settings()) -> list[tuple[int, int,
     return padded_cores(days, s.pad_days, s.core_days)
 
 
-def core_path(out: str, name: str, low: int, high: int) -> str:
-    return f"{out}/{name}/{low:04d}_{high:04d}"
+def write_stages(clean: DataFrame, responders: list[str], features: list[str], out: str, buckets: int, s: Settings = Settings(), *, check: bool = True) -> list[DataFrame]:
+    """Writes each stage of all cores below out, one job each, and reads them back in the order of STAGES.
 
+    Rows of a core are made from its padded range alone. check: as of write_clean(), with the days that cores cover.
+    """
+    cores = cores_of(clean, s)
+    if not cores:
+        raise ValueError("no day lies behind the first pad_days days")
+    inside = F.col(DATE).between(cores[0][1], cores[-1][2])
+    expected = date_range(clean.where(inside)).first() if check else None
+    written = []
+    for name in STAGES:
+        frame = on_cores(clean, cores, lambda rows, name=name: stages(rows, responders, features, s)[name])
+        written.append(_write_part(frame, f"{out}/{name}", buckets, check))
+        if check and date_range(written[-1]).first() != expected:
+            raise AssertionError(f"{out}/{name}: other rows or dates than {expected}")
+    return written
 
-def write_stages(clean: DataFrame, responders: list[str], features: list[str], out: str, s: Settings = Settings(), *, check: bool = True) -> list[str]:
-    """Writes each stage of each core, made from the core's padded range alone, and returns the paths in that order.
 
-    A core is a path of its own, so one that is written again replaces itself. clean is what write_clean() read back.
-    """
-    paths = []
-    for read_from, low, high in cores_of(clean, s):
-        padded = clean.where(F.col(DATE).between(read_from, high))
-        for name, frame in stages(padded, responders, features, s).items():
-            paths.append(core_path(out, name, low, high))
-            write_checked(frame, paths[-1], low, high, check=check, counted=clean)
-    return paths
-
-
-def write_panel(clean: DataFrame, staged: str, out: str, features: list[str], *, target: str, s: Settings = Settings(), check: bool = True) -> list[str]:
-    """Stitches the clean panel to all stages that write_stages() left under staged, core by core; returns the paths."""
-    spark, paths = clean.sparkSession, []
-    for _, low, high in cores_of(clean, s):
-        parts = [read_dated(spark, core_path(staged, name, low, high)) for name in STAGES]
-        rows = panel(clean, parts, features, target=target, low=low, high=high, daily_ticks=s.daily_ticks)
-        paths.append(core_path(out, "panel", low, high))
-        write_checked(rows, paths[-1], low, high, check=check, counted=clean)
-    return paths
+def write_panel(clean: DataFrame, parts: list[DataFrame], out: str, features: list[str], *, target: str, s: Settings = Settings(), check: bool = True) -> DataFrame:
+    """Stitches the clean panel to the stages of the days that cores cover and writes it to out in order of time."""
+    cores = cores_of(clean, s)
+    low, high = cores[0][1], cores[-1][2]
+    rows = panel(clean, parts, features, target=target, low=low, high=high, daily_ticks=s.daily_ticks)
+    return write_checked(rows, out, low, high, check=check, counted=clean)
 
 
 def run(raw: DataFrame, responders: list[str], features: list[str], out: str, *, target: str, s: Settings = Settings(), check: bool = True) -> DataFrame:
     """The whole way from raw ticks to the panel below out: clean, stage_a, stage_b, six groups of stage_c, panel."""
-    clean = write_clean(raw, features, f"{out}/clean", s, check=check)
-    write_stages(clean, responders, features, f"{out}/stages", s, check=check)
-    paths = write_panel(clean, f"{out}/stages", out, features, target=target, s=s, check=check)
-    if not paths:
-        raise ValueError("no day lies behind the first pad_days days")
-    return raw.sparkSession.read.parquet(*(f"{p}/*" for p in paths))
+    clean, buckets = write_clean(raw, features, f"{out}/clean", s, check=check, columns=widest(raw, responders, features, s))
+    parts = write_stages(clean, responders, features, f"{out}/stages", buckets, s, check=check)
+    return write_panel(clean, parts, f"{out}/panel", features, target=target, s=s, check=check)
 
 
 def stitch(base: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """base with the columns of each part, by keys; base rows without a match stay."""
+    """base with the columns of each part, by keys; base rows without a match stay. Parts in buckets are joined where they lie."""
     for part in parts:
-        base = base.join(part, list(KEYS), "left")
+        base = base.join(part.hint("merge"), list(KEYS), "left")
     return base
 
 

@@ -275,21 +275,19 @@ def _stage_c_sql() -> str:
 
 
 def _padded(spark: SparkSession, d: str) -> DataFrame:
-    """Stage B on cores of 5 days, each from a range padded by 5 days, read apart and put together."""
+    """Stage B on cores of 5 days, each made from a range padded by 5 days, all in one plan."""
     rows = event_panel(spark, d)
     days = [r[0] for r in quality.distinct_days(rows).orderBy(DATE).collect()]
     make = lambda x: xday.stage_b(x, RESPONDERS, lags=LAGS, cast="double")
-    out = None
-    for read_from, low, high in pipeline.padded_cores(days, 5, 5):
-        part = pipeline.on_core(rows, make, read_from, low, high)
-        out = part if out is None else out.unionByName(part)
-    return _values(out if out is not None else make(rows.limit(0)))
+    cores = pipeline.padded_cores(days, 5, 5)
+    return _values(pipeline.on_cores(rows, cores, make) if cores else make(rows.limit(0)))
 
 
 def _stitched(spark: SparkSession, d: str) -> DataFrame:
     rows = _with_bucket(event_panel(spark, d))
     parts = [xday.stage_b(rows, ["responder_0"], lags=(1,), stats_columns=[], across=False, cast="double"), history.stage_c(rows, ["feature_00"], lags=(1,), cast="double", groups=("lags",))]
-    made = pipeline.panel(rows, parts, FEATURES, target="responder_1", low=0, high=29, daily_ticks=DAILY_TICKS)
+    days = validate.date_range(rows).first()
+    made = pipeline.panel(rows, parts, FEATURES, target="responder_1", low=days["min_date"], high=days["max_date"], daily_ticks=DAILY_TICKS)
     return _round(made, [c for c in made.columns if c not in (*KEYS, "time_bucket")], 4)
 
 
@@ -301,7 +299,10 @@ _RUN_S = Settings(
 
 def _whole_run(spark: SparkSession, d: str) -> DataFrame:
     """Raw to clean to stages A, B and six groups of C to panel, each written, checked and read back; two padded cores."""
-    made = pipeline.run(event_panel(spark, d), RESPONDERS, FEATURES, scratch_path(spark, "panel_run"), target="responder_0", s=_RUN_S)
+    out = scratch_path(spark, "panel_run")
+    made = pipeline.run(event_panel(spark, d), RESPONDERS, FEATURES, out, target="responder_0", s=_RUN_S)
+    for part in ("clean", "stages"):
+        delete(spark, f"{out}/{part}")
     return _values(made, (*KEYS, "time_bucket"))
 
 
@@ -385,7 +386,7 @@ def _written_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Order of a matrix as it was written, file after file, and its rows and dates from the files' own statistics."""
     path = scratch_path(spark, "matrix")
     try:
-        write_matrix(to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=0, high=10**6), path)
+        write_matrix(to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=0, high=10**9), path)
         found = validate.order_breaks(validate.read_in_order(spark, path)).first()
         dates = footer_range(spark, path).first()
     finally:
@@ -422,7 +423,9 @@ def _importance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matrix(spark: SparkSession, d: str) -> DataFrame:
-    rows = to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=0, high=29)
+    rows = event_panel(spark, d)
+    days = validate.date_range(rows).first()
+    rows = to_matrix(rows, FEATURES, target="responder_0", weight="weight", low=days["min_date"], high=days["max_date"])
     return _round(rows, ["y", "w", *FEATURES], 3)
 
 

@@ -270,3 +270,57 @@ def test_order_across_files(spark, tmp_path):
     found = dated.footer_range(spark, str(tmp_path / "m"))
     assert tuple(found.first()) == (0, 5, 18)
     assert "PushedAggregation: [MIN(date_id), MAX(date_id), COUNT(*)]" in found._jdf.queryExecution().toString()
+
+
+def small_run(spark, path, pad=2, core=3, days=None):
+    from loomstep.sources.settings import StageA, StageB, StageC
+
+    rows = [(s, d, t, math.sin(s + d * 3 + t) if (s + d + t) % 5 else None, float((d * t + s) % 7), 1.0) for s in range(2) for d in range(days or 9) for t in range(4)]
+    df = spark.createDataFrame(rows, "symbol_id int, date_id int, time_id int, x double, r double, weight double").repartition(3)
+    s = Settings(daily_ticks=4, buckets=2, pad_days=pad, core_days=core, a=StageA((1,), (1,), (2,), "double"), b=StageB((1, 2), cast="double"), c=StageC((1,), (1,), (1,), (2,), (2,), True, ("x",), "double"))
+    return df, s, str(path)
+
+
+def test_cores_as_keys(spark, tmp_path):
+    """All cores in one plan give what each gives on its own; rows of other cores and of the padding change nothing."""
+    df, s, _ = small_run(spark, tmp_path)
+    clean = pipeline.clean_panel(df, ["x"], s)
+    cores = pipeline.cores_of(clean, s)
+    assert cores == [(0, 2, 4), (3, 5, 7), (6, 8, 8)]
+    for name in pipeline.STAGES:
+        make = lambda rows, name=name: pipeline.stages(rows, ["r"], ["x"], s)[name]
+        got = pipeline.on_cores(clean, cores, make)
+        one = [pipeline.on_core(clean, make, *c) for c in cores]
+        assert got.dtypes == one[0].dtypes
+        assert sorted(map(str, got.collect())) == sorted(str(r) for part in one for r in part.collect()), name
+
+
+def test_stitch_moves_no_rows(spark, tmp_path):
+    """The parts lie in buckets of the keys, so their joins need no exchange, also where they are read in another session."""
+    from loomstep.sources.bucketed import read_bucketed
+
+    df, s, out = small_run(spark, tmp_path)
+    clean, buckets = pipeline.write_clean(df, ["x"], f"{out}/clean", s, columns=10**7)
+    assert buckets == 11
+    parts = pipeline.write_stages(clean, ["r"], ["x"], f"{out}/stages", buckets, s)
+    again = [read_bucketed(spark.newSession(), f"{out}/stages/{n}", buckets) for n in pipeline.STAGES]
+    for found in (parts, again):
+        base = clean if found is parts else read_bucketed(again[0].sparkSession, f"{out}/clean", buckets)
+        base.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        made = pipeline.panel(base, found, ["x"], target="r", low=2, high=8, daily_ticks=4)
+        made.write.format("noop").mode("overwrite").save()
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") >= 8 and "Exchange" not in plan
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert pipeline.write_panel(clean, parts, f"{out}/panel", ["x"], target="r", s=s).count() == 56
+
+
+def test_jobs_do_not_grow_with_cores(spark, tmp_path):
+    jobs = []
+    for days, core in ((9, 9), (9, 1)):
+        df, s, out = small_run(spark, tmp_path / str(core), core=core, days=days)
+        spark.sparkContext.setJobGroup(f"cores{core}", "run")
+        made = pipeline.run(df, ["r"], ["x"], out, target="r", s=s)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cores{core}")))
+        assert made.count() == 56
+    assert jobs[1] <= jobs[0] + 3
