@@ -19,6 +19,7 @@ from loomstep.operators.boosting import Binned, fit, write_binned
 from loomstep.plans import pipeline
 from loomstep.schema import DATE, KEYS, SYMBOL, TIME
 from loomstep.sources.dated import footer_range, read_dated, read_names, read_raw, to_matrix, write_dated, write_matrix
+from loomstep.sources.dense import unpacked, write_dense
 from loomstep.sources.panels import DAILY_TICKS, duck_panel, event_panel
 from loomstep.sources.scratch import delete, scratch_path
 from loomstep.sources.settings import Clip, Fill, Settings, StageA, StageB, StageC, Trees
@@ -395,6 +396,18 @@ def _written_matrix(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(*found, dates["min_date"], dates["max_date"])], "n_rows long, date_breaks long, time_breaks long, file_breaks long, min_date int, max_date int")
 
 
+def _dense(spark: SparkSession, d: str) -> DataFrame:
+    """The matrix written, packed to dense blocks, and its rows by place as they are unpacked again."""
+    path = scratch_path(spark, "matrix")
+    try:
+        write_matrix(to_matrix(event_panel(spark, d), FEATURES, target="responder_0", weight="weight", low=0, high=10**9), path)
+        write_dense(spark, path, f"{path}.dense")
+    finally:
+        delete(spark, path)
+        delete(spark, f"{path}.manifest")
+    return _round(unpacked(spark, f"{path}.dense"), ["y", "w", *FEATURES], 3)
+
+
 def _folds(spark: SparkSession, d: str) -> DataFrame:
     return crossval.fold_table(event_panel(spark, d), 2, 2, 4)
 
@@ -491,7 +504,12 @@ _P, _G = f"WITH p AS ({duck_panel()})", f"WITH p AS ({duck_panel('gappy')})"
 _EACH_NULL = [f"{x}_null_frac" for x in FEATURES]
 _FRAC_SQL = f"SELECT date_id, {', '.join(_r(f'AVG(CAST({x} IS NULL AS DOUBLE))', f'{x}_null_frac') for x in FEATURES)} FROM p GROUP BY date_id"
 _LONG_SQL = " UNION ALL ".join(f"SELECT date_id, '{x}' AS feature, {_r(f'AVG(CAST({x} IS NULL AS DOUBLE))', 'null_frac')} FROM p GROUP BY date_id" for x in FEATURES)
-_DAYS = [0, 1, 2]
+
+
+def _pivot(spark: SparkSession, d: str) -> DataFrame:
+    rows = event_panel(spark, d)
+    days = [r[0] for r in quality.distinct_days(rows).orderBy(DATE).collect()]
+    return _values(quality.null_fractions_pivot(rows, FEATURES, days), ("feature",))
 
 
 def _dups(spark: SparkSession, d: str) -> DataFrame:
@@ -564,8 +582,8 @@ SELECT symbol_id, count(*) AS n_gaps, max(gap) AS max_gap, min(gap) AS min_gap,
     "null_frac_daily": Query(lambda s, d: _round(quality.null_fractions(event_panel(s, d), FEATURES), _EACH_NULL), f"{_P} {_FRAC_SQL}"),
     "null_frac_long": Query(lambda s, d: _round(quality.null_fractions_long(event_panel(s, d), FEATURES), ["null_frac"]), f"{_P} {_LONG_SQL}"),
     "null_frac_pivot": Query(
-        lambda s, d: _values(quality.null_fractions_pivot(event_panel(s, d), FEATURES, _DAYS), ("feature",)),
-        f"{_P}, l AS ({_LONG_SQL}) SELECT feature, {', '.join(f'max(CASE WHEN date_id = {k} THEN null_frac END) AS day_{k}' for k in _DAYS)} FROM l GROUP BY feature",
+        _pivot,
+        f"{_P}, l AS ({_LONG_SQL}), m AS (SELECT feature, null_frac, 'day_' || date_id AS day FROM l) SELECT * FROM (PIVOT m ON day USING max(null_frac) GROUP BY feature)",
     ),
     "symbol_stats": Query(
         lambda s, d: _values(quality.symbol_stats(event_panel(s, d), [*FEATURES, *RESPONDERS]), (SYMBOL,)),
@@ -615,6 +633,10 @@ SELECT symbol_id, {_r('1 - sum(weight * (responder_0 - guess) ** 2) / sum(weight
         _matrix,
         f"{_P} SELECT {K}, {', '.join(f'ROUND(CAST(CAST({e} AS FLOAT) AS DOUBLE), 3) AS {n}' for n, e in {'y': 'responder_0', 'w': 'weight', **{x: x for x in FEATURES}}.items())} FROM p",
     ),
+    "dense_blocks": Query(
+        _dense,
+        f"{_P} SELECT row_number() OVER (ORDER BY date_id, time_id, symbol_id) - 1 AS place, date_id, {', '.join(f'ROUND(CAST(CAST({e} AS FLOAT) AS DOUBLE), 3) AS {n}' for n, e in {'y': 'responder_0', 'w': 'weight', **{x: x for x in FEATURES}}.items())} FROM p",
+    ),
     "topk_features": Query(
         lambda s, d: selection.top_features(_importance(s, d), 2, ["feature_01"]),
         f"""{_P}, c AS ({" UNION ALL ".join(f"SELECT '{x}' AS feature, abs(corr({x}, responder_0)) AS s FROM p" for x in ("feature_00", "responder_1", "responder_2"))}),

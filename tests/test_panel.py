@@ -324,3 +324,24 @@ def test_jobs_do_not_grow_with_cores(spark, tmp_path):
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cores{core}")))
         assert made.count() == 56
     assert jobs[1] <= jobs[0] + 3
+
+
+def test_dense_blocks(spark, tmp_path):
+    """The bytes are those of the matrix in the order of keys, by ranges of rows and as whole files."""
+    import numpy as np
+
+    from loomstep.sources import dense
+
+    df = spark.createDataFrame([(s, d, t, None if x is None else x * 1.7, d + 0.5) for s, d, t, x in tiny(12)], SCHEMA + ", z double").withColumn("weight", F.lit(2.0))
+    path = str(tmp_path / "m")
+    dated.write_matrix(dated.to_matrix(df, ["x", "z"], target="z", weight="weight", low=1, high=12).repartition(4), path)
+    meta = dense.write_dense(spark, path, f"{path}.dense")
+    rows = sorted((r for r in df.collect() if 1 <= r["date_id"] <= 12), key=lambda r: (r["date_id"], r["time_id"], r["symbol_id"]))
+    want = np.array([[np.nan if r["x"] is None else r["x"], r["z"]] for r in rows], np.float32)
+    assert meta["n_rows"] == len(rows)
+    for low, high in ((0, len(rows)), (3, 17), (len(rows) - 1, len(rows) + 5), (9, 9)):
+        got = dense.dense_rows(spark, f"{path}.dense", low, high)
+        assert got["X"].tobytes() == want[low:high].tobytes() and got["date"].tolist() == [r["date_id"] for r in rows[low:high]]
+    files = dense.export_maps(spark, f"{path}.dense", str(tmp_path / "maps"))
+    assert np.memmap(files["X"], np.float32, "r", shape=(len(rows), 2)).tobytes() == want.tobytes()
+    assert np.fromfile(files["y"], np.float32).tolist() == want[:, 1].tolist() and set(np.fromfile(files["w"], np.float32)) == {2.0}
