@@ -29,38 +29,41 @@ def unescape(text: Column) -> Column:
 def paths(messages: DataFrame, *, best: int | None = None) -> DataFrame:
     """(tree, leaf, node, depth, score): the nodes of each chosen root-to-leaf path, depth 0 at the root.
 
-    messages: tree, node, parent, score. A node whose parent is null or missing is a root. Jumps of doubled
-    length are joined to the paths found so far, so a tree of depth d takes log2(d) rounds of self-joins whose
-    rows are no more than those of the result. A path's score is the sum of its nodes' (null: 0); with best,
-    a tree keeps that many paths of the highest score, of equal ones those of the smallest leaf. Nodes on or
-    below a cycle have no root and are left out, and so are rows of a null tree or node. Repeated (tree, node)
-    rows must have been made unique.
+    messages: tree, node, parent, score. A node whose parent is null or missing is a root. Jumps of doubled length are
+    joined to themselves and carry the sum of what they pass, so a tree of depth d takes log2(d) rounds over its nodes,
+    and every leaf then has its path's score (null scores: 0). With best, a tree keeps that many leaves of the highest
+    score, of equal ones the smallest; only the paths of leaves that are kept are enumerated, again by the jumps. Nodes
+    on or below a cycle have no root and are left out, and so are rows of a null tree or node. Repeated (tree, node)
+    rows must have been made unique. No rows give none.
     """
     nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     here = nodes.select("tree", F.col("node").alias("parent"), F.lit(1).alias("there"))
-    nodes = nodes.join(here, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there") == 1, F.col("parent")).alias("parent"), "score")
-    nodes = materialize(nodes, "nodes")
-    inner = nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
-    found = nodes.join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
-    found = materialize(found, "paths")
-    jump = materialize(nodes.select("tree", "node", F.col("parent").alias("to")).where("to is not null"), "jumps")
-    largest = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    length = 1
-    while length < largest and not jump.isEmpty():
-        more = found.join(jump, ["tree", "node"]).select("tree", "leaf", F.col("to").alias("node"), (F.col("up") + length).alias("up"))
-        grown = materialize(found.union(more), "paths")
-        on = jump.select("tree", F.col("node").alias("to"), F.col("to").alias("next"))
-        further = materialize(jump.join(on, ["tree", "to"]).select("tree", "node", F.col("next").alias("to")), "jumps")
-        discard(found)
-        discard(jump)
-        found, jump, length = grown, further, 2 * length
-    scored = found.join(nodes.select("tree", "node", "score", F.col("parent").isNull().alias("root")), ["tree", "node"])
-    branch = scored.groupBy("tree", "leaf").agg(F.sum("score").alias("score"), F.max("up").alias("top"), F.max("root").alias("rooted")).where("rooted")
+    nodes = nodes.join(here, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there") == 1, F.col("parent")).alias("to"), F.col("score").alias("sum"), F.lit(1).cast("long").alias("n"))
+    up = materialize(nodes, "jumps")
+    inner = up.select("tree", F.col("to").alias("node")).where("node is not null").distinct()
+    leaves = materialize(up.join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf")), "leaves")
+    largest = up.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    jumps = [up]
+    while 2 ** (len(jumps) - 1) < largest and not up.where("to is not null").isEmpty():
+        on = up.select("tree", F.col("node").alias("to"), F.col("to").alias("next"), F.col("sum").alias("more"), F.col("n").alias("passed"))
+        open_, done = up.where("to is not null"), up.where("to is null")
+        further = open_.join(on, ["tree", "to"]).select("tree", "node", F.col("next").alias("to"), (F.col("sum") + F.col("more")).alias("sum"), (F.col("n") + F.col("passed")).alias("n"))
+        up = materialize(further.unionByName(done), "jumps")
+        jumps.append(up)
+    rooted = up.where("to is null").select("tree", F.col("node").alias("leaf"), F.col("sum").alias("score"), (F.col("n") - 1).alias("top"))
+    branch = leaves.join(rooted, ["tree", "leaf"])
     if best is not None:
         rank = F.row_number().over(W.partitionBy("tree").orderBy(F.desc("score"), "leaf"))
-        branch = branch.withColumn("rank", rank).where(F.col("rank") <= best)
-    branch = branch.select("tree", "leaf", "score", "top")
-    return found.join(branch, ["tree", "leaf"]).select("tree", "leaf", "node", (F.col("top") - F.col("up")).alias("depth"), "score")
+        branch = branch.withColumn("rank", rank).where(F.col("rank") <= best).drop("rank")
+    found = materialize(branch.select("tree", "leaf", "score", "top", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up")), "paths")
+    for k, jump in enumerate(jumps):
+        on = jump.where("to is not null").select("tree", "node", "to")
+        more = found.where(F.col("up") + 2**k <= F.col("top")).join(on, ["tree", "node"]).select("tree", "leaf", "score", "top", F.col("to").alias("node"), (F.col("up") + 2**k).alias("up"))
+        grown = materialize(found.union(more), "paths")
+        discard(found, jump)
+        found = grown
+    discard(leaves)
+    return found.select("tree", "leaf", "node", (F.col("top") - F.col("up")).alias("depth"), "score")
 
 
 def format_chats(messages: DataFrame, *, best: int | None = None, learn: str = "assistant") -> DataFrame:
