@@ -54,13 +54,18 @@ def on_core(df: DataFrame, make: Callable[[DataFrame], DataFrame], read_from: in
 STAGES = ("stage_a", "stage_b", *(f"stage_c_{g}" for g in GROUPS))
 
 
+def stage(df: DataFrame, name: str, responders: list[str], features: list[str], s: Settings = Settings()) -> DataFrame:
+    """One of STAGES, with keys; not run until written."""
+    if name == "stage_a":
+        return stage_a(df, responders, **asdict(s.a))
+    if name == "stage_b":
+        return stage_b(df, responders, **(asdict(s.b) | {"stats_columns": list(s.b.stats_columns) if s.b.stats_columns else None}))
+    return stage_c(df, features, **(asdict(s.c) | {"cross": list(s.c.cross), "groups": (name.removeprefix("stage_c_"),)}))
+
+
 def stages(df: DataFrame, responders: list[str], features: list[str], s: Settings = Settings()) -> dict[str, DataFrame]:
-    """stage_a, stage_b and stage_c_{group} by name, each with keys; not run until written."""
-    a = asdict(s.a)
-    b = asdict(s.b) | {"stats_columns": list(s.b.stats_columns) if s.b.stats_columns else None}
-    c = asdict(s.c) | {"cross": list(s.c.cross)}
-    found = {"stage_a": stage_a(df, responders, **a), "stage_b": stage_b(df, responders, **b)}
-    return found | {f"stage_c_{g}": stage_c(df, features, **(c | {"groups": (g,)})) for g in GROUPS}
+    """Each of STAGES by name."""
+    return {name: stage(df, name, responders, features, s) for name in STAGES}
 
 
 def write_checked(df: DataFrame, path: str, low: int, high: int, *, check: bool = True, exact: bool = True, counted: DataFrame | None = None) -> DataFrame:
@@ -103,9 +108,13 @@ def on_cores(df: DataFrame, cores: list[tuple[int, int, int]], make: Callable[[D
 
 
 def widest(raw: DataFrame, responders: list[str], features: list[str], s: Settings) -> int:
-    """Columns of the widest part of the panel."""
-    none = raw.where("false").withColumn("time_bucket", F.lit(0).cast("byte"))
-    return max(len(raw.columns) + 1, *(len(f.columns) for f in stages(none, responders, features, s).values()))
+    """Columns of the widest part of the panel, about: those of one column's features for each of them."""
+    none = raw.where("false")
+    found = [len(raw.columns) + 1]
+    for name in STAGES:
+        columns = responders if name in ("stage_a", "stage_b") else features
+        found.append(len(KEYS) + len(columns) * (len(stage(none, name, columns[:1], columns[:1], s).columns) - len(KEYS)) if columns else 0)
+    return max(found)
 
 
 def _write_part(df: DataFrame, path: str, buckets: int, check: bool) -> DataFrame:
@@ -148,7 +157,7 @@ def write_stages(clean: DataFrame, responders: list[str], features: list[str], o
     expected = date_range(clean.where(inside)).first() if check else None
     written = []
     for name in STAGES:
-        frame = on_cores(clean, cores, lambda rows, name=name: stages(rows, responders, features, s)[name])
+        frame = on_cores(clean, cores, lambda rows, name=name: stage(rows, name, responders, features, s))
         written.append(_write_part(frame, f"{out}/{name}", buckets, check))
         if check and date_range(written[-1]).first() != expected:
             raise AssertionError(f"{out}/{name}: other rows or dates than {expected}")
