@@ -345,3 +345,16 @@ def test_dense_blocks(spark, tmp_path):
     files = dense.export_maps(spark, f"{path}.dense", str(tmp_path / "maps"))
     assert np.memmap(files["X"], np.float32, "r", shape=(len(rows), 2)).tobytes() == want.tobytes()
     assert np.fromfile(files["y"], np.float32).tolist() == want[:, 1].tolist() and set(np.fromfile(files["w"], np.float32)) == {2.0}
+
+
+def test_real_width(spark):
+    """79 features and 9 responders give 3298 columns besides keys, target and weight, as the default settings name them."""
+    features, responders = [f"feature_{i:02d}" for i in range(79)], [f"responder_{i}" for i in range(9)]
+    moving = [c for c in features if c not in ("feature_09", "feature_10", "feature_11")]
+    kinds = "symbol_id int, date_id int, time_id int, weight float, time_bucket byte, " + ", ".join(f"{c} float" for c in [*features, *responders])
+    clean = spark.createDataFrame([], kinds)
+    parts = [pipeline.stage(clean, name, responders, moving) for name in pipeline.STAGES]
+    assert [len(p.columns) - 3 for p in parts] == [270, 119, 1216, 228, 228, 912, 228, 14]
+    made = pipeline.panel(clean, [spark.createDataFrame([], p.schema) for p in parts], features, target="responder_6", low=0, high=9)
+    assert len(made.columns) == 3298 + 5 and len(set(made.columns)) == len(made.columns)
+    assert pipeline.widest(clean.drop("time_bucket"), responders, moving, Settings()) == 1219
