@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """(docs with a number of its own for each row, that column's name), written down so that the numbers stay."""
     [row] = free_names(docs, "row")
-    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered", compression="zstd"), row
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
