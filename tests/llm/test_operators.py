@@ -464,6 +464,7 @@ def test_registered_queries_on_odd_tables(spark, tmp_path):
     by = lambda name, key="doc_id": {x[key]: x for x in rows[name]}
     assert {name: len(x) for name, x in rows.items() if name not in ("op5_ngram_jaccard", "op9_best_fit_packing")} == {
         "op1_chat_format": 3, "op2_secret_scan": 12, "op3_near_vectors": 8, "op4_quality_rules": 12, "op6_token_counts": 12, "op7_pii": 12, "op8_source_mix": 12, "op10_url_filter": 8,
+        "op11_class_lm": 12, "op12_token_alignment": 12, "op13_merkle_manifest": 12,
     }
     digest = lambda spans: hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
     assert by("op2_secret_scan")[5]["base_sha256"] == digest([("assign", 0, 18)]) and by("op2_secret_scan")[6]["n_access"] == 1 and by("op2_secret_scan")[0]["base_sha256"] == digest([])
