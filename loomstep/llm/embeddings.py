@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,32 +27,15 @@ from loomstep.llm.components import components
 
 #: Classes in a cell on average. Cells grow with the classes, from some 10 ** 6 on with their root, up to MAX_CELLS.
 PER_CELL, MAX_CELLS = 400, 16384
-#: Classes on which the centres are fitted, at most: this many, or this many a cell.
+#: Classes on which the centres are fitted, about: this many, or this many a cell. Rounds of the fit.
 SAMPLE, SAMPLE_PER_CELL = 20_000, 8
+ROUNDS = 8
 #: How many mean distances to a border a vector asks across.
 MARGIN = 1.5
 #: Classes in a block, about.
 BLOCK = 1024
 
 
-def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 0) -> np.ndarray:
-    """Centres of unit length for rows of unit length; an empty cell gets the row that is farthest from its centre."""
-    rng = np.random.default_rng(seed)
-    centres = x[rng.choice(len(x), k, replace=False)]
-    for _ in range(rounds):
-        cell, near = np.empty(len(x), np.int64), np.empty(len(x))
-        for at in range(0, len(x), 1024):
-            dot = x[at : at + 1024] @ centres.T
-            cell[at : at + 1024], near[at : at + 1024] = dot.argmax(1), dot.max(1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, cell, x)
-        empty = np.flatnonzero(np.bincount(cell, minlength=k) == 0)
-        sums[empty] = x[np.argsort(near)[: len(empty)]]
-        norm = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(norm > 0, sums / np.where(norm > 0, norm, 1), centres)
-    return centres
-
-
 def near_vectors(
     vectors: DataFrame,
     *,
@@ -155,15 +139,76 @@ def n_cells(n: int, per_cell: int = PER_CELL) -> int:
     return max(1, min(n // per_cell, MAX_CELLS, int(4 * n**0.5)))
 
 
+def _below(n: int, want: int) -> int:
+    """The bound below which a fair 64-bit hash of n rows lies for about so many of them; for all, if they are no more."""
+    return -(2**63) + min(2**64 * want // max(n, 1), 2**64 - 1)
+
+
 def _centres(classes: DataFrame, per_cell: int, seed: int) -> dict[int, np.ndarray]:
-    """Centres for each length of vectors, fitted on a sample of its classes by a seeded hash, of a bounded size."""
-    by: dict[int, np.ndarray] = {}
-    for r in classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect():
-        k = n_cells(r["n"], per_cell)
-        sample = classes.where(F.size("v") == r["d"]).orderBy(F.xxhash64("v", F.lit(seed))).limit(max(SAMPLE, SAMPLE_PER_CELL * k)).select("v")
-        x, _ = _unit(sample.toArrow().column("v"))
-        by[r["d"]] = kmeans(np.stack(x), min(k, len(x)), seed=seed)
-    return by
+    """Centres of unit length for each length of vectors, by spherical k-means.
+
+    The sample is what a seeded hash puts below a bound set by the number of classes, so it is taken where the classes
+    lie. It stays distributed: in a round each task adds up its rows by their nearest centre, and the sums of a cell
+    meet by its number. The driver sees the centres alone, at most MAX_CELLS for a length. A cell that gets no rows
+    keeps its centre.
+    """
+    sizes = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return {}
+    cells = {d: n_cells(n, per_cell) for d, n in sizes.items()}
+    lower = lambda want: F.element_at(F.create_map(*(F.lit(x) for d, n in sizes.items() for x in (d, _below(n, want(cells[d]))))), F.col("d"))
+    hashed = classes.select(F.size("v").alias("d"), F.xxhash64("v", F.lit(seed)).alias("h"), "v")
+    sample = materialize(hashed.where(F.col("h") <= lower(lambda k: max(SAMPLE, SAMPLE_PER_CELL * k))), "sample")
+    # As many rows with the lowest hashes as there are cells are the first centres; six deviations more are asked for.
+    first = sample.where(F.col("h") <= lower(lambda k: k + 6 * int(k**0.5) + 64)).toArrow().sort_by([("d", "ascending"), ("h", "ascending")])
+    centres = {}
+    for d, k in cells.items():
+        rows = first.filter(pc.equal(first.column("d"), d)).slice(0, k)
+        centres[d] = np.stack(_unit(rows.column("v"))[0])
+    for _ in range(ROUNDS):
+        now = sample.sparkSession.sparkContext.broadcast(centres)
+        sums = sample.mapInArrow(_adder(now), "d int, cell int, total binary").groupBy("d", "cell").applyInArrow(_added, "d int, cell int, total binary").toArrow()
+        centres = {d: c.copy() for d, c in centres.items()}
+        for d, cell, total in zip(*(sums.column(n).to_pylist() for n in ("d", "cell", "total")), strict=True):
+            x = np.frombuffer(total, np.float64)
+            norm = np.linalg.norm(x)
+            if norm > 0:
+                centres[d][cell] = x / norm
+        now.destroy()
+    discard(sample)
+    return centres
+
+
+def _adder(centres):
+    """A task's sums of its rows by their nearest centre."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {}
+        for batch in batches:
+            v, size = _unit(batch.column("v"))
+            for d in np.unique(size).tolist():
+                x, near = np.stack([v[i] for i in np.flatnonzero(size == d)]), centres.value[d]
+                if d not in totals:
+                    totals[d] = np.zeros_like(near), np.zeros(len(near), bool)
+                total, met = totals[d]
+                cell = (x @ near.T).argmax(1)
+                np.add.at(total, cell, x)
+                met[cell] = True
+        for d, (total, met) in totals.items():
+            cells = np.flatnonzero(met)
+            for at in range(0, len(cells), 1024):
+                part = cells[at : at + 1024]
+                columns = [pa.array(np.full(len(part), d), pa.int32()), pa.array(part, pa.int32()), pa.array([total[c].tobytes() for c in part], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["d", "cell", "total"])
+
+    return add
+
+
+def _added(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """The sum of a cell's sums, a row for each task, in an order of their own so that reruns agree."""
+    rows = sorted(t.column("total").to_pylist())
+    total = np.sum([np.frombuffer(r, np.float64) for r in rows], axis=0)
+    return pa.table({"d": t.column("d")[:1], "cell": t.column("cell")[:1], "total": pa.array([total.tobytes()], pa.binary())})
 
 
 def _comparer(least: float):
