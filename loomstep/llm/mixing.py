@@ -15,26 +15,48 @@ PER_SHARD, MANY_SHARDS = 500, 4096
 WEIGHTS = (5, 2, 1)
 
 
+def _by_source() -> list[Column]:
+    """The order of sources: by code points, null last."""
+    return [F.col("source").isNull(), F.encode(F.col("source"), "UTF-8")]
+
+
+def in_order(df: DataFrame, order: list[Column], before: dict[str, Column]) -> DataFrame:
+    """df with the sum of each column of before over all rows that come earlier in the order (0 for the first), under its name.
+
+    Rows are dealt out by ranges of the order and written down, so no task has all of them; what comes before a range
+    is summed from a table of a row for each range, no more than there are shuffle partitions.
+    """
+    parts = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = parts.groupBy("_part").agg(*(F.sum(c).alias(n) for n, c in before.items()))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(F.col("_part").alias("_p"), *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_start{n}") for n in before))
+    line = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    inside = parts.select("*", *(F.coalesce(F.sum(c).over(line), F.lit(0)).alias(n) for n, c in before.items()))
+    found = inside.join(starts, F.col("_part") == F.col("_p"))
+    return found.select(*df.columns, *((F.col(f"_start{n}") + F.col(n)).alias(n) for n in before))
+
+
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), most: int = 2) -> DataFrame:
     """sources (source, size) with target: share of all sizes by weight, none above most times its size.
 
     Sources in order of code points, null last, have the weights in turn. What a source can't take goes to
     the others by weight until none is above: with sources sorted by size over weight, those up to some place
-    are full and the others have one common rate. The table has one row for each source.
+    are full and the others have one common rate. The driver sees sums and that rate. An empty table gives no rows.
     """
-    order = W.orderBy(F.col("source").isNull(), F.encode(F.col("source"), "UTF-8"))
-    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))).cast("int") + 1)
-    rows = sources.withColumn("weight", weight.cast("long")).withColumn("full", most * F.col("size"))
-    line = W.orderBy((F.col("full") / F.col("weight")), F.col("source").isNull(), F.encode(F.col("source"), "UTF-8"))
-    before, rest = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(0, W.unboundedFollowing)
-    everything = W.partitionBy()
-    total = (share[0] * F.sum("size").over(everything)).cast("double") / share[1]
-    rate = (total - F.coalesce(F.sum("full").over(before), F.lit(0))) / F.sum("weight").over(rest)
+    placed = in_order(sources, _by_source(), {"_place": F.lit(1)})
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("_place"), F.lit(len(weights))).cast("int") + 1)
+    rows = placed.withColumn("weight", weight.cast("long")).withColumn("full", most * F.col("size"))
+    ratio = F.col("full") / F.col("weight")
+    rows = in_order(rows, [ratio, *_by_source()], {"_full": F.col("full"), "_weight": F.col("weight")})
+    size, heavy = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    rate = (F.lit(share[0] * size / share[1]) - F.col("_full")) / (F.lit(heavy) - F.col("_weight"))
     # The first source that isn't full sets the rate of all that follow.
-    rows = rows.withColumn("rate", rate).withColumn("open", F.col("full") > F.col("rate") * F.col("weight"))
-    rate = F.min(F.when(F.col("open"), F.struct(F.col("full") / F.col("weight"), F.col("rate")))).over(everything)["rate"]
-    target = F.least(F.col("full").cast("double"), F.coalesce(rate * F.col("weight"), F.col("full").cast("double")))
-    return rows.select("source", "size", target.alias("target"))
+    first = rows.where(F.col("full") > rate * F.col("weight")).agg(F.min(F.struct(ratio.alias("ratio"), rate.alias("rate"))).alias("m")).first()["m"]
+    full = F.col("full").cast("double")
+    target = full if first is None else F.least(full, F.lit(first["rate"]) * F.col("weight"))
+    out = materialize(rows.select("source", "size", target.alias("target")), "targets")
+    discard(placed, rows)
+    return out
 
 
 def sainte_lague(units: DataFrame, group: list[str], votes: str, seats: Column, ties: list[Column], out: str) -> DataFrame:
@@ -43,17 +65,26 @@ def sainte_lague(units: DataFrame, group: list[str], votes: str, seats: Column,
     With the divisor sum(votes) / seats a unit's share is off its final seats by no more than its part of
     half the number of units, so only quotients near that share are ranked; those above are granted and
     those below are not. Ranked rows are about five times the units. Units without votes get none.
+    A group is ranked in one task; without group columns all units are one group, ranked by ranges of the quotient.
     """
     every = W.partitionBy(*group)
-    rows = units.withColumn("_all", F.sum(votes).over(every)).withColumn("_n", F.count(F.lit(1)).over(every)).withColumn("_seats", seats)
+    if group:
+        rows = units.withColumn("_all", F.sum(votes).over(every)).withColumn("_n", F.count(F.lit(1)).over(every)).withColumn("_seats", seats)
+    else:
+        total, n = units.agg(F.coalesce(F.sum(votes), F.lit(0)), F.count(F.lit(1))).first()
+        rows = units.withColumn("_all", F.lit(total)).withColumn("_n", F.lit(n)).withColumn("_seats", seats)
     share = F.when(F.col("_all") > 0, F.col(votes) * F.col("_seats") / F.col("_all")).otherwise(0.0)
     slack = F.when(F.col("_all") > 0, F.col(votes) / F.col("_all") * F.col("_n")).otherwise(0.0) / 2 + 2
     rows = rows.withColumn("_low", F.greatest(F.floor(share - slack), F.lit(0)).cast("long")).withColumn("_high", F.ceil(share + slack).cast("long"))
     ranked = rows.select("*", F.explode(F.sequence("_low", "_high")).alias("_held"))
-    quotient = F.col(votes) / (2 * F.col("_held") + 1)
-    ranked = ranked.withColumn("_rank", F.row_number().over(every.orderBy(quotient.desc(), *ties, F.col("_held"))))
-    ranked = ranked.withColumn("_left", F.col("_seats") - F.sum(F.when(F.col("_held") == F.col("_low"), F.col("_low"))).over(every))
-    won = F.count_if((F.col("_rank") <= F.col("_left")) & (F.col(votes) > 0))
+    order = [(F.col(votes) / (2 * F.col("_held") + 1)).desc(), *ties, F.col("_held")]
+    granted = F.sum(F.when(F.col("_held") == F.col("_low"), F.col("_low")))
+    if group:
+        ranked = ranked.withColumn("_rank", F.row_number().over(every.orderBy(*order)) - 1).withColumn("_left", F.col("_seats") - granted.over(every))
+    else:
+        ranked = in_order(ranked, order, {"_rank": F.lit(1)})
+        ranked = ranked.withColumn("_left", F.col("_seats") - F.lit(ranked.agg(F.coalesce(granted, F.lit(0))).first()[0]))
+    won = F.count_if((F.col("_rank") < F.col("_left")) & (F.col(votes) > 0))
     keep = units.columns
     grouped = ranked.groupBy(*keep).agg(F.first("_low").alias("_low"), won.alias("_won"))
     return grouped.select(*keep, F.when(F.col(votes) > 0, F.col("_low") + F.col("_won")).otherwise(0).cast("long").alias(out))
@@ -84,12 +115,14 @@ def mix(
     rows = docs.select(key.cast("long").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), F.xxhash64(f"`{text_col}`").alias("_text"), *(F.col(f"`{c}`") for c in carry))
     slim = materialize(rows, "sizes")
     totals = slim.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs"))
-    sources = source_targets(totals.select("source", "size"))
-    sources = sources.join(totals.select(F.col("source").alias("_s"), "docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    seats = F.round(F.sum("target").over(W.partitionBy("_one")) / block)
-    sources = sainte_lague(sources.withColumn("_one", F.lit(0)), ["_one"], "target", seats, [F.col("source").isNull(), F.encode(F.col("source"), "UTF-8")], "quota")
+    targets = source_targets(totals.select("source", "size"))
+    # No source's target is above twice its size and all targets are 150 % of all sizes.
+    words = targets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    quotas = sainte_lague(targets, [], "target", F.lit((3 * words + block) // (2 * block)), _by_source(), "quota")
+    sources = quotas.join(totals.select(F.col("source").alias("_s"), "docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     shards = F.least(F.ceil(F.col("docs") / PER_SHARD), F.greatest(F.lit(MANY_SHARDS), F.ceil(F.sqrt("docs")))).cast("int")
     sources = materialize(sources.select("source", F.col("size").alias("source_size"), "target", "quota", F.greatest(shards, F.lit(1)).alias("shards")), "sources")
+    discard(targets, quotas)
     near = sources.withColumnRenamed("source", "_s")
     rank = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id"), F.col("_text")).cast("string")))
     dealt = slim.join(near, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_order", rank)

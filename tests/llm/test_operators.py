@@ -243,13 +243,31 @@ def test_embeddings_of_many_cells(spark):
     near = x @ x.T
     want = (near >= 0.9).sum(1) - 1
     found = np.array([got[i] for i in range(len(x))])
-    centres = embeddings.kmeans(x, embeddings.n_cells(len(x), 30))
-    print(f"{len(centres)} cells, recall {found.sum() / want.sum():.4f} of {want.sum()} links")
-    assert len(centres) >= 100 and (found <= want).all() and want.sum() > 1000 and found.sum() >= 0.99 * want.sum()
+    cells = embeddings.n_cells(len(x), 30)
+    print(f"{cells} cells, recall {found.sum() / want.sum():.4f} of {want.sum()} links")
+    assert cells >= 100 and (found <= want).all() and want.sum() > 1000 and found.sum() >= 0.99 * want.sum()
     exact = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(df, per_cell=300, margin=99.0).collect()}
     assert [exact[i] for i in range(len(x))] == want.tolist()
 
 
+def test_centres_against_one_process(spark, monkeypatch):
+    """Rounds in tasks give what they give in one process, from a sample that the hash takes."""
+    monkeypatch.setattr(embeddings, "SAMPLE", 500)
+    rng = np.random.default_rng(28)
+    x = np.repeat(rng.normal(size=(40, 12)), 40, axis=0) + rng.normal(size=(1600, 12)) * 0.3
+    df = spark.createDataFrame([(v.tolist(),) for v in x] + [([1.0, 2.0],)], "v array<double>").repartition(5)
+    got = embeddings._centres(df, 40, 3)
+    rows = sorted((r["h"], r["v"]) for r in df.where(F.size("v") == 12).select("v", F.xxhash64("v", F.lit(3)).alias("h")).collect())
+    kept = np.array([v for h, v in rows if h <= embeddings._below(1600, 500)])
+    kept /= np.linalg.norm(kept, axis=1, keepdims=True)
+    assert 400 < len(kept) < 600 and embeddings._below(7, 7) == embeddings._below(7, 99) == 2**63 - 1
+    want = kept[:40]
+    for _ in range(embeddings.ROUNDS):
+        cell = (kept @ want.T).argmax(1)
+        want = np.stack([s / np.linalg.norm(s) if (s := kept[cell == i].sum(0)).any() else want[i] for i in range(40)])
+    assert np.allclose(got[12], want) and np.allclose(got[2], np.array([[1, 2]]) / 5**0.5)
+
+
 def test_secrets(spark):
     r = random.Random(7)
     key = lambda n: "".join(r.choice("abcdef0123456789") for _ in range(n))
@@ -431,8 +449,24 @@ def test_sainte_lague(spark):
         for _ in range(seats if sum(votes) else 0):
             held[max(range(9), key=lambda i: (votes[i] / (2 * held[i] + 1), -i))] += 1
         units = spark.createDataFrame([(0, i, v) for i, v in enumerate(votes)], "g int, i int, v long")
-        got = mixing.sainte_lague(units, ["g"], "v", F.lit(seats), [F.col("i")], "q").orderBy("i").collect()
-        assert [x["q"] for x in got] == held
+        for group in (["g"], []):
+            got = mixing.sainte_lague(units, group, "v", F.lit(seats), [F.col("i")], "q").orderBy("i").collect()
+            assert [x["q"] for x in got] == held
+
+
+def test_sums_before_in_many_ranges(spark):
+    rows = [(random.Random(i).randint(-40, 40), i) for i in range(700)] + [(None, 700)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = mixing.in_order(spark.createDataFrame(rows, "k int, i int"), [F.col("k").desc_nulls_last(), F.col("i")], {"rank": F.lit(1), "total": F.col("i")})
+        assert mixing.in_order(spark.createDataFrame([], "k int"), [F.col("k")], {"rank": F.lit(1)}).count() == 0
+        total = 0
+        for place, (x, (k, i)) in enumerate(zip(got.orderBy("rank").collect(), sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1])), strict=True)):
+            assert tuple(x) == (k, i, place, total)
+            total += i
+        assert len(set(got.inputFiles())) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def small_tables(spark, path, empty=False):
