@@ -8,34 +8,38 @@ from pyspark.sql import types as T
 
 from loomstep import windows
 from loomstep.functions.scalar import EPS, clip
+from loomstep.operators.chunks import CHUNK_DAYS, on_day_chunks
 from loomstep.schema import DATE, KEYS, SYMBOL, TIME, positive_ints, require_columns
 
 
-def tick_streaks(df: DataFrame, name: str = "streak") -> DataFrame:
-    """df with the number of the run of ticks: a new one begins where more than one day lies between two rows."""
-    w = windows.of_symbol()
+def tick_streaks(df: DataFrame, *more: str, name: str = "streak") -> DataFrame:
+    """df with the number of the run of ticks: a new one begins where more than one day lies between two rows.
+
+    more: further keys of the windows, such as a chunk of the history, here and below; runs are then numbered in each.
+    """
+    w = windows.of_symbol(*more)
     gap = F.coalesce(F.col(DATE) - F.lag(DATE).over(w), F.lit(0))
     rows = df.withColumn("_gap", gap)
     return rows.withColumn(name, F.sum((F.col("_gap") > 1).cast("int")).over(windows.so_far(w)).cast("int")).drop("_gap")
 
 
-def lagged(c: str, k: int) -> Column:
-    return F.lag(c, k).over(windows.of_streak())
+def lagged(c: str, k: int, *more: str) -> Column:
+    return F.lag(c, k).over(windows.of_streak(*more))
 
 
-def difference(c: str, k: int) -> Column:
-    return F.col(c) - lagged(c, k)
+def difference(c: str, k: int, *more: str) -> Column:
+    return F.col(c) - lagged(c, k, *more)
 
 
-def relative_return(c: str, k: int, bound: float = 10.0) -> Column:
+def relative_return(c: str, k: int, *more: str, bound: float = 10.0) -> Column:
     """Value over the value k rows before, less 1, within bounds; null where that value is next to 0."""
-    past = lagged(c, k)
+    past = lagged(c, k, *more)
     return clip(F.when(F.abs(past) > 1e-12, F.col(c) / past - 1), -bound, bound)
 
 
-def rolling(c: str, n: int) -> tuple[Column, Column, Column]:
+def rolling(c: str, n: int, *more: str) -> tuple[Column, Column, Column]:
     """Mean, sample deviation and distance from the mean in deviations over the last n rows of the run."""
-    frame = windows.last_rows(windows.of_streak(), n)
+    frame = windows.last_rows(windows.of_streak(*more), n)
     mean, std = F.avg(c).over(frame), F.stddev_samp(c).over(frame)
     return mean, std, F.when(std > EPS, (F.col(c) - mean) / (std + EPS))
 
@@ -141,33 +145,42 @@ def stage_c(
     cross: list[str] | None = None,
     cast: str = "float",
     groups: tuple[str, ...] = GROUPS,
+    chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
-    """Keys and the features of the chosen groups. Windows over runs and exponential means share one exchange by
-    symbol, comparisons across symbols take one by tick.
+    """Keys and the features of the chosen groups. Comparisons across symbols take an exchange by tick.
 
+    Windows over runs are made in chunks of chunk_days of a symbol, in one exchange: a run has a row on each of its
+    days, so k rows before a row lie no more than k days back, and that is the halo. Exponential means have no such
+    bound: where they are chosen, they share one exchange by symbol with the windows. Rows of a null day are a chunk.
     Plans of over 100 columns leave code generation, so wide panels are made group by group.
     """
     require_columns(df, [*KEYS, *columns])
-    made: dict[str, Column] = {}
-    for c in columns:
-        if "lags" in groups:
-            made |= {f"{c}__lag{k}": lagged(c, k) for k in positive_ints(lags, "lags")}
-        if "ret" in groups:
-            made |= {f"{c}__ret{k}": relative_return(c, k) for k in positive_ints(returns, "returns")}
-        if "diff" in groups:
-            made |= {f"{c}__diff{k}": difference(c, k) for k in positive_ints(diffs, "diffs")}
-        if "rz" in groups:
-            for n in positive_ints(rz, "rz"):
-                mean, std, z = rolling(c, n)
+    back = {"lags": positive_ints(lags, "lags"), "ret": positive_ints(returns, "returns"), "diff": positive_ints(diffs, "diffs"), "rz": positive_ints(rz, "rz")}
+    back = {g: ks for g, ks in back.items() if g in groups and columns}
+
+    def over_runs(*more: str) -> dict[str, Column]:
+        made: dict[str, Column] = {}
+        for c in columns:
+            made |= {f"{c}__lag{k}": lagged(c, k, *more) for k in back.get("lags", ())}
+            made |= {f"{c}__ret{k}": relative_return(c, k, *more) for k in back.get("ret", ())}
+            made |= {f"{c}__diff{k}": difference(c, k, *more) for k in back.get("diff", ())}
+            for n in back.get("rz", ()):
+                mean, std, z = rolling(c, n, *more)
                 made |= ({f"{c}__rmean{n}": mean, f"{c}__rstd{n}": std} if keep_rolling else {}) | {f"{c}__rz{n}": z}
+        return made
+
+    def windowed(rows: DataFrame, *more: str) -> DataFrame:
+        made = over_runs(*more)
+        names.extend(made)
+        return rows.select(*KEYS, *more, "streak", *wide, *(e.cast(cast).alias(n) for n, e in made.items()))
+
     chosen = [c for c in columns if c in (cross or [])] if "csrank" in groups else []
-    rows = tick_streaks(df.select(*KEYS, *columns).repartition(SYMBOL))
     wide = [c for c in columns if c in chosen or "ewm" in groups]
-    rows = rows.select(*KEYS, "streak", *wide, *(e.cast(cast).alias(n) for n, e in made.items()))
+    rows, names, smooth = df.select(*KEYS, *columns), [], []
     if "ewm" in groups:
         smooth = [f"{c}__ewm{s}" for c in columns for s in positive_ints(spans, "spans")]
-        rows = with_ewm(rows, columns, positive_ints(spans, "spans"), cast)
-    else:
-        smooth = []
+        rows = with_ewm(windowed(tick_streaks(rows.repartition(SYMBOL))), columns, positive_ints(spans, "spans"), cast)
+    elif any(back.values()):
+        rows = on_day_chunks(rows, lambda part, chunk: windowed(tick_streaks(part, chunk), chunk), halo=max(map(max, filter(None, back.values()))), days=chunk_days)
     section = {f"{c}__cs_z": cross_section_z(c) for c in chosen} | {f"{c}__csrank": cross_section_rank(c).cast(cast) for c in chosen}
-    return rows.select(*KEYS, *made, *(e.alias(n) for n, e in section.items()), *smooth)
+    return rows.select(*KEYS, *names, *(e.alias(n) for n, e in section.items()), *smooth)

@@ -21,8 +21,8 @@ def of_tick(*more: str) -> WindowSpec:
     return Window.partitionBy(SYMBOL, *more, TIME).orderBy(DATE)
 
 
-def of_streak(streak: str = "streak") -> WindowSpec:
-    return Window.partitionBy(SYMBOL, streak).orderBy(DATE, TIME)
+def of_streak(*more: str) -> WindowSpec:
+    return Window.partitionBy(SYMBOL, *more, "streak").orderBy(DATE, TIME)
 
 
 def across_symbols() -> WindowSpec:

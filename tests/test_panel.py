@@ -242,8 +242,23 @@ def test_chunks_change_nothing(spark, chunk):
     assert sum(a[3] != b[3] for a, b in zip(sorted(df.collect(), key=str), sorted(clipped.collect(), key=str), strict=True)) > 3
 
 
+@pytest.mark.parametrize("chunk", [1, 9, 30])
+def test_runs_in_chunks_of_days(spark, chunk):
+    """Windows over runs of a panel with gaps are those of whole symbols, rows of a null day apart."""
+    df = spark.createDataFrame([r for r in long_panel() if r[1] is not None], SCHEMA + ", time_bucket int")
+    how = {"lags": (1, 6), "returns": (1, 2), "diffs": (3,), "rz": (4, 7), "cross": ["x"], "cast": "double", "chunk_days": chunk}
+    whole = history.stage_c(df, ["x"], **how)
+    parts = history.stage_c(df, ["x"], **how, groups=("lags", "ret", "diff", "rz", "csrank"))
+    assert parts.columns == [c for c in whole.columns if "ewm" not in c] and len(parts.columns) == 16
+    rows = [sorted((tuple(r[:3]), tuple(r[3:])) for r in d.select(F.coalesce("symbol_id", F.lit(-1)), *parts.columns[1:]).collect()) for d in (whole, parts)]
+    assert [k for k, _ in rows[0]] == [k for k, _ in rows[1]]
+    for (_, a), (_, b) in zip(*rows, strict=True):
+        assert [x is None for x in a] == [x is None for x in b] and [x or 0 for x in a] == pytest.approx([x or 0 for x in b])
+    assert exchanges(parts) <= 2
+
+
 def test_one_symbol_is_many_tasks(spark):
-    """With one symbol, the windows of clip and fill run in as many tasks as there are chunks, as far as these are dealt apart."""
+    """With one symbol, the windows of clip, fill and runs run in as many tasks as there are chunks, as far as these are dealt apart."""
     rows = [(0, d, t, float(d * t % 7), 0) for d in range(64) for t in range(20)]
     df = spark.createDataFrame(rows, SCHEMA + ", time_bucket int")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -251,6 +266,7 @@ def test_one_symbol_is_many_tasks(spark):
         for made in (
             preprocess.rolling_sigma_clip(df, ["x"], window=10, chunk_rows=100),
             preprocess.causal_impute(df, ["x"], ttl_days_open=1, ttl_days_same_tick=1, chunk_days=4),
+            history.stage_c(df, ["x"], groups=("lags", "ret", "diff", "rz"), chunk_days=4),
         ):
             assert made.select(F.spark_partition_id().alias("p"), "*").groupBy("p").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
