@@ -132,6 +132,15 @@ def test_folds_and_selection_find_the_useful_feature(spark, binned, tmp_path):
     assert [r["feature"] for r in best.orderBy("rank").collect()] == ["t", "useful"] == dated.read_names(spark, str(tmp_path / "names"))
 
 
+def test_folds_send_days_and_no_rows(spark, binned):
+    own = crossval.assign_folds(binned.rows, crossval.fold_table(learnable(spark), 2, 1, 2))
+    own.collect()
+    plan = own._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    sent = [line for line in plan.splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    assert "BroadcastHashJoin" in sent[0] and "BuildRight" in sent[0]
+    assert sorted((r["fold"], r["part"], r["n"]) for r in own.groupBy("fold", "part").agg(F.countDistinct("date_id").alias("n")).collect()) == [(1, "train", 6), (1, "valid", 4), (2, "train", 6), (2, "valid", 3)]
+
+
 def test_model_predicts_and_is_saved(spark, binned, tmp_path):
     assert selection.refit_rounds([100, 60]) == 88
     model = boosting.fit(binned, binned.rows.withColumn("valid", F.lit(False)), dataclasses.replace(PLAIN, rounds=3))
