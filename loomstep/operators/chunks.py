@@ -57,6 +57,7 @@ def on_row_chunks(df: DataFrame, make: Make, *, keys: list[str], halo: int, rows
     own, last = F.floor(F.col(first) / rows), F.floor((F.col(first) + F.col(n) + halo - 1) / rows)
     day = sizes.select(*(F.col(k).alias(o) for k, o in zip(group, other, strict=True)), own.alias(first), F.sequence(own, last).alias(chunk))
     same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(group, other, strict=True)]
-    dealt = df.join(day, same).drop(*other).withColumn(chunk, F.explode(chunk))
+    # The hint keeps the rows from being broadcast: by its estimates Spark takes the days to be larger.
+    dealt = df.join(day.hint("shuffle_hash"), same).drop(*other).withColumn(chunk, F.explode(chunk))
     made = make(dealt.repartition(*keys, chunk), chunk)
     return made.where(F.col(chunk) == F.col(first)).drop(chunk, first)

@@ -180,10 +180,18 @@ def run(raw: DataFrame, responders: list[str], features: list[str], out: str, *,
 
 
 def stitch(base: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """base with the columns of each part, by keys; base rows without a match stay. Parts in buckets are joined where they lie."""
-    for part in parts:
-        base = base.join(part.hint("merge"), list(KEYS), "left")
-    return base
+    """base with the columns of each part, by keys; base rows without a match stay. Parts in buckets are joined where they lie.
+
+    What isn't a key goes through the joins as one struct a part: with hundreds of columns one by one, the code made for
+    the joins is too long for the JVM to compile.
+    """
+    plain = [[c for c in df.columns if c not in KEYS] for df in (base, *parts)]
+    held = [f"_part{i}" for i in range(len(plain))]
+    packed = [df.select(*KEYS, F.struct(*(F.col(f"`{c}`") for c in own)).alias(h)) for df, own, h in zip((base, *parts), plain, held, strict=True)]
+    rows = packed[0]
+    for part in packed[1:]:
+        rows = rows.join(part.hint("merge"), list(KEYS), "left")
+    return rows.select(*KEYS, *(F.col(h).getField(c).alias(c) for own, h in zip(plain, held, strict=True) for c in own))
 
 
 def panel(clean: DataFrame, parts: list[DataFrame], features: list[str], *, target: str, weight: str = "weight", low: int, high: int, daily_ticks: int = 968) -> DataFrame:

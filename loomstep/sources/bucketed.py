@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from loomstep.schema import DATE, KEYS, SYMBOL, TIME
 from loomstep.sources.dated import FILE_VALUES
 
+#: Rows of a bucket, about: joining a bucket's parts is one task, however narrow they are.
+BUCKET_ROWS = 1 << 17
 
-def buckets_of(n_rows: int, n_columns: int, file_values: int = FILE_VALUES) -> int:
-    """Buckets by which the widest part has files of about so many values. All parts that are to be joined take the same number."""
-    return max(1, -(-n_rows * n_columns // file_values))
+
+def buckets_of(n_rows: int, n_columns: int, file_values: int = FILE_VALUES, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets by which the widest part has files of about so many values and rows at most. All parts that are to be joined take the same number."""
+    return max(1, -(-n_rows * n_columns // file_values), -(-n_rows // bucket_rows))
 
 
 def write_bucketed(df: DataFrame, path: str, buckets: int) -> DataFrame:

@@ -331,6 +331,41 @@ def test_stitch_moves_no_rows(spark, tmp_path):
     assert pipeline.write_panel(clean, parts, f"{out}/panel", ["x"], target="r", s=s).count() == 56
 
 
+def test_buckets_hold_few_rows():
+    """Joining a bucket is one task, so narrow panels are cut by rows as well."""
+    from loomstep.sources.bucketed import buckets_of
+
+    assert [buckets_of(n, 40) for n in (1000, 10**6, 36 * 10**6)] == [1, 8, 275]
+    assert buckets_of(10**6, 3303) == 50
+
+
+def test_stitch_keeps_all_rows_and_columns(spark):
+    base = spark.createDataFrame([(0, 1, t, float(t), "a") for t in (0, 1, 1, 2)], SCHEMA + ", `o.k` string")
+    parts = [spark.createDataFrame([(0, 1, t, t * 10) for t in (1, 2, 9)], "symbol_id int, date_id int, time_id int, y int"), spark.createDataFrame([(0, 1, 2, 5)], "symbol_id int, date_id int, time_id int, z int")]
+    got = pipeline.stitch(base, parts)
+    assert got.columns == [*KEYS, "x", "o.k", "y", "z"]
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 0, 0.0, "a", None, None), (0, 1, 1, 1.0, "a", 10, None), (0, 1, 1, 1.0, "a", 10, None), (0, 1, 2, 2.0, "a", 20, 5)]
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin") == 2 and "struct(y" in plan and "struct(z" in plan
+
+
+def test_chunks_send_no_rows(spark, tmp_path):
+    """Rows meet the days of their chunks in a shuffle; a table of days is by estimate larger than a small file of rows."""
+    spark.createDataFrame([r for r in long_panel() if None not in r[:3]], SCHEMA + ", time_bucket int").write.parquet(str(tmp_path / "p"))
+    made = preprocess.rolling_sigma_clip(spark.read.parquet(str(tmp_path / "p")), ["x"], window=9, chunk_rows=30)
+    made.write.format("noop").mode("overwrite").save()
+    assert "BroadcastExchange" not in made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_wide_frames_are_rounded_as_narrow_ones(spark):
+    from loomstep.plans import queries
+
+    df = spark.range(200).select("id", *(F.when(F.col("id") % 9 != i % 9, F.sin(F.col("id") * i) * F.pow(F.lit(10.0), F.lit(i % 12 - 4))).alias(f"c.{i}") for i in range(queries.WIDE + 2))).toDF("id", *(f"c{i}" for i in range(queries.WIDE + 2)))
+    names = df.columns[1:]
+    assert queries._round(df, names).dtypes == queries._round(df, names[:3]).select("id", *(F.col(c) for c in names)).dtypes
+    assert queries._round(df, names).collect() == df.select("id", *(F.round(c, 6).alias(c) for c in names)).collect()
+
+
 def test_jobs_do_not_grow_with_cores(spark, tmp_path):
     jobs = []
     for days, core in ((9, 9), (9, 1)):
